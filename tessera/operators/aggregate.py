@@ -68,13 +68,41 @@ _FUNCS = {
 }
 
 
-def measure_column(m: Measure) -> Column:
+# Sums and averages of DOUBLE columns accumulate in exact decimals: a double
+# sum depends on the order rows arrive in (partitioning, AQE coalescing,
+# retries), which flips results that sit on a rounding tie such as
+# avg(1.00, 2.01) = 1.505. Decimal sums are order-independent.
+DEC_IN = "decimal(38,8)"
+DEC_SUM = "decimal(28,8)"
+DEC_COUNT = "decimal(13,0)"
+
+
+def exact_sum(col: Column, scale: int | None) -> Column:
+    e = F.sum(col.cast(DEC_IN))
+    return (F.round(e, scale) if scale is not None else e).cast("double")
+
+
+def exact_ratio(total: Column, count: Column, scale: int | None) -> Column:
+    """``total / count`` for a decimal total, rounded HALF_UP in decimal.
+    With these operand types the quotient keeps 18 fractional digits."""
+    q = total.cast(DEC_SUM) / count.cast(DEC_COUNT)
+    q = F.round(q, scale) if scale is not None else q
+    return F.when(count > 0, q.cast("double"))
+
+
+def measure_column(m: Measure, dtype: str | None = None) -> Column:
+    exact = dtype == "double" and m.fn in ("sum", "avg")
+    c = F.col(m.column) if m.column else None
     if m.fn == "count":
         e = F.count(F.lit(1))
     elif m.fn == "cd":
-        e = F.countDistinct(F.col(m.column))
+        e = F.countDistinct(c)
+    elif exact and m.fn == "sum":
+        return exact_sum(c, m.scale).alias(m.name)
+    elif exact and m.fn == "avg":
+        return exact_ratio(F.sum(c.cast(DEC_IN)), F.count(c), m.scale).alias(m.name)
     else:
-        e = _FUNCS[m.fn](F.col(m.column))
+        e = _FUNCS[m.fn](c)
     if m.scale is not None:
         e = F.round(e, m.scale)
     return e.alias(m.name)
@@ -90,19 +118,34 @@ def grouped(
     aggregation; several exact distinct counts are planned by Catalyst as one
     Expand + two-level aggregate, whose dedup stage is partitioned by
     (keys, value), so a hot key does not land in one task."""
-    out = df.groupBy(*keys).agg(*[measure_column(m) for m in measures])
+    types = dict(df.dtypes)
+    out = df.groupBy(*keys).agg(*[measure_column(m, types.get(m.column or "")) for m in measures])
     return out.orderBy(*order) if order else out
 
 
-def measure_sql(m: Measure) -> str:
-    """DuckDB text of the same measure over a flat relation (oracle)."""
+def measure_sql(m: Measure, rnd=lambda e, k: f"round({e}, {k})", integral: frozenset = frozenset()) -> str:
+    """DuckDB text of the same measure over a flat relation (oracle).
+    ``integral`` names the integer-typed columns; sums/averages of the others
+    are exact decimal computations, as in ``measure_column``."""
     col = m.col
     if m.fn == "count":
         return f"CAST(count(*) AS BIGINT) AS {m.name}"
     if m.fn == "cd":
         return f"CAST(count(DISTINCT {col}) AS BIGINT) AS {m.name}"
+    exact = m.column not in integral and m.fn in ("sum", "avg")
+    if exact and m.fn == "sum":
+        e = f"sum(CAST({col} AS DECIMAL(38,8)))"
+        e = f"round({e}, {m.scale})" if m.scale is not None else e
+        return f"CAST({e} AS DOUBLE) AS {m.name}"
+    if exact and m.fn == "avg":
+        k = m.scale if m.scale is not None else 8
+        s_int = f"CAST(sum(CAST({col} AS DECIMAL(38,8))) * 100000000 AS HUGEINT)"
+        n = f"count({col})"
+        q = (f"sign({s_int}) * ((abs({s_int}) * {2 * 10 ** k} + {n} * 100000000) "
+             f"// ({n} * 200000000))")
+        return (f"CASE WHEN {n} > 0 THEN CAST({q} AS DOUBLE) / {10 ** k} END AS {m.name}")
     fn = {"sum": "sum", "avg": "avg", "min": "min", "max": "max", "stddev": "stddev_samp"}[m.fn]
     e = f"{fn}({col})"
     if m.scale is not None:
-        e = f"round({e}, {m.scale})"
+        e = rnd(e, m.scale)
     return f"{e} AS {m.name}"

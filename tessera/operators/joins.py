@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregate import Measure
+from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio
 
 
 def _cname(*parts: str) -> str:
@@ -72,8 +72,21 @@ def join_aggregate(
         return df.filter(reduce(lambda a, b: a & b, [F.col(j).isNotNull() for j in jnames]))
 
     prep = {s: prepared(s) for s in sides}
+    dtypes = {s: dict(frames[s].dtypes) for s in sides}
+
+    def exact(m: Measure) -> bool:
+        return m.fn in ("sum", "avg") and dtypes[m.side].get(m.column) == "double"
+
+    # 1. per-side blocks. Parts per measured column: c = non-null count,
+    # d = exact decimal sum (sum/avg of DOUBLE), s = plain sum, q = sum of
+    # squares, min/max.
+    def parts_of(m: Measure) -> set[str]:
+        if m.fn in ("min", "max"):
+            return {m.fn}
+        if m.fn == "stddev":
+            return {"c", "s", "q"}
+        return {"c", "d"} if exact(m) else {"c", "s"}
 
-    # 1. per-side blocks
     def blocks(s: str) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias(_cname("n", s))]
         seen: set[str] = set()
@@ -82,18 +95,14 @@ def join_aggregate(
                 continue
             v = F.col(_cname("v", s, m.column))
             base = _cname(s, m.column)
-            wanted = {"c", "s"}
-            if m.fn == "stddev":
-                wanted.add("q")
-            if m.fn in ("min", "max"):
-                wanted = {m.fn}
-            for w in sorted(wanted):
+            for w in sorted(parts_of(m)):
                 name = f"{base}_{w}"
                 if name in seen:
                     continue
                 seen.add(name)
                 expr = {
                     "c": F.count(v),
+                    "d": F.sum(v.cast(DEC_IN)),
                     "s": F.sum(v),
                     "q": F.sum(v * v),
                     "min": F.min(v),
@@ -114,25 +123,33 @@ def join_aggregate(
     for m in measures:
         if m.fn == "cd":
             continue
+        scaled = True
         if m.fn == "count":
             e = F.sum(F.col(_cname("n", la)) * F.col(_cname("n", ra)))
         else:
             s, base = m.side, _cname(m.side, m.column)
             w = weight(s)
-            if m.fn == "sum":
+            cnt = F.sum(F.col(f"{base}_c") * w) if m.fn not in ("min", "max") else None
+            if exact(m):
+                # block decimal sum x pair weight, exact: decimal(26,8) * decimal(10,0)
+                tot = F.sum(F.col(f"{base}_d").cast("decimal(26,8)") * w.cast("decimal(10,0)"))
+                if m.fn == "sum":
+                    e = (F.round(tot, m.scale) if m.scale is not None else tot).cast("double")
+                else:
+                    e = exact_ratio(tot, cnt, m.scale)
+                scaled = False
+            elif m.fn == "sum":
                 e = F.sum(F.col(f"{base}_s") * w)
             elif m.fn == "avg":
-                cnt = F.sum(F.col(f"{base}_c") * w)
                 e = F.when(cnt > 0, F.sum(F.col(f"{base}_s") * w) / cnt)
             elif m.fn in ("min", "max"):
                 e = (F.min if m.fn == "min" else F.max)(F.col(f"{base}_{m.fn}"))
             else:  # sample standard deviation over the pairs
-                cnt = F.sum(F.col(f"{base}_c") * w)
-                tot = F.sum(F.col(f"{base}_s") * w)
-                sq = F.sum(F.col(f"{base}_q") * w)
+                tot = F.sum(F.col(f"{base}_s").cast("double") * w)
+                sq = F.sum(F.col(f"{base}_q").cast("double") * w)
                 var = (sq - tot * tot / cnt) / (cnt - 1)
                 e = F.when(cnt > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
-        if m.scale is not None:
+        if scaled and m.scale is not None:
             e = F.round(e, m.scale)
         agg_exprs.append(e.alias(m.name))
     result = paired.groupBy(*out_keys).agg(*agg_exprs)

@@ -41,6 +41,13 @@ def _duck_type(table: str, col: str) -> str:
     raise KeyError(col)
 
 
+def R(expr: str, k: int) -> str:
+    """Spark's ``round`` on a DOUBLE: HALF_UP on the shortest decimal form
+    of the value (``round(1.005, 2)`` is 1.01), where DuckDB's own ``round``
+    works on the binary value (1.0)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,16)), {k}) AS DOUBLE)"
+
+
 def _i(expr: str) -> str:
     return f"CAST({expr} AS INTEGER)"
 
@@ -202,7 +209,7 @@ def _parts(ts: str = "processing_timestamp", date_as_string: bool = True) -> str
 
 
 def _pct(num: str, den: str, guard: str, scale: int) -> str:
-    return f"CASE WHEN {guard} > 0 THEN round(({num}) / {den} * 100, {scale}) ELSE 0.0 END"
+    return f"CASE WHEN {guard} > 0 THEN {R(f'({num}) / {den} * 100', scale)} ELSE 0.0 END"
 
 
 def derived_sql(table: str, share_scale: int = 4) -> str:
@@ -213,7 +220,7 @@ WITH b AS ({b})
 SELECT b.*, trim(upper(client_name)) AS client_name_clean, trim(upper(asset_name)) AS asset_name_clean,
   market_value - cost_basis AS unrealized_gain_loss,
   {_pct('market_value - cost_basis', 'cost_basis', 'cost_basis', 2)} AS gain_loss_percentage,
-  round(market_value / sum(market_value) OVER (), {share_scale}) AS position_size_percentage,
+  {R('market_value / sum(market_value) OVER ()', share_scale)} AS position_size_percentage,
   {code('risk_rating', *T.RISK_LEVEL)} AS risk_level,
   {_ymd('valuation_date')} AS valuation_date_clean,
   {_days_since('valuation_date', BATCH_AS_OF)} AS days_held,
@@ -226,7 +233,7 @@ SELECT b.*, trim(upper(symbol)) AS symbol_clean, trim(upper(asset_name)) AS asse
   {_pct('close_price - open_price', 'open_price', 'open_price', 4)} AS daily_return,
   high_price - low_price AS price_range,
   {_pct('high_price - low_price', 'low_price', 'low_price', 2)} AS price_range_percentage,
-  round((high_price + low_price + close_price) / 3, 2) AS volume_weighted_price,
+  {R('(high_price + low_price + close_price) / 3', 2)} AS volume_weighted_price,
   {tier('market_cap', *T.MARKET_CAP_TIER)} AS market_cap_tier,
   {tier('pe_ratio', *T.PE_RATIO_TIER)} AS pe_ratio_tier,
   {tier('dividend_yield', *T.DIVIDEND_YIELD_TIER)} AS dividend_yield_tier,
@@ -261,7 +268,7 @@ SELECT b.*, trim(upper(client_name)) AS client_name_clean,
   {code('account_type_code', *T.ACCOUNT_TYPE_BATCH)} AS account_type,
   {_days_since('account_open_date', BATCH_AS_OF)} AS account_age_days
 FROM b)
-SELECT d.*, round(account_age_days / 365.25, 1) AS account_age_years,
+SELECT d.*, {R('account_age_days / 365.25', 1)} AS account_age_years,
   {_ymd('account_open_date')} AS account_open_date_clean, {_parts()}
 FROM d"""
     if table == "kyc":
@@ -303,7 +310,7 @@ def gold_sql(name: str) -> str:
     keys = ", ".join(spec.keys)
     meas = []
     for m in spec.measures:
-        text = measure_sql(m)
+        text = measure_sql(m, R, gold.INTEGRAL_COLUMNS)
         if (name, m.name) in _SUM_INT:
             text = f"CAST({text.rsplit(' AS ', 1)[0]} AS BIGINT) AS {m.name}"
         meas.append(text)
@@ -348,5 +355,6 @@ def quarantine_sql(table: str) -> str:
 
 
 def position_share_sql() -> str:
-    return (f"SELECT holding_id, market_value, round(market_value / sum(market_value) OVER (), "
-            f"{SHARE_SCALE_QUERY}) AS position_size_percentage FROM ({bronze_sql('holdings')}) b")
+    share = R("market_value / sum(market_value) OVER ()", SHARE_SCALE_QUERY)
+    return (f"SELECT holding_id, market_value, {share} AS position_size_percentage "
+            f"FROM ({bronze_sql('holdings')}) b")

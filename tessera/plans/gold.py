@@ -43,6 +43,10 @@ def _spec(name, inputs, keys, measures, order, on=(), sides=()) -> GoldSpec:
     return GoldSpec(name, tuple(inputs), tuple(keys), tuple(measures), tuple(order), tuple(on), tuple(sides))
 
 
+# Integer-typed silver columns that gold tables sum or average (all other
+# measured numeric columns are DOUBLE).
+INTEGRAL_COLUMNS = frozenset({"volume", "market_cap", "days_held", "age", "investment_experience_years"})
+
 _NAME_JOIN = (("client_name_clean", "client_name_clean"),)
 _ASSET_JOIN = (("asset_name_clean", "asset_name_clean"), ("sector", "sector"), ("region", "region"))
 
