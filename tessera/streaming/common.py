@@ -16,16 +16,26 @@ from tessera.sources import schemas
 from tessera.sources.tables import table_path
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 64) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(path)
-    )
+def file_stream(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    max_files: int = 64,
+    glob: str | None = None,
+) -> DataFrame:
+    """A file stream over a directory; ``glob`` selects the files of one
+    table when several tables share the directory."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(path)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_stream(spark, table_path(sf_dir, "events"), schemas.EVENTS)
+    """The events table as a stream: new event files dropped into the folder
+    are picked up by the next trigger."""
+    name = table_path(sf_dir, "events").rsplit("/", 1)[1]
+    return file_stream(spark, sf_dir, schemas.EVENTS, glob=name)
 
 
 def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None = None) -> None:
