@@ -90,9 +90,12 @@ def exact_ratio(total: Column, count: Column, scale: int | None) -> Column:
     return F.when(count > 0, q.cast("double"))
 
 
-def measure_column(m: Measure, dtype: str | None = None) -> Column:
+def measure_column(m: Measure, dtype: str | None = None, qualified: bool = False) -> Column:
+    """Spark aggregate for ``m``; ``qualified`` resolves ``"h.market_value"``
+    against aliased join inputs instead of the bare column name."""
     exact = dtype == "double" and m.fn in ("sum", "avg")
-    c = F.col(m.column) if m.column else None
+    name = m.col if qualified else m.column
+    c = F.col(name) if name else None
     if m.fn == "count":
         e = F.count(F.lit(1))
     elif m.fn == "cd":

@@ -25,6 +25,12 @@ per-block summaries:
 
 The result equals ``GROUP BY`` over the literal join (the SQL oracle runs
 that form).
+
+``strategy="auto"`` first computes the exact number of pairs from per-key
+row counts (two partial aggregates and a join of one row per key, returning
+one scalar). When the join emits no more than ``max_fanout`` times the larger
+input, the plain join + aggregate is used (it is cheaper when keys are close
+to unique); otherwise the block plan above.
 """
 
 from __future__ import annotations
@@ -35,13 +41,29 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio
+from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio, measure_column
 
 
 def _cname(*parts: str) -> str:
     return "_".join(["", *parts]).replace(".", "_")
 
 
+def pair_stats(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> tuple[int, int, int]:
+    """(pairs, left rows, right rows) of the inner join, without joining rows."""
+    jn = [f"_j{i}" for i in range(len(on))]
+    lc = left.select(*[F.col(a).alias(j) for (a, _), j in zip(on, jn)]).groupBy(*jn).agg(
+        F.count(F.lit(1)).alias("_ln"))
+    rc = right.select(*[F.col(b).alias(j) for (_, b), j in zip(on, jn)]).groupBy(*jn).agg(
+        F.count(F.lit(1)).alias("_rn"))
+    row = lc.join(rc, jn, "full").agg(
+        F.sum(F.col("_ln") * F.col("_rn")).alias("pairs"),
+        F.sum("_ln").alias("nl"),
+        F.sum("_rn").alias("nr"),
+    ).first()
+    pairs, nl, nr = (row[c] or 0 for c in ("pairs", "nl", "nr"))
+    return int(pairs), int(nl), int(nr)
+
+
 def join_aggregate(
     left: DataFrame,
     right: DataFrame,
@@ -50,9 +72,51 @@ def join_aggregate(
     measures: Sequence[Measure],
     sides: tuple[str, str] = ("l", "r"),
     order: Sequence[str] | None = None,
+    strategy: str = "auto",
+    max_fanout: float = 2.0,
 ) -> DataFrame:
     """``keys`` and measure columns are side-qualified (``"p.age_group"``);
     output key columns are named by the unqualified column."""
+    if strategy == "auto":
+        pairs, nl, nr = pair_stats(left, right, on)
+        strategy = "direct" if pairs <= max_fanout * max(nl, nr, 1) else "blocked"
+    if strategy == "direct":
+        return direct_join_aggregate(left, right, on, keys, measures, sides, order)
+    return blocked_join_aggregate(left, right, on, keys, measures, sides, order)
+
+
+def direct_join_aggregate(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    sides: tuple[str, str] = ("l", "r"),
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """The literal form: inner join, then one grouped aggregate (Catalyst
+    plans the distinct counts as Expand + two-level aggregation)."""
+    la, ra = sides
+    dtypes = {la: dict(left.dtypes), ra: dict(right.dtypes)}
+    cond = reduce(lambda a, b: a & b, [F.col(f"{la}.{a}") == F.col(f"{ra}.{b}") for a, b in on])
+    joined = left.alias(la).join(right.alias(ra), cond, "inner")
+    out = joined.groupBy(*[F.col(k).alias(k.split(".", 1)[1]) for k in keys]).agg(
+        *[measure_column(m, dtypes[m.side].get(m.column) if m.side else None, qualified=True)
+          for m in measures]
+    )
+    return out.orderBy(*order) if order else out
+
+
+def blocked_join_aggregate(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    sides: tuple[str, str] = ("l", "r"),
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """Pair-free form (see module docstring)."""
     la, ra = sides
     frames = {la: left, ra: right}
     join_cols = {la: [a for a, _ in on], ra: [b for _, b in on]}
@@ -156,35 +220,15 @@ def join_aggregate(
 
     # 3. exact distinct counts over pairs
     if distinct:
-        parts = []
-        for s in sides:
-            mine = [m for m in distinct if m.side == s]
-            if not mine:
-                continue
-            other = ra if s == la else la
-            tagged = F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(m.name).alias("_tag"),
-                            F.col(_cname("v", s, m.column)).cast("string").alias("_val"),
-                        )
-                        for m in mine
-                    ]
-                )
-            )
-            values = (
-                prep[s]
-                .select(*jnames, *side_keys[s], tagged.alias("_tv"))
-                .select(*jnames, *side_keys[s], "_tv._tag", "_tv._val")
-                .filter(F.col("_val").isNotNull())
-                .distinct()
-            )
-            partners = prep[other].select(*jnames, *side_keys[other]).distinct()
-            parts.append(values.join(partners, on=jnames, how="inner").select(*out_keys, "_tag", "_val"))
-        tagged_all = reduce(lambda a, b: a.unionByName(b), parts).distinct()
-        counts = tagged_all.groupBy(*out_keys).agg(
-            *[F.count_if(F.col("_tag") == m.name).alias(m.name) for m in distinct]
+        parts = [
+            _distinct_counts(prep, s, ra if s == la else la, [m for m in distinct if m.side == s],
+                             jnames, side_keys, out_keys)
+            for s in sides
+            if any(m.side == s for m in distinct)
+        ]
+        per_tag = reduce(lambda a, b: a.unionByName(b), parts)
+        counts = per_tag.groupBy(*out_keys).agg(
+            *[F.sum(F.when(F.col("_tag") == m.name, F.col("_cnt"))).alias(m.name) for m in distinct]
         )
         cond = reduce(
             lambda a, b: a & b, [result[k].eqNullSafe(counts[k]) for k in out_keys]
@@ -197,3 +241,67 @@ def join_aggregate(
 
     result = result.select(*out_keys, *[m.name for m in measures])
     return result.orderBy(*order) if order else result
+
+
+def _distinct_counts(
+    prep: dict[str, DataFrame],
+    s: str,
+    other: str,
+    mine: Sequence[Measure],
+    jnames: list[str],
+    side_keys: dict[str, list[str]],
+    out_keys: list[str],
+) -> DataFrame:
+    """Per (group keys, tag): number of distinct values of side ``s`` whose
+    row has a partner, without pairing values with the other side's rows.
+
+    A value seen under a single join key ("unambiguous", the usual case for
+    ids) is counted through its key's block: the block's count is added to
+    every other-side key combination of that join key. Only values seen under
+    several join keys are paired with the other side's distinct key
+    combinations and deduplicated. Output: (out_keys..., _tag, _cnt)."""
+    sk = side_keys[s]
+    tagged = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(m.name).alias("_tag"),
+                    F.col(_cname("v", s, m.column)).cast("string").alias("_val"),
+                )
+                for m in mine
+            ]
+        )
+    )
+    values = (
+        prep[s]
+        .select(*jnames, *sk, tagged.alias("_tv"))
+        .select(*jnames, *sk, "_tv._tag", "_tv._val")
+        .filter(F.col("_val").isNotNull())
+        .distinct()
+    )
+    vkeys = [*sk, "_tag", "_val"]
+    spread = values.groupBy(*vkeys).agg(F.count(F.lit(1)).alias("_nkeys")).select(
+        *[F.col(c).alias(f"_s{c}") for c in vkeys], "_nkeys"
+    )
+    cond = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in vkeys])
+    marked = values.join(spread, cond).select(*jnames, *vkeys, "_nkeys")
+    partners = prep[other].select(*jnames, *side_keys[other]).distinct()
+
+    single = (
+        marked.filter(F.col("_nkeys") == 1)
+        .groupBy(*jnames, *sk, "_tag")
+        .agg(F.count(F.lit(1)).alias("_u"))
+        .join(partners, on=jnames, how="inner")
+        .groupBy(*out_keys, "_tag")
+        .agg(F.sum("_u").alias("_cnt"))
+    )
+    shared = (
+        marked.filter(F.col("_nkeys") > 1)
+        .select(*jnames, *vkeys)
+        .join(partners, on=jnames, how="inner")
+        .select(*out_keys, "_tag", "_val")
+        .distinct()
+        .groupBy(*out_keys, "_tag")
+        .agg(F.count(F.lit(1)).alias("_cnt"))
+    )
+    return single.unionByName(shared)

@@ -291,7 +291,9 @@ def tagged_union(silver: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def build(name: str, silver: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
+def build(
+    name: str, silver: dict[str, DataFrame], ordered: bool = True, join_strategy: str = "auto"
+) -> DataFrame:
     spec = SPECS[name]
     order: Sequence[str] | None = spec.order if ordered else None
     if name == "processing_metrics":
@@ -301,5 +303,5 @@ def build(name: str, silver: dict[str, DataFrame], ordered: bool = True) -> Data
     left, right = (silver[t] for t in spec.inputs)
     return join_aggregate(
         left, right, spec.on, spec.keys, spec.measures,
-        sides=(spec.sides[0], spec.sides[1]), order=order,
+        sides=(spec.sides[0], spec.sides[1]), order=order, strategy=join_strategy,
     )
