@@ -15,11 +15,13 @@ per-block summaries:
    ``n_left * n_right`` pairs: a left column's pair-sum is its block sum times
    the right block's row count (and vice versa); min and max are unchanged.
 3. Exact distinct counts over pairs: a value of a left column counts in a
-   group iff its row has a partner, i.e. ``distinct(join key, left keys, value)``
-   joined to ``distinct(join key, right keys)``. Both sides are deduplicated
-   before the join; the join output is bounded by distinct values, not rows.
-   The join relies on AQE skew-join splitting if one key still carries many
-   distinct values.
+   group iff its row has a partner with that group's right keys. Values are
+   deduplicated per ``(join key, left keys, value)`` and paired with the
+   right side's *distinct* key combinations per join key, never with its
+   rows. When that pairing could itself fan out (``join_stats`` measures it),
+   values that occur under a single join key -- ids, the usual case -- are
+   counted through their block instead, and only values shared by several
+   join keys are paired and deduplicated.
 4. The additive and distinct parts are joined on the (small) group keys with
    null-safe equality, since NULL group keys form groups.
 
@@ -48,20 +50,45 @@ def _cname(*parts: str) -> str:
     return "_".join(["", *parts]).replace(".", "_")
 
 
-def pair_stats(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> tuple[int, int, int]:
-    """(pairs, left rows, right rows) of the inner join, without joining rows."""
+def join_stats(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    left_keys: Sequence[str] = (),
+    right_keys: Sequence[str] = (),
+) -> dict[str, int]:
+    """Sizes of the inner join computed from per-key summaries, one scalar row:
+
+    * ``pairs`` rows the join would emit; ``left``/``right`` rows with a key;
+    * ``left_combo``: sum over keys of left rows x distinct right group-key
+      combinations (the rows a left-value-to-right-keys pairing emits), and
+      ``right_combo`` the mirror image.
+    """
     jn = [f"_j{i}" for i in range(len(on))]
-    lc = left.select(*[F.col(a).alias(j) for (a, _), j in zip(on, jn)]).groupBy(*jn).agg(
-        F.count(F.lit(1)).alias("_ln"))
-    rc = right.select(*[F.col(b).alias(j) for (_, b), j in zip(on, jn)]).groupBy(*jn).agg(
-        F.count(F.lit(1)).alias("_rn"))
-    row = lc.join(rc, jn, "full").agg(
+
+    def side(df: DataFrame, cols: Sequence[str], keys: Sequence[str], tag: str) -> DataFrame:
+        base = df.select(*[F.col(c).alias(j) for c, j in zip(cols, jn)], *keys).filter(
+            reduce(lambda a, b: a & b, [F.col(j).isNotNull() for j in jn]))
+        cnt = base.groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}n"))
+        combos = base.select(*jn, *keys).distinct().groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}k"))
+        return cnt.join(combos, jn)
+
+    stats = side(left, [a for a, _ in on], left_keys, "l").join(
+        side(right, [b for _, b in on], right_keys, "r"), jn, "full")
+    row = stats.agg(
         F.sum(F.col("_ln") * F.col("_rn")).alias("pairs"),
-        F.sum("_ln").alias("nl"),
-        F.sum("_rn").alias("nr"),
+        F.sum("_ln").alias("left"),
+        F.sum("_rn").alias("right"),
+        F.sum(F.col("_ln") * F.col("_rk")).alias("left_combo"),
+        F.sum(F.col("_rn") * F.col("_lk")).alias("right_combo"),
     ).first()
-    pairs, nl, nr = (row[c] or 0 for c in ("pairs", "nl", "nr"))
-    return int(pairs), int(nl), int(nr)
+    return {k: int(row[k] or 0) for k in ("pairs", "left", "right", "left_combo", "right_combo")}
+
+
+def pair_stats(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> tuple[int, int, int]:
+    """(pairs, left rows, right rows) of the inner join, without joining rows."""
+    st = join_stats(left, right, on)
+    return st["pairs"], st["left"], st["right"]
 
 
 def join_aggregate(
@@ -77,12 +104,25 @@ def join_aggregate(
 ) -> DataFrame:
     """``keys`` and measure columns are side-qualified (``"p.age_group"``);
     output key columns are named by the unqualified column."""
+    la, ra = sides
+    split = {la: True, ra: True}
     if strategy == "auto":
-        pairs, nl, nr = pair_stats(left, right, on)
-        strategy = "direct" if pairs <= max_fanout * max(nl, nr, 1) else "blocked"
+        lk = [k.split(".", 1)[1] for k in keys if k.startswith(la + ".")]
+        rk = [k.split(".", 1)[1] for k in keys if k.startswith(ra + ".")]
+        st = join_stats(left, right, on, lk, rk)
+        if st["pairs"] <= max_fanout * max(st["left"], st["right"], 1):
+            strategy = "direct"
+        else:
+            strategy = "blocked"
+            # pair values with partner key combinations directly when that
+            # emits no more than max_fanout x the side's rows
+            split = {
+                la: st["left_combo"] > max_fanout * max(st["left"], 1),
+                ra: st["right_combo"] > max_fanout * max(st["right"], 1),
+            }
     if strategy == "direct":
         return direct_join_aggregate(left, right, on, keys, measures, sides, order)
-    return blocked_join_aggregate(left, right, on, keys, measures, sides, order)
+    return blocked_join_aggregate(left, right, on, keys, measures, sides, order, split)
 
 
 def direct_join_aggregate(
@@ -115,8 +155,12 @@ def blocked_join_aggregate(
     measures: Sequence[Measure],
     sides: tuple[str, str] = ("l", "r"),
     order: Sequence[str] | None = None,
+    split_shared: dict[str, bool] | None = None,
 ) -> DataFrame:
-    """Pair-free form (see module docstring)."""
+    """Pair-free form (see module docstring). ``split_shared[side]`` False
+    pairs that side's distinct values with partner key combinations without
+    the single/shared split (safe when ``join_stats`` bounds that pairing)."""
+    split_shared = split_shared or {}
     la, ra = sides
     frames = {la: left, ra: right}
     join_cols = {la: [a for a, _ in on], ra: [b for _, b in on]}
@@ -222,7 +266,7 @@ def blocked_join_aggregate(
     if distinct:
         parts = [
             _distinct_counts(prep, s, ra if s == la else la, [m for m in distinct if m.side == s],
-                             jnames, side_keys, out_keys)
+                             jnames, side_keys, out_keys, split_shared.get(s, True))
             for s in sides
             if any(m.side == s for m in distinct)
         ]
@@ -251,6 +295,7 @@ def _distinct_counts(
     jnames: list[str],
     side_keys: dict[str, list[str]],
     out_keys: list[str],
+    split: bool = True,
 ) -> DataFrame:
     """Per (group keys, tag): number of distinct values of side ``s`` whose
     row has a partner, without pairing values with the other side's rows.
@@ -280,12 +325,20 @@ def _distinct_counts(
         .distinct()
     )
     vkeys = [*sk, "_tag", "_val"]
+    partners = prep[other].select(*jnames, *side_keys[other]).distinct()
+    if not split:
+        return (
+            values.join(partners, on=jnames, how="inner")
+            .select(*out_keys, "_tag", "_val")
+            .distinct()
+            .groupBy(*out_keys, "_tag")
+            .agg(F.count(F.lit(1)).alias("_cnt"))
+        )
     spread = values.groupBy(*vkeys).agg(F.count(F.lit(1)).alias("_nkeys")).select(
         *[F.col(c).alias(f"_s{c}") for c in vkeys], "_nkeys"
     )
     cond = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in vkeys])
     marked = values.join(spread, cond).select(*jnames, *vkeys, "_nkeys")
-    partners = prep[other].select(*jnames, *side_keys[other]).distinct()
 
     single = (
         marked.filter(F.col("_nkeys") == 1)

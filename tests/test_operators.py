@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import quality
 from tessera.operators.aggregate import avg, cd, max_, min_, n, sd, sum_
 from tessera.operators.faults import Fault, fault_sql, inject_faults
-from tessera.operators.joins import join_aggregate, pair_stats
+from tessera.operators.joins import blocked_join_aggregate, join_aggregate, join_stats, pair_stats
 from tessera.operators.share import with_share, with_share_window
 
 
@@ -176,10 +176,14 @@ def _brute(spark, holdings, profiles):
     )
 
 
-@pytest.mark.parametrize("strategy", ["direct", "blocked"])
+@pytest.mark.parametrize("strategy", ["direct", "blocked", "blocked_unsplit", "auto"])
 def test_join_aggregate_equals_literal_join(spark, strategy):
     h, p = _join_inputs(spark)
-    got = join_aggregate(h, p, [("name", "name")], KEYS, MEASURES, ("h", "p"), strategy=strategy)
+    if strategy == "blocked_unsplit":
+        got = blocked_join_aggregate(h, p, [("name", "name")], KEYS, MEASURES, ("h", "p"),
+                                     split_shared={"h": False, "p": False})
+    else:
+        got = join_aggregate(h, p, [("name", "name")], KEYS, MEASURES, ("h", "p"), strategy=strategy)
     want = _brute(spark, h, p)
     norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
     assert norm(got.collect()) == norm(want.collect())
@@ -199,3 +203,12 @@ def test_blocked_plan_has_no_row_pair_join(spark):
     got = join_aggregate(h, p, [("name", "name")], KEYS, MEASURES, ("h", "p"), strategy="blocked")
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "CartesianProduct" not in plan and "Expand" not in plan
+
+
+def test_join_stats_measure_fan_out(spark):
+    h, p = _join_inputs(spark)
+    st = join_stats(h, p, [("name", "name")], ["kind"], ["tier"])
+    # ANN 2x3, BOB 2x1, CY 1x1, HOT 40x25; NULL names never match
+    assert st["pairs"] == 6 + 2 + 1 + 1000
+    assert st["left_combo"] == 2 * 2 + 2 * 1 + 1 * 1 + 40 * 1
+    assert st["right_combo"] == 3 * 1 + 1 * 1 + 1 * 1 + 25 * 1
