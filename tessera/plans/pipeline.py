@@ -57,6 +57,26 @@ def quality_report(spark: SparkSession, sf_dir: str, as_of: AsOf = None) -> Data
     return out
 
 
+def run_concurrently(spark: SparkSession, tasks: dict[str, object], max_workers: int) -> dict[str, object]:
+    """Run independent table builds as concurrent Spark jobs. Each worker
+    thread submits into its own FAIR scheduler pool, so small jobs fill the
+    cores a single job leaves idle; results are returned by task name."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(item):
+        name, fn = item
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tessera-{name}")
+        try:
+            return name, fn()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    if max_workers <= 1:
+        return dict(run(i) for i in tasks.items())
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        return dict(pool.map(run, tasks.items()))
+
+
 def run_batch(
     spark: SparkSession,
     sf_dir: str,
@@ -64,36 +84,45 @@ def run_batch(
     as_of: AsOf = None,
     tables: tuple[str, ...] = BATCH_TABLES + EVENT_TABLES,
     gold_names: tuple[str, ...] | None = None,
+    max_workers: int = 4,
 ) -> dict[str, str]:
-    """Write bronze, silver, quality metrics and gold tables; return paths."""
+    """Write bronze, silver, quality metrics and gold tables; return paths.
+
+    Layers are written in dependency order; the tables inside a layer are
+    independent and are built concurrently (``max_workers`` jobs at a time).
+    """
     from tessera.sources import schemas
 
+    def table_chain(t: str):
+        def build() -> dict[str, str]:
+            bpath, spath, mpath = (f"{out_root}/{layer}/{t}" for layer in ("bronze", "silver", "quality"))
+            bronze(spark, sf_dir, t).write.mode("overwrite").parquet(bpath)
+            b = spark.read.schema(schemas.BRONZE[t]).parquet(bpath)
+            clean, obs = quality.observe_rules(DERIVE[t](b, as_of), quality.RULES[t], t)
+            quality.enforce(clean, quality.RULES[t]).write.mode("overwrite").parquet(spath)
+            metrics = obs.get  # a handful of counters for this table
+            rows = [(t, r.name, r.action, int(metrics["total_count"]), int(metrics[r.name]))
+                    for r in quality.RULES[t]]
+            spark.createDataFrame(
+                rows, "table_name string, rule string, action string, total_count bigint, failed_count bigint"
+            ).write.mode("overwrite").parquet(mpath)
+            return {f"bronze_{t}": bpath, f"silver_{t}": spath, f"quality_{t}": mpath}
+        return build
+
     paths: dict[str, str] = {}
-    silver_read: dict[str, DataFrame] = {}
-    for t in tables:
-        bpath = f"{out_root}/bronze/{t}"
-        bronze(spark, sf_dir, t).write.mode("overwrite").parquet(bpath)
-        paths[f"bronze_{t}"] = bpath
-        b = spark.read.schema(schemas.BRONZE[t]).parquet(bpath)
-        derived = DERIVE[t](b, as_of)
-        clean, obs = quality.observe_rules(derived, quality.RULES[t], t)
-        spath = f"{out_root}/silver/{t}"
-        quality.enforce(clean, quality.RULES[t]).write.mode("overwrite").parquet(spath)
-        paths[f"silver_{t}"] = spath
-        silver_read[t] = spark.read.parquet(spath)
-        metrics = obs.get  # a handful of counters for this table
-        rows = [(t, r.name, r.action, int(metrics["total_count"]), int(metrics[r.name]))
-                for r in quality.RULES[t]]
-        mpath = f"{out_root}/quality/{t}"
-        spark.createDataFrame(
-            rows, "table_name string, rule string, action string, total_count bigint, failed_count bigint"
-        ).write.mode("overwrite").parquet(mpath)
-        paths[f"quality_{t}"] = mpath
-    for name in gold_names or tuple(gold.SPECS):
-        spec = gold.SPECS[name]
-        if not all(i in silver_read for i in spec.inputs):
-            continue
-        gpath = f"{out_root}/gold/{name}"
-        gold.build(name, silver_read).write.mode("overwrite").parquet(gpath)
+    for built in run_concurrently(spark, {t: table_chain(t) for t in tables}, max_workers).values():
+        paths.update(built)
+    silver_read = {t: spark.read.parquet(paths[f"silver_{t}"]) for t in tables}
+
+    def gold_job(name: str):
+        def build() -> str:
+            gpath = f"{out_root}/gold/{name}"
+            gold.build(name, silver_read).write.mode("overwrite").parquet(gpath)
+            return gpath
+        return build
+
+    names = [n for n in (gold_names or tuple(gold.SPECS))
+             if all(i in silver_read for i in gold.SPECS[n].inputs)]
+    for name, gpath in run_concurrently(spark, {n: gold_job(n) for n in names}, max_workers).items():
         paths[f"gold_{name}"] = gpath
     return paths

@@ -19,6 +19,8 @@ _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # independent table builds run as concurrent jobs in per-thread pools
+    "spark.scheduler.mode": "FAIR",
 }
 
 _LOCAL_FALLBACK: dict[str, str] = {}

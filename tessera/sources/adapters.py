@@ -67,6 +67,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
          "l_linestatus", "l_shipdate"],
+        spread="l_orderkey",
     )
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
@@ -102,6 +103,7 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
          "l_extendedprice", "l_discount", "l_shipdate"],
+        spread="l_orderkey",
     )
     part = read_table(spark, sf_dir, "part",
                       ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
@@ -152,6 +154,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
          "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+        spread="l_orderkey",
     )
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type"])
@@ -278,11 +281,11 @@ def purchases_from_events(events: DataFrame) -> DataFrame:
 
 
 def kyc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kyc_from_events(read_table(spark, sf_dir, "events"))
+    return kyc_from_events(read_table(spark, sf_dir, "events", spread="event_id"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchases_from_events(read_table(spark, sf_dir, "events"))
+    return purchases_from_events(read_table(spark, sf_dir, "events", spread="event_id"))
 
 
 ADAPTERS = {

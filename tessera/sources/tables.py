@@ -59,8 +59,26 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    columns: Sequence[str] | None = None,
+    spread: str | None = None,
 ) -> DataFrame:
+    """``spread="<column>"`` marks a fact table: if its scan yields fewer
+    splits than the session's parallelism (one file holding one row group),
+    rows are hash-distributed on that column so the joins and projections
+    downstream use all cores. Scans that are already wide (the cluster case)
+    are left alone."""
+    df = _read(spark, sf_dir, name, columns)
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want, spread)
+    return df
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None) -> DataFrame:
     path = table_path(sf_dir, name)
     key = (spark.sparkContext.applicationId, path)
     base = _BASE.get(key)
