@@ -43,7 +43,7 @@ TABLES = ("holdings", "market", "transactions", "profiles", "kyc", "purchases")
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    workers = int(os.environ.get("BENCH_WORKERS", "4"))
+    workers = int(os.environ.get("BENCH_WORKERS", str(cpus)))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="tessera-bench")
     root = fresh_path(spark, "bench")
     times: dict[str, float] = {}

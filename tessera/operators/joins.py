@@ -50,26 +50,39 @@ def _cname(*parts: str) -> str:
     return "_".join(["", *parts]).replace(".", "_")
 
 
+_STATS_CACHE: dict[tuple, dict[str, int]] = {}
+
+
 def join_stats(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     left_keys: Sequence[str] = (),
     right_keys: Sequence[str] = (),
+    with_combos: bool = True,
 ) -> dict[str, int]:
     """Sizes of the inner join computed from per-key summaries, one scalar row:
 
     * ``pairs`` rows the join would emit; ``left``/``right`` rows with a key;
     * ``left_combo``: sum over keys of left rows x distinct right group-key
       combinations (the rows a left-value-to-right-keys pairing emits), and
-      ``right_combo`` the mirror image.
+      ``right_combo`` the mirror image (only ``with_combos``).
+
+    Results are memoised per (plan, plan, keys) within the process, so tables
+    sharing a join (e.g. two gold tables over holdings x profiles) pay once.
     """
+    cache_key = (left._jdf.semanticHash(), right._jdf.semanticHash(), tuple(on),
+                 tuple(left_keys), tuple(right_keys), with_combos)
+    if cache_key in _STATS_CACHE:
+        return _STATS_CACHE[cache_key]
     jn = [f"_j{i}" for i in range(len(on))]
 
     def side(df: DataFrame, cols: Sequence[str], keys: Sequence[str], tag: str) -> DataFrame:
         base = df.select(*[F.col(c).alias(j) for c, j in zip(cols, jn)], *keys).filter(
             reduce(lambda a, b: a & b, [F.col(j).isNotNull() for j in jn]))
         cnt = base.groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}n"))
+        if not with_combos:
+            return cnt.withColumn(f"_{tag}k", F.lit(None).cast("bigint"))
         combos = base.select(*jn, *keys).distinct().groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}k"))
         return cnt.join(combos, jn)
 
@@ -82,12 +95,14 @@ def join_stats(
         F.sum(F.col("_ln") * F.col("_rk")).alias("left_combo"),
         F.sum(F.col("_rn") * F.col("_lk")).alias("right_combo"),
     ).first()
-    return {k: int(row[k] or 0) for k in ("pairs", "left", "right", "left_combo", "right_combo")}
+    out = {k: int(row[k] or 0) for k in ("pairs", "left", "right", "left_combo", "right_combo")}
+    _STATS_CACHE[cache_key] = out
+    return out
 
 
 def pair_stats(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> tuple[int, int, int]:
     """(pairs, left rows, right rows) of the inner join, without joining rows."""
-    st = join_stats(left, right, on)
+    st = join_stats(left, right, on, with_combos=False)
     return st["pairs"], st["left"], st["right"]
 
 
@@ -109,11 +124,12 @@ def join_aggregate(
     if strategy == "auto":
         lk = [k.split(".", 1)[1] for k in keys if k.startswith(la + ".")]
         rk = [k.split(".", 1)[1] for k in keys if k.startswith(ra + ".")]
-        st = join_stats(left, right, on, lk, rk)
+        st = join_stats(left, right, on, with_combos=False)
         if st["pairs"] <= max_fanout * max(st["left"], st["right"], 1):
             strategy = "direct"
         else:
             strategy = "blocked"
+            st = join_stats(left, right, on, lk, rk)
             # pair values with partner key combinations directly when that
             # emits no more than max_fanout x the side's rows
             split = {
