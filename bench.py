@@ -75,8 +75,10 @@ def main() -> None:
             rule_counts[t] = obs.get
         return run
 
+    # longest chains first
+    order = ("market", "holdings", "transactions", "profiles", "kyc", "purchases")
     phase("phase_bronze_silver",
-          lambda: pipeline.run_concurrently(spark, {t: chain(t) for t in TABLES}, workers))
+          lambda: pipeline.run_concurrently(spark, {t: chain(t) for t in order}, workers))
     silver_df = {t: spark.read.parquet(f"{root}/silver/{t}") for t in TABLES}
 
     def gold_job(name):
@@ -84,7 +86,7 @@ def main() -> None:
                              lambda: gold.build(name, silver_df).write.parquet(f"{root}/gold/{name}"))
 
     phase("phase_gold",
-          lambda: pipeline.run_concurrently(spark, {n: gold_job(n) for n in gold.SPECS}, workers))
+          lambda: pipeline.run_concurrently(spark, {n: gold_job(n) for n in gold.build_order()}, workers))
 
     hb = spark.read.schema(schemas.BRONZE["holdings"]).parquet(f"{root}/bronze/holdings")
     phase("share_broadcast", lambda: timed(

@@ -121,7 +121,7 @@ def run_batch(
             return gpath
         return build
 
-    names = [n for n in (gold_names or tuple(gold.SPECS))
+    names = [n for n in gold.build_order(gold_names)
              if all(i in silver_read for i in gold.SPECS[n].inputs)]
     for name, gpath in run_concurrently(spark, {n: gold_job(n) for n in names}, max_workers).items():
         paths[f"gold_{name}"] = gpath
