@@ -90,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         spark, d, "realtime_kyc_metrics"
     )
     q["stream_silver_purchases"] = lambda spark, d: purchase_stream.run_silver(spark, d)
+    q["stream_gold_purchase_analytics"] = lambda spark, d: purchase_stream.run_gold(
+        spark, d, "purchase_analytics"
+    )
     q["stream_hourly_watermark"] = lambda spark, d: kyc_stream.run_hourly_watermark(spark, d)
     return q
 
@@ -110,5 +113,6 @@ def oracle_sql() -> dict[str, str]:
     s["stream_silver_kyc"] = oracle.silver_sql("kyc")
     s["stream_gold_realtime_kyc"] = oracle.gold_sql("realtime_kyc_metrics")
     s["stream_silver_purchases"] = oracle.silver_sql("purchases")
+    s["stream_gold_purchase_analytics"] = oracle.gold_sql("purchase_analytics")
     # stream_hourly_watermark uses approx_count_distinct: rows-only check.
     return s
