@@ -14,13 +14,18 @@ Phases, timed on a warm session (wall clock):
 * ``stream_kyc`` -- events -> bronze -> silver with ``availableNow``.
 
 ``queries`` holds the duration of every step (steps of one phase overlap);
-``value`` is the wall time of all phases together.
+the gold phase runs ``BENCH_REPEAT`` times (default 3) and reports medians.
+``value`` is the wall time of all phases together. Shuffle bytes written and
+bytes spilled per phase come from Spark's event log, written to the scratch
+folder (no UI or server is involved).
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -44,7 +49,20 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     workers = int(os.environ.get("BENCH_WORKERS", str(cpus)))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="tessera-bench")
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    import tempfile
+
+    log_dir = tempfile.mkdtemp(prefix="tessera-bench-events-")
+    spark = build_session(
+        master=f"local[{cpus}]",
+        shuffle_partitions=max(8, cpus * 2),
+        app_name="tessera-bench",
+        extra_conf={
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
+        },
+    )
     root = fresh_path(spark, "bench")
     times: dict[str, float] = {}
     phases: dict[str, float] = {}
@@ -57,6 +75,7 @@ def main() -> None:
         return out
 
     def phase(name, fn):
+        spark.sparkContext.setJobGroup(f"phase:{name}", name)
         t0 = time.perf_counter()
         fn()
         phases[name] = round(time.perf_counter() - t0, 3)
@@ -81,12 +100,19 @@ def main() -> None:
           lambda: pipeline.run_concurrently(spark, {t: chain(t) for t in order}, workers))
     silver_df = {t: spark.read.parquet(f"{root}/silver/{t}") for t in TABLES}
 
-    def gold_job(name):
-        return lambda: timed(f"gold_{name}",
-                             lambda: gold.build(name, silver_df).write.parquet(f"{root}/gold/{name}"))
+    def gold_job(name, run):
+        return lambda: timed(f"gold_{name}#{run}",
+                             lambda: gold.build(name, silver_df).write.parquet(f"{root}/gold{run}/{name}"))
 
-    phase("phase_gold",
-          lambda: pipeline.run_concurrently(spark, {n: gold_job(n) for n in gold.build_order()}, workers))
+    gold_walls = []
+    for run in range(repeat):
+        phase(f"phase_gold#{run}", lambda r=run: pipeline.run_concurrently(
+            spark, {n: gold_job(n, r) for n in gold.build_order()}, workers))
+        gold_walls.append(phases.pop(f"phase_gold#{run}"))
+    phases["phase_gold"] = round(statistics.median(gold_walls), 3)
+    for n in gold.SPECS:
+        runs = [times.pop(f"gold_{n}#{r}") for r in range(repeat)]
+        times[f"gold_{n}"] = round(statistics.median(runs), 3)
 
     hb = spark.read.schema(schemas.BRONZE["holdings"]).parquet(f"{root}/bronze/holdings")
     phase("share_broadcast", lambda: timed(
@@ -96,6 +122,9 @@ def main() -> None:
     phase("stream_kyc", lambda: timed(
         "stream_kyc", lambda: kyc_stream.run_pipeline(spark, sf_dir, f"{root}/stream")))
 
+    stream_rows = spark.read.parquet(f"{root}/stream/bronze").count()
+    rows_per_sec = round(stream_rows / max(times["stream_kyc"], 1e-9), 1)
+    spark.stop()
     out = {
         "metric": "pipeline_wall_sec",
         "value": round(sum(phases.values()), 3),
@@ -105,10 +134,41 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
         "workers": workers,
+        "gold_phase_runs": gold_walls,
+        "stream_kyc_rows_per_sec": rows_per_sec,
+        "shuffle_and_spill_bytes": _io_by_phase(log_dir),
         "rows_failed": {t: {k: v for k, v in c.items() if v} for t, c in rule_counts.items()},
     }
     print(json.dumps(out))
 
 
+def _io_by_phase(log_dir: str) -> dict[str, dict[str, int]]:
+    """Sum shuffle-write and spill bytes of finished tasks per job group."""
+    stage_group: dict[int, str] = {}
+    out: dict[str, dict[str, int]] = {}
+    for path in glob.glob(f"{log_dir}/**/*", recursive=True):
+        if os.path.isdir(path):
+            continue
+        with open(path, errors="replace") as fh:
+            for line in fh:
+                try:
+                    e = json.loads(line)
+                except ValueError:
+                    continue
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (e.get("Properties") or {}).get("spark.jobGroup.id", "other")
+                    for sid in e.get("Stage IDs", []):
+                        stage_group[sid] = group.replace("phase:", "").split("#")[0]
+                elif kind == "SparkListenerTaskEnd":
+                    m = e.get("Task Metrics") or {}
+                    g = out.setdefault(stage_group.get(e.get("Stage ID"), "other"),
+                                       {"shuffle_write": 0, "spill_memory": 0, "spill_disk": 0})
+                    g["shuffle_write"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    g["spill_memory"] += m.get("Memory Bytes Spilled", 0)
+                    g["spill_disk"] += m.get("Disk Bytes Spilled", 0)
+    return out
+
+
 if __name__ == "__main__":
     main()

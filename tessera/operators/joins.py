@@ -182,7 +182,16 @@ def blocked_join_aggregate(
     join_cols = {la: [a for a, _ in on], ra: [b for _, b in on]}
     jnames = [f"_j{i}" for i in range(len(on))]
     side_keys = {s: [k.split(".", 1)[1] for k in keys if k.split(".", 1)[0] == s] for s in sides}
+    # group keys that are also join columns travel once, as the join column
+    own_keys = {s: [k for k in side_keys[s] if k not in join_cols[s]] for s in sides}
     out_keys = [k.split(".", 1)[1] for k in keys]
+    key_side = {k.split(".", 1)[1]: k.split(".", 1)[0] for k in keys}
+
+    def key_col(k: str) -> Column:
+        s = key_side[k]
+        if k in join_cols[s]:
+            return F.col(jnames[join_cols[s].index(k)]).alias(k)
+        return F.col(k)
 
     additive = [m for m in measures if m.fn not in ("count", "cd")]
     distinct = [m for m in measures if m.fn == "cd"]
@@ -190,7 +199,7 @@ def blocked_join_aggregate(
     def prepared(s: str) -> DataFrame:
         cols = {m.column for m in measures if m.side == s and m.fn != "count"}
         sel = [F.col(c).alias(j) for c, j in zip(join_cols[s], jnames)]
-        sel += [F.col(k) for k in side_keys[s]]
+        sel += [F.col(k) for k in own_keys[s]]
         sel += [F.col(c).alias(_cname("v", s, c)) for c in sorted(cols)]
         df = frames[s].select(*sel)
         return df.filter(reduce(lambda a, b: a & b, [F.col(j).isNotNull() for j in jnames]))
@@ -233,10 +242,11 @@ def blocked_join_aggregate(
                     "max": F.max(v),
                 }[w]
                 aggs.append(expr.alias(name))
-        return prep[s].groupBy(*jnames, *side_keys[s]).agg(*aggs)
+        return prep[s].groupBy(*jnames, *own_keys[s]).agg(*aggs)
 
     lb, rb = blocks(la), blocks(ra)
     paired = lb.join(rb, on=jnames, how="inner")
+    paired = paired.select("*", *[key_col(k) for k in out_keys if k not in own_keys[key_side[k]]])
 
     # 2. weighted roll-up to the group keys
     def weight(s: str) -> Column:
@@ -278,17 +288,20 @@ def blocked_join_aggregate(
         agg_exprs.append(e.alias(m.name))
     result = paired.groupBy(*out_keys).agg(*agg_exprs)
 
-    # 3. exact distinct counts over pairs
+    # 3. exact distinct counts over pairs (tags are the measure's position)
     if distinct:
+        tags = {m.name: i for i, m in enumerate(distinct)}
         parts = [
-            _distinct_counts(prep, s, ra if s == la else la, [m for m in distinct if m.side == s],
-                             jnames, side_keys, out_keys, split_shared.get(s, True))
+            _distinct_counts(prep, s, ra if s == la else la,
+                             [(tags[m.name], m) for m in distinct if m.side == s],
+                             jnames, own_keys, [key_col(k) for k in out_keys], out_keys,
+                             split_shared.get(s, True))
             for s in sides
             if any(m.side == s for m in distinct)
         ]
         per_tag = reduce(lambda a, b: a.unionByName(b), parts)
         counts = per_tag.groupBy(*out_keys).agg(
-            *[F.sum(F.when(F.col("_tag") == m.name, F.col("_cnt"))).alias(m.name) for m in distinct]
+            *[F.sum(F.when(F.col("_tag") == tags[m.name], F.col("_cnt"))).alias(m.name) for m in distinct]
         )
         cond = reduce(
             lambda a, b: a & b, [result[k].eqNullSafe(counts[k]) for k in out_keys]
@@ -307,10 +320,11 @@ def _distinct_counts(
     prep: dict[str, DataFrame],
     s: str,
     other: str,
-    mine: Sequence[Measure],
+    mine: Sequence[tuple[int, Measure]],
     jnames: list[str],
-    side_keys: dict[str, list[str]],
-    out_keys: list[str],
+    own_keys: dict[str, list[str]],
+    out_cols: list[Column],
+    names: list[str],
     split: bool = True,
 ) -> DataFrame:
     """Per (group keys, tag): number of distinct values of side ``s`` whose
@@ -320,16 +334,16 @@ def _distinct_counts(
     ids) is counted through its key's block: the block's count is added to
     every other-side key combination of that join key. Only values seen under
     several join keys are paired with the other side's distinct key
-    combinations and deduplicated. Output: (out_keys..., _tag, _cnt)."""
-    sk = side_keys[s]
+    combinations and deduplicated. Output: (out keys..., _tag, _cnt)."""
+    sk = own_keys[s]
     tagged = F.explode(
         F.array(
             *[
                 F.struct(
-                    F.lit(m.name).alias("_tag"),
+                    F.lit(tag).cast("tinyint").alias("_tag"),
                     F.col(_cname("v", s, m.column)).cast("string").alias("_val"),
                 )
-                for m in mine
+                for tag, m in mine
             ]
         )
     )
@@ -341,13 +355,13 @@ def _distinct_counts(
         .distinct()
     )
     vkeys = [*sk, "_tag", "_val"]
-    partners = prep[other].select(*jnames, *side_keys[other]).distinct()
+    partners = prep[other].select(*jnames, *own_keys[other]).distinct()
     if not split:
         return (
             values.join(partners, on=jnames, how="inner")
-            .select(*out_keys, "_tag", "_val")
+            .select(*out_cols, "_tag", "_val")
             .distinct()
-            .groupBy(*out_keys, "_tag")
+            .groupBy(*names, "_tag")
             .agg(F.count(F.lit(1)).alias("_cnt"))
         )
     spread = values.groupBy(*vkeys).agg(F.count(F.lit(1)).alias("_nkeys")).select(
@@ -361,16 +375,18 @@ def _distinct_counts(
         .groupBy(*jnames, *sk, "_tag")
         .agg(F.count(F.lit(1)).alias("_u"))
         .join(partners, on=jnames, how="inner")
-        .groupBy(*out_keys, "_tag")
+        .select(*out_cols, "_tag", "_u")
+        .groupBy(*names, "_tag")
         .agg(F.sum("_u").alias("_cnt"))
     )
     shared = (
         marked.filter(F.col("_nkeys") > 1)
         .select(*jnames, *vkeys)
         .join(partners, on=jnames, how="inner")
-        .select(*out_keys, "_tag", "_val")
+        .select(*out_cols, "_tag", "_val")
         .distinct()
-        .groupBy(*out_keys, "_tag")
+        .groupBy(*names, "_tag")
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
     return single.unionByName(shared)
+

@@ -63,8 +63,12 @@ def run_concurrently(spark: SparkSession, tasks: dict[str, object], max_workers:
     cores a single job leaves idle; results are returned by task name."""
     from concurrent.futures import ThreadPoolExecutor
 
+    group = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
     def run(item):
         name, fn = item
+        if group:  # worker threads do not inherit the caller's job group
+            spark.sparkContext.setJobGroup(group, group)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tessera-{name}")
         try:
             return name, fn()

@@ -212,3 +212,33 @@ def test_join_stats_measure_fan_out(spark):
     assert st["pairs"] == 6 + 2 + 1 + 1000
     assert st["left_combo"] == 2 * 2 + 2 * 1 + 1 * 1 + 40 * 1
     assert st["right_combo"] == 3 * 1 + 1 * 1 + 1 * 1 + 25 * 1
+
+
+@pytest.mark.parametrize("strategy", ["direct", "blocked", "blocked_unsplit"])
+def test_multi_key_join_with_key_columns_in_groups(spark, strategy):
+    h = spark.createDataFrame(
+        [("A", "tech", "EU", 1, 10.0), ("A", "tech", "EU", 2, 20.0), ("A", "tech", "US", 3, 5.0),
+         ("B", "fin", "EU", 1, 7.5), ("B", "fin", "EU", 1, 2.5), (None, "fin", "EU", 9, 1.0)],
+        "asset string, sector string, region string, pid int, mv double",
+    )
+    m = spark.createDataFrame(
+        [("A", "tech", "EU", "Mid", 1.5), ("A", "tech", "EU", "Mid", 2.5), ("A", "tech", "EU", "Large", 0.5),
+         ("A", "tech", "US", "Mid", 3.0), ("B", "fin", "EU", None, 4.0), ("B", "fin", "US", "Mid", 9.0)],
+        "asset string, sector string, region string, tier string, ret double",
+    )
+    on = [("asset", "asset"), ("sector", "sector"), ("region", "region")]
+    keys = ["h.sector", "h.region", "m.tier"]
+    meas = [n("pairs"), cd("pids", "h.pid"), sum_("mv", "h.mv", 2), avg("ret", "m.ret", 4), sd("sd_ret", "m.ret", 4)]
+    if strategy == "blocked_unsplit":
+        got = blocked_join_aggregate(h, m, on, keys, meas, ("h", "m"), split_shared={"h": False, "m": False})
+    else:
+        got = join_aggregate(h, m, on, keys, meas, ("h", "m"), strategy=strategy)
+    h.createOrReplaceTempView("kh")
+    m.createOrReplaceTempView("km")
+    want = spark.sql(
+        """SELECT h.sector, h.region, m.tier, count(*) AS pairs, count(DISTINCT h.pid) AS pids,
+                  round(sum(h.mv), 2) AS mv, round(avg(m.ret), 4) AS ret, round(stddev_samp(m.ret), 4) AS sd_ret
+           FROM kh h JOIN km m ON h.asset = m.asset AND h.sector = m.sector AND h.region = m.region
+           GROUP BY h.sector, h.region, m.tier""")
+    norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    assert norm(got.collect()) == norm(want.collect())
