@@ -16,7 +16,7 @@ import json
 from pyspark.sql import SparkSession
 
 from tessera.plans import pipeline
-from tessera.session import build_session
+from tessera.session import build_session, tune
 from tessera.streaming import kyc_stream, purchase_stream
 
 
@@ -28,9 +28,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", default=None, help="reference date for ages (default: now)")
     ap.add_argument("--workers", type=int, default=4, help="concurrent table builds per layer")
     ap.add_argument("--local", action="store_true", help="build a local[*] session")
+    ap.add_argument("--tune", action="store_true", help="size partitions from the input volume")
     args = ap.parse_args(argv)
 
     spark = build_session(master="local[*]") if args.local else SparkSession.builder.appName("tessera").getOrCreate()
+    if args.tune:
+        tune(spark, args.tables)
     if args.job == "batch":
         paths = pipeline.run_batch(spark, args.tables, args.out, as_of=args.as_of, max_workers=args.workers)
     elif args.job == "stream-kyc":

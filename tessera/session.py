@@ -77,3 +77,43 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused location under the shared scratch folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+MB = 1 << 20
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Runtime SQL settings sized from the input volume and the cluster's
+    task slots. Scan splits and shuffle partitions target a few hundred MB so
+    a partition fits an executor core's memory share without spilling; AQE
+    coalesces small partitions and splits skewed ones from these starting
+    points; broadcasts stay behind an explicit size bound."""
+    split = 512 * MB if input_bytes > (1 << 40) else 128 * MB
+    shuffle = max(2 * total_cores, min(200_000, input_bytes // (256 * MB) + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of a folder on the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def tune(spark: SparkSession, tables_dir: str) -> dict[str, str]:
+    """Apply ``cluster_settings`` for the tables under ``tables_dir``."""
+    cores = spark.sparkContext.defaultParallelism
+    conf = cluster_settings(input_bytes(spark, tables_dir), cores)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf

@@ -55,3 +55,14 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf_small):
     s = pipeline.silver_frame(bronze(spark, sf_small, "kyc"), "kyc")
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_cluster_settings_scale_with_input(spark, sf_small):
+    from tessera.session import cluster_settings, input_bytes
+
+    small = cluster_settings(input_bytes(spark, sf_small), 8)
+    big = cluster_settings(100 * (1 << 40), 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20
