@@ -38,8 +38,10 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, sf_dir, schemas.EVENTS, glob=name)
 
 
-def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None = None) -> None:
-    """Append ``df`` to ``sink`` until the input present now is consumed."""
+def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None = None) -> dict:
+    """Append ``df`` to ``sink`` until the input present now is consumed.
+    Returns the observed metrics of the run, summed over its micro-batches
+    (``df.observe(name, ...)`` counters arrive through query progress)."""
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -53,3 +55,10 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None =
     query.awaitTermination()
     if query.exception() is not None:  # surface failures instead of returning partial sinks
         raise RuntimeError(str(query.exception()))
+    totals: dict = {}
+    for progress in query.recentProgress:
+        for metric_set in (progress.get("observedMetrics") or {}).values():
+            row = metric_set.asDict() if hasattr(metric_set, "asDict") else dict(metric_set)
+            for key, value in row.items():
+                totals[key] = totals.get(key, 0) + (value or 0)
+    return totals

@@ -19,12 +19,22 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(adapters.kyc_from_events(event_stream(spark, sf_dir)), "kyc", faults=True)
 
 
-def silver_stream(bronze_source: DataFrame) -> DataFrame:
-    """SLV5 on a stream: project + rules + filter, per record (no state)."""
-    return silver.kyc(bronze_source)
+def silver_stream(bronze_source: DataFrame, observe: bool = False) -> DataFrame:
+    """SLV5 on a stream: project + rules + filter, per record (no state).
+    ``observe`` attaches the rule counters (reported per micro-batch)."""
+    derived = silver.derive_kyc(bronze_source)
+    if observe:
+        derived = derived.observe(
+            "kyc_quality",
+            F.count(F.lit(1)).alias("total_count"),
+            *[F.count_if(~r.holds()).alias(r.name) for r in quality.KYC],
+        )
+    return quality.enforce(derived, quality.KYC)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
+def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict:
+    """Events -> bronze sink -> silver sink; returns the sink paths and the
+    silver rule counters of this run (``quality``)."""
     root = root or fresh_path(spark, "kyc-stream")
     paths = {
         "bronze": f"{root}/bronze",
@@ -32,8 +42,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> d
     }
     run_to_parquet(bronze_stream(spark, sf_dir), paths["bronze"], f"{root}/_checkpoints/bronze")
     silver_in = file_stream(spark, paths["bronze"], schemas.KYC)
-    run_to_parquet(silver_stream(silver_in), paths["silver"], f"{root}/_checkpoints/silver")
-    return paths
+    counters = run_to_parquet(silver_stream(silver_in, observe=True), paths["silver"],
+                              f"{root}/_checkpoints/silver")
+    return {**paths, "quality": counters}
 
 
 def run_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
@@ -89,7 +100,6 @@ def silver_schema(spark: SparkSession, path: str):
 __all__ = [
     "bronze_stream",
     "hourly_watermark",
-    "quality",
     "run_gold",
     "run_hourly_watermark",
     "run_pipeline",

@@ -111,3 +111,12 @@ def test_gold_specs_complete():
     assert sorted(joins) == sorted([
         "client_portfolio_performance", "client_transaction_analytics",
         "advisor_performance_analytics", "risk_analytics", "sector_region_performance"])
+
+
+def test_stream_rule_counters_match_batch_metrics(spark, sf_small):
+    root = fresh_path(spark, "test-kyc-q")
+    counters = kyc_stream.run_pipeline(spark, sf_small, root)["quality"]
+    report = {r.rule: (r.total_count, r.failed_count) for r in
+              pipeline.quality_report(spark, sf_small).filter(F.col("table_name") == "kyc").collect()}
+    assert counters["total_count"] == next(iter(report.values()))[0]
+    assert {k: counters[k] for k in report} == {k: v[1] for k, v in report.items()}
