@@ -38,7 +38,13 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, sf_dir, schemas.EVENTS, glob=name)
 
 
-def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None = None) -> dict:
+def run_to_parquet(
+    df: DataFrame,
+    sink: str,
+    checkpoint: str,
+    name: str | None = None,
+    partition_by: list[str] | None = None,
+) -> dict:
     """Append ``df`` to ``sink`` until the input present now is consumed.
     Returns the observed metrics of the run, summed over its micro-batches
     (``df.observe(name, ...)`` counters arrive through query progress)."""
@@ -51,6 +57,8 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, name: str | None =
     )
     if name:
         writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     query = writer.start()
     query.awaitTermination()
     if query.exception() is not None:  # surface failures instead of returning partial sinks

@@ -61,7 +61,7 @@ def test_contract_keys(spark):
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q)
     assert set(q) - set(s) == {"stream_hourly_watermark"}
-    assert len(q) == 45
+    assert len(q) == 46
     assert len([k for k in q if k.startswith("gold_")]) == 20
 
 
@@ -120,3 +120,20 @@ def test_stream_rule_counters_match_batch_metrics(spark, sf_small):
               pipeline.quality_report(spark, sf_small).filter(F.col("table_name") == "kyc").collect()}
     assert counters["total_count"] == next(iter(report.values()))[0]
     assert {k: counters[k] for k in report} == {k: v[1] for k, v in report.items()}
+
+
+def test_incremental_refresh_replaces_only_touched_dates(spark, sf_small):
+    root = fresh_path(spark, "test-incr")
+    silver_path, gold_path = f"{root}/silver", f"{root}/gold"
+    kyc = pipeline.silver_frame(bronze(spark, sf_small, "kyc"), "kyc")
+    dates = sorted(r[0] for r in kyc.select("processing_date").distinct().collect())
+    d1, d2 = dates[0], dates[1]
+    first = kyc.filter(F.col("processing_date").isin(d1, d2) & (F.col("processing_hour") < 12))
+    later = kyc.filter((F.col("processing_date") == d1) & (F.col("processing_hour") >= 12))
+    first.write.partitionBy("processing_date").parquet(silver_path)
+    kyc_stream.refresh_dates(spark, silver_path, gold_path, "realtime_kyc_metrics", first)
+    later.write.mode("append").partitionBy("processing_date").parquet(silver_path)
+    kyc_stream.refresh_dates(spark, silver_path, gold_path, "realtime_kyc_metrics", later)
+    got = spark.read.parquet(gold_path)
+    want = gold.build("realtime_kyc_metrics", {"kyc": first.unionByName(later)}, ordered=False)
+    assert _rows(got.select(*want.columns)) == _rows(want)
