@@ -242,3 +242,37 @@ def test_multi_key_join_with_key_columns_in_groups(spark, strategy):
            GROUP BY h.sector, h.region, m.tier""")
     norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
     assert norm(got.collect()) == norm(want.collect())
+
+
+def test_hot_key_routes_to_pair_free_plan(spark):
+    from pyspark.sql import functions as F
+
+    # one name holds a third of the rows on both sides: 1000 x 1000 pairs
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("name"),
+        (F.col("id") % 7).cast("int").alias("pid"),
+        (F.col("id") * 0.25).alias("mv"),
+        F.when(F.col("id") % 2 == 0, "E").otherwise("B").alias("kind"),
+    )
+    right = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("name"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("client_id"),
+        (F.col("id") % 4).cast("string").alias("tier"),
+        F.lit(1.0).alias("income"),
+    )
+    st = join_stats(left, right, [("name", "name")])
+    assert st["pairs"] > 100 * max(st["left"], st["right"])
+    measures = [n("pairs"), cd("clients", "p.client_id"), cd("portfolios", "h.pid"),
+                sum_("total_mv", "h.mv", 2), avg("avg_mv", "h.mv", 2), sd("sd_mv", "h.mv", 2)]
+    got = join_aggregate(left, right, [("name", "name")], ["p.tier", "h.kind"], measures, ("h", "p"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan  # the literal join + distinct plan was not chosen
+    left.createOrReplaceTempView("sh")
+    right.createOrReplaceTempView("sp")
+    want = spark.sql(
+        """SELECT p.tier, h.kind, count(*) AS pairs, count(DISTINCT p.client_id) AS clients,
+                  count(DISTINCT h.pid) AS portfolios, round(sum(h.mv), 2) AS total_mv,
+                  round(avg(h.mv), 2) AS avg_mv, round(stddev_samp(h.mv), 2) AS sd_mv
+           FROM sh h JOIN sp p ON h.name = p.name GROUP BY p.tier, h.kind""")
+    norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    assert norm(got.collect()) == norm(want.collect())
