@@ -67,9 +67,11 @@ def _position_share(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _quarantine_profiles(spark: SparkSession, d: str) -> DataFrame:
-    derived = pipeline.DERIVE["profiles"](bronze(spark, d, "profiles"), BATCH_AS_OF)
-    return quality.quarantine(derived, quality.PROFILES)
+def _quarantine_q(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        derived = pipeline.DERIVE[table](bronze(spark, d, table), _as_of(table))
+        return quality.quarantine(derived, quality.RULES[table])
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -82,7 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"silver_{t}"] = _silver_q(t)
     q["position_share"] = _position_share
     q["quality_report"] = lambda spark, d: pipeline.quality_report(spark, d, BATCH_AS_OF)
-    q["quarantine_profiles"] = _quarantine_profiles
+    for t in TABLES:
+        q[f"quarantine_{t}"] = _quarantine_q(t)
     for key, name in GOLD_KEYS.items():
         q[key] = _gold_q(name)
     q["stream_silver_kyc"] = lambda spark, d: kyc_stream.run_silver(spark, d)
@@ -110,7 +113,8 @@ def oracle_sql() -> dict[str, str]:
         s[f"silver_{t}"] = oracle.silver_sql(t)
     s["position_share"] = oracle.position_share_sql()
     s["quality_report"] = oracle.quality_report_sql()
-    s["quarantine_profiles"] = oracle.quarantine_sql("profiles")
+    for t in TABLES:
+        s[f"quarantine_{t}"] = oracle.quarantine_sql(t)
     for key, name in GOLD_KEYS.items():
         s[key] = oracle.gold_sql(name)
     s["stream_silver_kyc"] = oracle.silver_sql("kyc")

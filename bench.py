@@ -55,7 +55,7 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="tessera-bench-events-")
     spark = build_session(
         master=f"local[{cpus}]",
-        shuffle_partitions=max(8, cpus * 2),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2)))),
         app_name="tessera-bench",
         extra_conf={
             "spark.eventLog.enabled": "true",

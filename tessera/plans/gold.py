@@ -276,7 +276,7 @@ def build_order(names=None) -> list[str]:
     """Gold tables in submission order for concurrent builds: join tables
     (the longest jobs) first, so the tail of a layer is short."""
     names = list(names or SPECS)
-    return sorted(names, key=lambda n: (len(SPECS[n].inputs) < 2, names.index(n)))
+    return sorted(names, key=lambda n: (len(SPECS[n].inputs) < 2, -len(SPECS[n].on), names.index(n)))
 
 
 # Source tags of the processing-metrics union (UN1), in union order.
