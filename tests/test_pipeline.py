@@ -137,3 +137,27 @@ def test_incremental_refresh_replaces_only_touched_dates(spark, sf_small):
     got = spark.read.parquet(gold_path)
     want = gold.build("realtime_kyc_metrics", {"kyc": first.unionByName(later)}, ordered=False)
     assert _rows(got.select(*want.columns)) == _rows(want)
+
+
+def test_group_counts_sum_to_inputs(spark, sf_small):
+    from tessera.operators.joins import pair_stats
+
+    silver_tables = pipeline.silver_frames(
+        spark, sf_small, ("holdings", "market", "transactions", "profiles", "kyc", "purchases"), "2002-01-01")
+    sizes = {t: df.count() for t, df in silver_tables.items()}
+
+    def total(name, col):
+        return gold.build(name, silver_tables).agg(F.sum(col)).first()[0]
+
+    assert total("asset_allocation_analytics", "position_count") == sizes["holdings"]
+    assert total("monthly_portfolio_trends", "position_count") == sizes["holdings"]
+    assert total("market_performance_analytics", "trading_days_count") == sizes["market"]
+    assert total("client_acquisition_retention", "total_clients") == sizes["profiles"]
+    assert total("customer_demographics", "customer_count") == sizes["kyc"]
+    assert total("realtime_metrics", "records_processed") == sizes["purchases"]
+    assert total("processing_metrics", "records_processed") == sum(
+        sizes[t] for t in ("holdings", "market", "transactions", "profiles"))
+    on = [("client_name_clean", "client_name_clean")]
+    pairs = pair_stats(silver_tables["holdings"], silver_tables["profiles"], on)[0]
+    assert total("client_portfolio_performance", "total_positions") == pairs
+    assert total("risk_analytics", "position_count") == pairs
