@@ -12,6 +12,10 @@ Phases, timed on a warm session (wall clock):
 * ``share_broadcast`` / ``share_window`` -- WIN1 in both forms over bronze
   holdings (the window form moves every row through one task).
 * ``stream_kyc`` -- events -> bronze -> silver with ``availableNow``.
+* ``skew_hot_key`` (reported apart, not in ``value``) -- a third of silver
+  holdings and a third of silver profiles re-keyed to one client name, then
+  ``client_portfolio_performance`` through the adaptive join aggregation: the
+  literal join would emit ~7e8 pairs at sf0.1; the pair-free plan does not.
 
 ``queries`` holds the duration of every step (steps of one phase overlap);
 the gold phase runs ``BENCH_REPEAT`` times (default 3) and reports medians.
@@ -34,6 +38,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.operators import quality  # noqa: E402
+from tessera.operators.joins import join_aggregate, join_stats  # noqa: E402
 from tessera.operators.share import with_share, with_share_window  # noqa: E402
 from tessera.plans import gold, pipeline  # noqa: E402
 from tessera.plans.bronze import bronze  # noqa: E402
@@ -61,6 +66,7 @@ def main() -> None:
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": log_dir,
             "spark.eventLog.compress": "false",
+            "spark.scheduler.mode": os.environ.get("BENCH_SCHEDULER", "FAIR"),
         },
     )
     root = fresh_path(spark, "bench")
@@ -122,6 +128,22 @@ def main() -> None:
     phase("stream_kyc", lambda: timed(
         "stream_kyc", lambda: kyc_stream.run_pipeline(spark, sf_dir, f"{root}/stream")))
 
+    # hot-key demonstration on data derived from the silver tables
+    def hot(df, key):
+        return df.withColumn("client_name_clean", F.when(
+            F.pmod(F.xxhash64(key), F.lit(3)) == 0, F.lit("HOT")).otherwise(F.col("client_name_clean")))
+
+    hs, ps = hot(silver_df["holdings"], "holding_id"), hot(silver_df["profiles"], "client_id")
+    spec = gold.SPECS["client_portfolio_performance"]
+    skew_pairs = join_stats(hs, ps, spec.on)["pairs"]
+    skew = {}
+    for run in range(2):  # first run warms the code paths
+        t0 = time.perf_counter()
+        join_aggregate(hs, ps, spec.on, spec.keys, spec.measures, ("h", "p"), spec.order).write.mode(
+            "overwrite").parquet(f"{root}/skew")
+        skew[f"run{run}"] = round(time.perf_counter() - t0, 3)
+    skew["logical_pairs"] = skew_pairs
+
     stream_rows = spark.read.parquet(f"{root}/stream/bronze").count()
     rows_per_sec = round(stream_rows / max(times["stream_kyc"], 1e-9), 1)
     spark.stop()
@@ -136,6 +158,7 @@ def main() -> None:
         "workers": workers,
         "gold_phase_runs": gold_walls,
         "stream_kyc_rows_per_sec": rows_per_sec,
+        "skew_hot_key": skew,
         "shuffle_and_spill_bytes": _io_by_phase(log_dir),
         "rows_failed": {t: {k: v for k, v in c.items() if v} for t, c in rule_counts.items()},
     }
