@@ -37,6 +37,11 @@ def main() -> None:
         pipeline.silver_frame(b, t, "2002-01-01").write.parquet(f"{root}/silver/{t}")
         silver[t] = spark.read.parquet(f"{root}/silver/{t}")
 
+    from pyspark.sql import functions as F
+
+    from tessera.operators.joins import blocked_join_aggregate
+    from tessera.operators.share import with_share_window
+
     hb = spark.read.schema(schemas.BRONZE["holdings"]).parquet(f"{root}/bronze/holdings")
     tb = spark.read.schema(schemas.BRONZE["transactions"]).parquet(f"{root}/bronze/transactions")
     plans = {
@@ -47,10 +52,21 @@ def main() -> None:
         "gold_client_portfolio_performance": gold.build("client_portfolio_performance", silver),
         "gold_sector_region_performance": gold.build("sector_region_performance", silver),
         "gold_processing_metrics": gold.build("processing_metrics", silver),
+        "share_window_form_for_comparison": with_share_window(hb, "market_value", "s"),
     }
+    spec = gold.SPECS["client_portfolio_performance"]
+
+    def hot(df, key):
+        return df.withColumn("client_name_clean", F.when(
+            F.pmod(F.xxhash64(key), F.lit(3)) == 0, F.lit("HOT")).otherwise(F.col("client_name_clean")))
+
+    plans["hot_key_client_portfolio_pair_free"] = blocked_join_aggregate(
+        hot(silver["holdings"], "holding_id"), hot(silver["profiles"], "client_id"),
+        spec.on, spec.keys, spec.measures, ("h", "p"), spec.order)
     for name, df in plans.items():
-        df.write.mode("overwrite").format("noop").save()
-        text = df._jdf.queryExecution().explainString(
+        qe = df._jdf.queryExecution()
+        qe.executedPlan().executeCollect()  # run this plan itself, so AQE finalises it
+        text = qe.explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         with open(os.path.join(out_dir, f"{name}.txt"), "w") as fh:
             fh.write(text)
