@@ -73,7 +73,7 @@ _FUNCS = {
 # retries), which flips results that sit on a rounding tie such as
 # avg(1.00, 2.01) = 1.505. Decimal sums are order-independent.
 DEC_IN = "decimal(38,8)"
-DEC_SUM = "decimal(28,8)"
+DEC_SUM = "decimal(34,8)"  # totals up to 1e26 (pair-weighted sums of a hot key)
 DEC_COUNT = "decimal(13,0)"
 
 
@@ -84,7 +84,7 @@ def exact_sum(col: Column, scale: int | None) -> Column:
 
 def exact_ratio(total: Column, count: Column, scale: int | None) -> Column:
     """``total / count`` for a decimal total, rounded HALF_UP in decimal.
-    With these operand types the quotient keeps 18 fractional digits."""
+    With these operand types the quotient keeps 12 fractional digits."""
     q = total.cast(DEC_SUM) / count.cast(DEC_COUNT)
     q = F.round(q, scale) if scale is not None else q
     return F.when(count > 0, q.cast("double"))

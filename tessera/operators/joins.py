@@ -265,8 +265,9 @@ def blocked_join_aggregate(
             w = weight(s)
             cnt = F.sum(F.col(f"{base}_c") * w) if m.fn not in ("min", "max") else None
             if exact(m):
-                # block decimal sum x pair weight, exact: decimal(26,8) * decimal(10,0)
-                tot = F.sum(F.col(f"{base}_d").cast("decimal(26,8)") * w.cast("decimal(10,0)"))
+                # block decimal sum x pair weight, exact: decimal(25,8) * decimal(11,0)
+                # -> decimal(37,8), no scale lost; block sums to 1e17, weights to 1e11
+                tot = F.sum(F.col(f"{base}_d").cast("decimal(25,8)") * w.cast("decimal(11,0)"))
                 if m.fn == "sum":
                     e = (F.round(tot, m.scale) if m.scale is not None else tot).cast("double")
                 else:
