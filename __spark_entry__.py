@@ -99,6 +99,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_gold_incremental_kyc"] = lambda spark, d: spark.read.parquet(
         kyc_stream.run_incremental_gold(spark, d)
     )
+    q["stream_gold_incremental_purchases"] = lambda spark, d: spark.read.parquet(
+        purchase_stream.run_incremental_gold(spark, d)
+    )
     q["stream_hourly_watermark"] = lambda spark, d: kyc_stream.run_hourly_watermark(spark, d)
     return q
 
@@ -122,5 +125,6 @@ def oracle_sql() -> dict[str, str]:
     s["stream_silver_purchases"] = oracle.silver_sql("purchases")
     s["stream_gold_purchase_analytics"] = oracle.gold_sql("purchase_analytics")
     s["stream_gold_incremental_kyc"] = oracle.gold_sql("realtime_kyc_metrics")
+    s["stream_gold_incremental_purchases"] = oracle.gold_sql("realtime_metrics")
     # stream_hourly_watermark uses approx_count_distinct: rows-only check.
     return s

@@ -12,6 +12,7 @@ from tessera.plans.bronze import finish
 from tessera.session import fresh_path
 from tessera.sources import adapters, schemas
 from tessera.streaming.common import event_stream, file_stream, run_to_parquet
+from tessera.streaming.incremental import refresh_dates, run_date_refresh
 
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,47 +53,16 @@ def run_pipeline(
     return {**paths, "quality": counters}
 
 
-def refresh_dates(spark: SparkSession, silver_path: str, gold_path: str, name: str, changed: DataFrame) -> None:
-    """Recompute the gold table ``name`` (keyed by processing date) for the
-    dates present in ``changed`` and replace only those date partitions.
-
-    The semi-join on the partition column lets Spark prune the silver scan to
-    the touched dates at runtime (dynamic partition pruning); every group of
-    a touched date is recomputed from all of its silver rows, so exact
-    distinct counts stay exact, and a replayed micro-batch rewrites the same
-    partitions with the same rows."""
-    dates = changed.select("processing_date").distinct()
-    touched = spark.read.parquet(silver_path).join(dates, "processing_date", "left_semi")
-    (
-        gold.build(name, {"kyc": touched}, ordered=False)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("processing_date")
-        .parquet(gold_path)
-    )
-
-
 def run_incremental_gold(
     spark: SparkSession, sf_dir: str, root: str | None = None, name: str = "realtime_kyc_metrics"
 ) -> str:
-    """STR2 without full recomputation for date-keyed gold tables: a second
-    stream over the partitioned silver sink refreshes only the dates each
-    micro-batch touched (``foreachBatch``)."""
+    """STR2 without full recomputation for a date-keyed gold table: a second
+    stream over the date-partitioned silver sink refreshes only the dates
+    each micro-batch touched (see ``streaming.incremental``)."""
     root = root or fresh_path(spark, "kyc-incremental")
     paths = run_pipeline(spark, sf_dir, root, partition_silver=True)
     gold_path = f"{root}/gold/{name}"
-    source = file_stream(spark, paths["silver"], silver_schema(spark, paths["silver"]))
-    query = (
-        source.writeStream.foreachBatch(
-            lambda batch, _epoch: refresh_dates(spark, paths["silver"], gold_path, name, batch)
-        )
-        .option("checkpointLocation", f"{root}/_checkpoints/gold_{name}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    run_date_refresh(spark, paths["silver"], gold_path, name, "kyc", f"{root}/_checkpoints/gold_{name}")
     return gold_path
 
 
@@ -148,6 +118,8 @@ def silver_schema(spark: SparkSession, path: str):
 
 __all__ = [
     "bronze_stream",
+    "refresh_dates",
+    "run_incremental_gold",
     "hourly_watermark",
     "run_gold",
     "run_hourly_watermark",

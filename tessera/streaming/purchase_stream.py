@@ -10,7 +10,8 @@ from tessera.plans import gold, silver
 from tessera.plans.bronze import finish
 from tessera.session import fresh_path
 from tessera.sources import adapters, schemas
-from tessera.streaming.common import event_stream, run_to_parquet
+from tessera.streaming.common import event_stream, file_stream, run_to_parquet
+from tessera.streaming.incremental import run_date_refresh
 
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,3 +32,21 @@ def run_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> Dat
 
 def run_gold(spark: SparkSession, sf_dir: str, name: str, root: str | None = None) -> DataFrame:
     return gold.build(name, {"purchases": run_silver(spark, sf_dir, root)})
+
+
+def run_incremental_gold(
+    spark: SparkSession, sf_dir: str, root: str | None = None, name: str = "realtime_metrics"
+) -> str:
+    """Purchases as a fully incremental chain: events -> bronze sink ->
+    silver sink (stateless, in ``processing_date`` folders) -> refresh of the
+    touched dates of the date-keyed gold table."""
+    root = root or fresh_path(spark, "purchase-incremental")
+    bronze_sink = run_bronze(spark, sf_dir, root)
+    silver_sink = f"{root}/silver"
+    run_to_parquet(
+        silver.purchases(file_stream(spark, bronze_sink, schemas.PURCHASES)),
+        silver_sink, f"{root}/_checkpoints/silver", partition_by=["processing_date"],
+    )
+    gold_path = f"{root}/gold/{name}"
+    run_date_refresh(spark, silver_sink, gold_path, name, "purchases", f"{root}/_checkpoints/gold_{name}")
+    return gold_path

@@ -61,7 +61,7 @@ def test_contract_keys(spark):
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q)
     assert set(q) - set(s) == {"stream_hourly_watermark"}
-    assert len(q) == 51
+    assert len(q) == 52
     assert len([k for k in q if k.startswith("gold_")]) == 20
 
 
