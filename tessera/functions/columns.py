@@ -8,10 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def c(name: Column | str) -> Column:
-    return F.col(name) if isinstance(name, str) else name
-
-
 def clean_upper(name: str) -> Column:
     """DRV1: ``trim(upper(x))`` (spaces only)."""
     return F.trim(F.upper(F.col(name)))
