@@ -161,3 +161,22 @@ def test_group_counts_sum_to_inputs(spark, sf_small):
     pairs = pair_stats(silver_tables["holdings"], silver_tables["profiles"], on)[0]
     assert total("client_portfolio_performance", "total_positions") == pairs
     assert total("risk_analytics", "position_count") == pairs
+
+
+def test_cli_batch_job(sf_small, tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tmp_path / "out"
+    proc = subprocess.run(
+        [sys.executable, "-m", "tessera", "batch", "--local", "--tables", sf_small,
+         "--out", str(out), "--as-of", "2002-01-01", "--workers", "4"],
+        cwd=root, capture_output=True, text=True, timeout=900,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    paths = json.loads(proc.stdout[proc.stdout.index("{"):])
+    assert len([k for k in paths if k.startswith("gold_")]) == 20
+    assert {"bronze", "silver", "quality", "gold"} <= set(os.listdir(out))
