@@ -8,8 +8,8 @@ quadratic in the hottest key. Instead every quantity is derived from
 per-block summaries:
 
 1. Each side is reduced to blocks ``(join key, that side's group keys)`` with
-   row count, and per measured column: non-null count, sum, sum of squares,
-   min, max. This is a partial (map-side) aggregate, so a key holding a third
+   row count, and per measured column: non-null count, sum, squared
+   deviations from the block mean, min, max. This is a partial (map-side) aggregate, so a key holding a third
    of all rows is already collapsed before the shuffle.
 2. The two block tables are joined on the join key. A block pair stands for
    ``n_left * n_right`` pairs: a left column's pair-sum is its block sum times
@@ -211,13 +211,13 @@ def blocked_join_aggregate(
         return m.fn in ("sum", "avg") and dtypes[m.side].get(m.column) == "double"
 
     # 1. per-side blocks. Parts per measured column: c = non-null count,
-    # d = exact decimal sum (sum/avg of DOUBLE), s = plain sum, q = sum of
-    # squares, min/max.
+    # d = exact decimal sum (sum/avg of DOUBLE), s = plain sum, m2 = sum of
+    # squared deviations from the block mean, min/max.
     def parts_of(m: Measure) -> set[str]:
         if m.fn in ("min", "max"):
             return {m.fn}
         if m.fn == "stddev":
-            return {"c", "s", "q"}
+            return {"c", "s", "m2"}
         return {"c", "d"} if exact(m) else {"c", "s"}
 
     def blocks(s: str) -> DataFrame:
@@ -237,7 +237,8 @@ def blocked_join_aggregate(
                     "c": F.count(v),
                     "d": F.sum(v.cast(DEC_IN)),
                     "s": F.sum(v),
-                    "q": F.sum(v * v),
+                    # within-block sum of squared deviations (stable moments)
+                    "m2": F.coalesce(F.var_samp(v) * (F.count(v) - 1), F.lit(0.0)),
                     "min": F.min(v),
                     "max": F.max(v),
                 }[w]
@@ -279,16 +280,46 @@ def blocked_join_aggregate(
                 e = F.when(cnt > 0, F.sum(F.col(f"{base}_s") * w) / cnt)
             elif m.fn in ("min", "max"):
                 e = (F.min if m.fn == "min" else F.max)(F.col(f"{base}_{m.fn}"))
-            else:  # sample standard deviation over the pairs
+            else:  # sample standard deviation: pass 1 keeps the group mean
                 tot = F.sum(F.col(f"{base}_s").cast("double") * w)
-                sq = F.sum(F.col(f"{base}_q").cast("double") * w)
-                var = (sq - tot * tot / cnt) / (cnt - 1)
-                e = F.when(cnt > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+                agg_exprs.append(F.when(cnt > 0, tot / cnt).alias(f"_mean_{m.name}"))
+                agg_exprs.append(cnt.alias(f"_cnt_{m.name}"))
+                continue
         if scaled and m.scale is not None:
             e = F.round(e, m.scale)
         agg_exprs.append(e.alias(m.name))
     result = paired.groupBy(*out_keys).agg(*agg_exprs)
 
+    # pass 2 for standard deviations: the pairs' sum of squared deviations is
+    # sum over block pairs of w * (m2_b + c_b * (mean_b - group mean)^2),
+    # free of the cancellation in sum(x^2) - sum(x)^2 / n
+    sds = [m for m in measures if m.fn == "stddev"]
+    if sds:
+        means = result.select(*[F.col(k).alias(f"_g_{k}") for k in out_keys],
+                              *[f"_mean_{m.name}" for m in sds])
+        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in out_keys])
+        dev = paired.join(means, cond)
+        m2_exprs = []
+        for m in sds:
+            base, w = _cname(m.side, m.column), weight(m.side)
+            c_b, s_b = F.col(f"{base}_c"), F.col(f"{base}_s").cast("double")
+            gap = s_b / c_b - F.col(f"_mean_{m.name}")
+            contrib = w * (F.col(f"{base}_m2") + c_b * gap * gap)
+            m2_exprs.append(F.sum(F.when(c_b > 0, contrib)).alias(f"_m2_{m.name}"))
+        spread = dev.groupBy(*[F.col(k).alias(f"_g_{k}") for k in out_keys]).agg(*m2_exprs)
+        cond = reduce(lambda a, b: a & b, [result[k].eqNullSafe(spread[f"_g_{k}"]) for k in out_keys])
+        cols = [result[k] for k in out_keys]
+        for m in measures:
+            if m.fn == "cd":
+                continue
+            if m.fn == "stddev":
+                n_g = result[f"_cnt_{m.name}"]
+                e = F.when(n_g > 1, F.sqrt(F.greatest(spread[f"_m2_{m.name}"] / (n_g - 1), F.lit(0.0))))
+                cols.append((F.round(e, m.scale) if m.scale is not None else e).alias(m.name))
+            else:
+                cols.append(result[m.name])
+        result = result.join(spread, cond, "left").select(*cols)
+
     # 3. exact distinct counts over pairs (tags are the measure's position)
     if distinct:
         tags = {m.name: i for i, m in enumerate(distinct)}

@@ -276,3 +276,23 @@ def test_hot_key_routes_to_pair_free_plan(spark):
            FROM sh h JOIN sp p ON h.name = p.name GROUP BY p.tier, h.kind""")
     norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
     assert norm(got.collect()) == norm(want.collect())
+
+
+def test_pair_free_stddev_is_stable_for_large_means(spark):
+    from pyspark.sql import functions as F
+
+    # mean 1e9, spread of a few cents: sum(x^2) - sum(x)^2/n would cancel to noise
+    left = spark.range(600).select(
+        (F.col("id") % 5).cast("string").alias("name"),
+        (F.lit(1e9) + (F.col("id") % 7) * 0.01).alias("mv"),
+        F.lit("E").alias("kind"),
+    )
+    right = spark.range(50).select((F.col("id") % 5).cast("string").alias("name"), F.lit("A").alias("tier"))
+    got = blocked_join_aggregate(left, right, [("name", "name")], ["p.tier", "h.kind"],
+                                 [n("pairs"), sd("sd_mv", "h.mv", 6)], ("h", "p")).collect()
+    left.createOrReplaceTempView("bh")
+    right.createOrReplaceTempView("bp")
+    want = spark.sql("""SELECT p.tier, h.kind, count(*) AS pairs, round(stddev_samp(h.mv), 6) AS sd_mv
+                        FROM bh h JOIN bp p ON h.name = p.name GROUP BY p.tier, h.kind""").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert 0.01 < got[0].sd_mv < 0.03
