@@ -133,6 +133,7 @@ def main() -> None:
         return df.withColumn("client_name_clean", F.when(
             F.pmod(F.xxhash64(key), F.lit(3)) == 0, F.lit("HOT")).otherwise(F.col("client_name_clean")))
 
+    spark.sparkContext.setJobGroup("phase:skew_hot_key", "skew_hot_key")
     hs, ps = hot(silver_df["holdings"], "holding_id"), hot(silver_df["profiles"], "client_id")
     spec = gold.SPECS["client_portfolio_performance"]
     skew_pairs = join_stats(hs, ps, spec.on)["pairs"]
@@ -144,6 +145,7 @@ def main() -> None:
         skew[f"run{run}"] = round(time.perf_counter() - t0, 3)
     skew["logical_pairs"] = skew_pairs
 
+    spark.sparkContext.setJobGroup("other", "other")
     stream_rows = spark.read.parquet(f"{root}/stream/bronze").count()
     rows_per_sec = round(stream_rows / max(times["stream_kyc"], 1e-9), 1)
     spark.stop()
