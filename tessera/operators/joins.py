@@ -43,7 +43,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio, measure_column, split_aggregate
+from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio, measure_column
 
 
 def _cname(*parts: str) -> str:
@@ -156,10 +156,12 @@ def direct_join_aggregate(
     dtypes = {la: dict(left.dtypes), ra: dict(right.dtypes)}
     cond = reduce(lambda a, b: a & b, [F.col(f"{la}.{a}") == F.col(f"{ra}.{b}") for a, b in on])
     joined = left.alias(la).join(right.alias(ra), cond, "inner")
-    names = [k.split(".", 1)[1] for k in keys]
-    cols = {m.name: measure_column(m, dtypes[m.side].get(m.column) if m.side else None, qualified=True)
-            for m in measures}
-    out = split_aggregate(joined, [F.col(k) for k in keys], names, measures, cols)
+    # one aggregate over the join: splitting plain and distinct aggregates
+    # would run the join twice (exchanges are reused, sort-merge sorts are not)
+    out = joined.groupBy(*[F.col(k).alias(k.split(".", 1)[1]) for k in keys]).agg(
+        *[measure_column(m, dtypes[m.side].get(m.column) if m.side else None, qualified=True)
+          for m in measures]
+    )
     return out.orderBy(*order) if order else out
 
 
