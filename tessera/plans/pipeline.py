@@ -130,3 +130,12 @@ def run_batch(
     for name, gpath in run_concurrently(spark, {n: gold_job(n) for n in names}, max_workers).items():
         paths[f"gold_{name}"] = gpath
     return paths
+
+
+def register_layer_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """Expose the tables written by ``run_batch`` as temp views named by
+    their keys (``silver_holdings``, ``gold_risk_analytics``, ...), for
+    ``spark.sql`` users."""
+    for name, path in paths.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return sorted(paths)

@@ -100,6 +100,10 @@ def test_run_batch_writes_layers_and_metrics(spark, sf_small):
     written = spark.read.parquet(paths["gold_asset_allocation_analytics"])
     direct = pipeline.gold_table(spark, sf_small, "asset_allocation_analytics", "2002-01-01")
     assert _rows(written) == _rows(direct)
+    views = pipeline.register_layer_views(spark, paths)
+    assert "gold_asset_allocation_analytics" in views
+    via_sql = spark.sql("SELECT sum(position_count) AS n FROM gold_asset_allocation_analytics").first().n
+    assert via_sql == spark.sql("SELECT count(*) AS n FROM silver_holdings").first().n
     observed = spark.read.parquet(paths["quality_profiles"])
     report = pipeline.quality_report(spark, sf_small, "2002-01-01").filter(F.col("table_name") == "profiles")
     assert _rows(observed) == _rows(report)
