@@ -184,3 +184,24 @@ def test_cli_batch_job(sf_small, tmp_path):
     paths = json.loads(proc.stdout[proc.stdout.index("{"):])
     assert len([k for k in paths if k.startswith("gold_")]) == 20
     assert {"bronze", "silver", "quality", "gold"} <= set(os.listdir(out))
+
+
+@pytest.mark.parametrize("strategy", ["direct", "blocked"])
+def test_cleaned_names_join_and_single_pair_stddev_is_null(spark, strategy):
+    ts = dt.datetime(2001, 1, 1)
+    h = spark.createDataFrame(
+        [("h1", "  ann lee ", "Acme #1", 2.0, 10.0, ts, "Equity", 1000, 500, "S", "R", 1, "USD", "B", 5.0, ts)],
+        schemas.HOLDINGS,
+    )
+    p = spark.createDataFrame(
+        [("c1", "ANN LEE", "ann@x", 30, "City 1", "N", 60000.0, 700000.0, "Moderate", ts, 3,
+          "Unemployed", 1, "ADV", 200000.0, ts)],
+        schemas.PROFILES,
+    )
+    hs, ps = silver.holdings(h, as_of="2002-01-01"), silver.profiles(p, as_of="2002-01-01")
+    out = gold.build("client_portfolio_performance", {"holdings": hs, "profiles": ps},
+                     join_strategy=strategy).collect()
+    assert len(out) == 1
+    row = out[0]
+    assert row.total_positions == 1 and row.unique_clients == 1 and row.position_value_stddev is None
+    assert (row.age_group, row.income_tier, row.net_worth_tier) == ("30-39", "Medium Income", "High Net Worth")
