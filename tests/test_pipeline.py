@@ -205,3 +205,21 @@ def test_cleaned_names_join_and_single_pair_stddev_is_null(spark, strategy):
     row = out[0]
     assert row.total_positions == 1 and row.unique_clients == 1 and row.position_value_stddev is None
     assert (row.age_group, row.income_tier, row.net_worth_tier) == ("30-39", "Medium Income", "High Net Worth")
+
+
+def test_price_consistency_is_counted_not_dropped(spark):
+    from tessera.operators import quality
+
+    ts = dt.datetime(2001, 1, 1)
+    m = spark.createDataFrame(
+        [("S1", "Acme #1", 10.0, 11.0, 9.0, 12.0, 100, ts, "NYSE", "T", "R", 5_000_000_000, 15.0, 2.0, "USD", ts),
+         ("S2", "Acme #2", 10.0, 12.0, 9.0, 11.0, 100, ts, "NYSE", "T", "R", 5_000_000_000, 15.0, None, "USD", ts)],
+        schemas.MARKET,
+    )
+    derived = silver.derive_market(m)
+    kept = {r.symbol: r for r in quality.enforce(derived, quality.MARKET).collect()}
+    assert set(kept) == {"S1", "S2"}  # high < close is a warning, not a drop
+    assert kept["S2"].dividend_yield_tier == "Very High Yield"  # NULL falls to the default label
+    assert (kept["S1"].market_cap_tier, kept["S1"].pe_ratio_tier) == ("Mid Cap", "Medium PE")
+    metrics = {r.rule: r.failed_count for r in quality.rule_metrics(derived, quality.MARKET, "market").collect()}
+    assert metrics["price_consistency"] == 1 and metrics["valid_prices"] == 0
