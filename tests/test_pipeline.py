@@ -223,3 +223,18 @@ def test_price_consistency_is_counted_not_dropped(spark):
     assert (kept["S1"].market_cap_tier, kept["S1"].pe_ratio_tier) == ("Mid Cap", "Medium PE")
     metrics = {r.rule: r.failed_count for r in quality.rule_metrics(derived, quality.MARKET, "market").collect()}
     assert metrics["price_consistency"] == 1 and metrics["valid_prices"] == 0
+
+
+def test_transaction_fee_bounds_and_missing_keys(spark):
+    ts = dt.datetime(2001, 1, 1)
+
+    def row(tid, name, sym, fees):
+        return (tid, name, 1000, sym, "BUY", 1.0, 10.0, 10.0, ts, 500, "T", "R", fees, "USD", "ADV", ts)
+
+    t = spark.createDataFrame(
+        [row("t1", "A", "S", 0.0), row("t2", "A", "S", -0.01), row(None, "A", "S", 1.0),
+         row("t4", None, "S", 1.0), row("t5", "A", None, 1.0)],
+        schemas.TRANSACTIONS,
+    )
+    kept = [r.transaction_id for r in silver.transactions(t).collect()]
+    assert kept == ["t1"]  # zero fees kept; negative fees and each missing key dropped
