@@ -238,3 +238,21 @@ def test_transaction_fee_bounds_and_missing_keys(spark):
     )
     kept = [r.transaction_id for r in silver.transactions(t).collect()]
     assert kept == ["t1"]  # zero fees kept; negative fees and each missing key dropped
+
+
+def test_tagged_union_fills_missing_columns(spark):
+    ts = dt.datetime(2001, 1, 1, 5)
+    base = "processing_date string, processing_hour int, processing_timestamp timestamp_ntz"
+    frames = {
+        "holdings": spark.createDataFrame([("2001-01-01", 5, ts, 1.0)], base + ", market_value double"),
+        "market": spark.createDataFrame([("2001-01-01", 5, ts, "S")], base + ", symbol string"),
+        "transactions": spark.createDataFrame([("2001-01-01", 5, ts)], base),
+        "profiles": spark.createDataFrame([("2001-01-02", 0, ts, 30)], base + ", age int"),
+    }
+    u = gold.tagged_union(frames)
+    assert {"market_value", "symbol", "age", "source_table"} <= set(u.columns)
+    rows = {r.source_table: r for r in u.collect()}
+    assert rows["market_data"].market_value is None and rows["portfolio_holdings"].symbol is None
+    assert rows["client_profiles"].age == 30 and len(rows) == 4
+    metrics = gold.build("processing_metrics", frames).collect()
+    assert sum(r.records_processed for r in metrics) == 4
