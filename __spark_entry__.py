@@ -27,6 +27,17 @@ from tessera.plans import gold, pipeline  # noqa: E402
 from tessera.plans.bronze import bronze  # noqa: E402
 from tessera.streaming import kyc_stream, purchase_stream  # noqa: E402
 
+# The training-data operators are an optional part: without them the queries
+# below still work.
+try:
+    from tessera.llm import registry as _llm
+except ImportError:
+    _llm = None
+try:
+    import corpus_pipeline as _corpus
+except ImportError:
+    _corpus = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 BATCH_AS_OF = oracle.BATCH_AS_OF
 EVENTS_AS_OF = oracle.EVENTS_AS_OF
@@ -103,6 +114,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         purchase_stream.run_incremental_gold(spark, d)
     )
     q["stream_hourly_watermark"] = lambda spark, d: kyc_stream.run_hourly_watermark(spark, d)
+    if _llm is not None:
+        q.update(_llm.QUERIES)
+    if _corpus is not None:
+        q["pipeline"] = _corpus.run
     return q
 
 
@@ -127,4 +142,6 @@ def oracle_sql() -> dict[str, str]:
     s["stream_gold_incremental_kyc"] = oracle.gold_sql("realtime_kyc_metrics")
     s["stream_gold_incremental_purchases"] = oracle.gold_sql("realtime_metrics")
     # stream_hourly_watermark uses approx_count_distinct: rows-only check.
+    if _llm is not None:
+        s.update(_llm.SQL)
     return s
