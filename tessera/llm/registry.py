@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, secrets
+from tessera.llm import mixing, rules, secrets, tokens, topk
 
 QUERIES = {
+    "op1_quality_rules": rules.query,
     "op4_secret_scans": secrets.query,
     "op6_source_mix": mixing.query,
+    "op9_token_counts": tokens.query,
+    "op10_exact_topk": topk.query,
+}
+# The others train models, search or parse, which SQL does not express; they
+# are tested against brute force or held-out rows.
+SQL = {
+    "op6_source_mix": mixing.ORACLE_SQL,
+    "op10_exact_topk": topk.ORACLE_SQL,
 }
-SQL = {"op6_source_mix": mixing.ORACLE_SQL}
