@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast an object of this package; tasks call the result to get it.
+    Callers vouch for the object's size."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def crc_mod(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
