@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, rules, secrets, suffixtree, tokens, topk, toxicity
+from tessera.llm import decontaminate, mixing, rules, secrets, suffixtree, tokens, topk, toxicity
 
 QUERIES = {
     "op1_quality_rules": rules.query,
     "op4_secret_scans": secrets.query,
     "op5_suffix_tree_lm": suffixtree.query,
     "op6_source_mix": mixing.query,
+    "op7_decontaminate": decontaminate.query,
     "op8_toxicity": toxicity.query,
     "op9_token_counts": tokens.query,
     "op10_exact_topk": topk.query,
