@@ -18,6 +18,7 @@ verification narrows, so each row keeps its own spans. Other columns pass by.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 from dataclasses import dataclass
@@ -95,7 +96,8 @@ def _joined(parts: list[set[str] | None]) -> set[str] | None:
 
 
 def _runs(items) -> list[set[str]]:
-    """Sets of strings, one of each of which every match contains."""
+    """Sets of strings, one of each of which every match contains; a string
+    that holds another of its set adds nothing and is left out."""
     runs, now = [], {""}
     for node, strings in zip(items, _strings(items)):
         if strings is not None and len(now) * len(strings) <= _MOST:
@@ -108,17 +110,34 @@ def _runs(items) -> list[set[str]]:
             runs += _runs(arg[-1])
         elif strings is None and op is rc.MAX_REPEAT and arg[0] >= 1:
             runs += _runs(arg[2])
-    return [*runs, now]
+    return [{s for s in r if not any(t != s and t in s for t in r)} for r in [*runs, now]]
+
+
+_RARE = "etaoinshrdlcumwfgypbvkjxqz"  # letters from common to rare
+_MOST_TERMS = 3
+
+
+def _selective(gram: str) -> int:
+    return sum(_RARE.find(c) if c in _RARE else 2 * len(_RARE) for c in gram)
+
+
+def needles(regex: str) -> list[str]:
+    """Lower-cased strings, one of which every match contains; the longest the
+    regex has. Empty: none is mandatory."""
+    runs = [r for r in _runs(list(rp.parse(regex))) if min(map(len, r)) >= 3]
+    return sorted({s.lower() for s in max(runs, key=lambda r: min(map(len, r)))}) if runs else []
 
 
 def trigram_query(regex: str) -> list[frozenset[str]]:
     """The regex's query: a match holds all trigrams of at least one clause.
-    Empty: nothing is mandatory."""
+    A clause names at most ``_MOST_TERMS``, those of the rarest letters; fewer
+    terms only let more candidates through. Empty: nothing is mandatory."""
     clauses = [frozenset()]
     for run in _runs(list(rp.parse(regex))):
         grams = {frozenset(s.lower()[i : i + 3] for i in range(len(s) - 2)) for s in run}
         if frozenset() not in grams and len(grams) * len(clauses) <= _MOST:
             clauses = [a | b for a, b in itertools.product(clauses, grams)]
+    clauses = {frozenset(sorted(c, key=lambda t: (-_selective(t), t))[:_MOST_TERMS]) for c in clauses}
     clauses = {c for c in clauses if not any(d < c for d in clauses)}
     return [] if frozenset() in clauses else sorted(clauses, key=sorted)
 
@@ -204,7 +223,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for i, rule in enumerate(rules):
         open_ = F.col("_t").rlike(_quick(rule))
         if trigram_query(rule.regex):
-            open_ = F.array_contains("_kinds", rule.kind) & open_
+            low = F.lower("_t")
+            held = functools.reduce(Column.__or__, [low.contains(n) for n in needles(rule.regex)])
+            open_ = F.array_contains("_kinds", rule.kind) & held & open_
         parts.append(F.when(open_, _spans(rule, i)).otherwise(F.array().cast(_NONE)))
     return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop("_id", "_kinds", "_t")
 
