@@ -5,7 +5,9 @@ passage with substituted words still agrees under some mask at some place. The
 masks' hashes of the benchmark items are joined with those of every document;
 each hit names an item and a diagonal (document position minus item position),
 and the texts are compared along that diagonal: the best-scoring stretch through
-a hit must hold enough equal tokens at a high enough share.
+a hit must hold equal tokens at a high enough share, and the item's tokens
+covered by such stretches must be enough (words inserted into a passage move its
+rest to another diagonal).
 
 Tokens are lower-cased words without ASCII punctuation at their ends; words of
 punctuation alone are skipped. An item shorter than a mask is hashed whole.
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import mix, share, stage, table, words_of
 
 MASKS = ("11101101", "110100111", "1011100011")
-LEAST = 10        # equal tokens of a stretch, or
+PIECE = 5         # least equal tokens of a stretch
+LEAST = 10        # covered tokens of an item, or
 PART = 0.5        # this part of the item if that is more; all of a shorter item
 IDENTITY = 0.75   # equal tokens of all in the stretch
 BLOCK = 2_000_000
@@ -121,17 +124,23 @@ class Benchmark:
                 for p, a, z in zip(at[hit].tolist(), lo[hit].tolist(), hi.tolist()):
                     for k, i in where[a:z].tolist():
                         diagonals.add((k, p - i))
-        best: dict[int, tuple[int, int, int]] = {}
+        pieces: dict[int, list[tuple[int, int, int, np.ndarray]]] = {}
         for k, d in sorted(diagonals):
             item = self.texts[k]
             a, z = max(0, -d), min(len(item), len(ids) - d)
             equal = ids[a + d : z + d] == item[a:z]
             x, y = _best(equal, IDENTITY / (1 - IDENTITY) / 2)
-            same = int(equal[x:y].sum())
-            need = min(len(item), max(LEAST, -(-len(item) * PART // 1)))
-            if same >= need and same >= IDENTITY * (y - x) and same > best.get(k, (0, 0, 0))[2]:
-                best[k] = (a + d + x, a + d + y, same)
-        return [(k, *v) for k, v in best.items()]
+            same = np.flatnonzero(equal[x:y]) + a + x
+            if len(same) >= min(len(item), PIECE) and len(same) >= IDENTITY * (y - x):
+                pieces.setdefault(k, []).append((len(same), a + d + x, a + d + y, same))
+        out = []
+        for k, own in pieces.items():
+            n = len(self.texts[k])
+            covered = len(np.unique(np.concatenate([p[3] for p in own])))
+            if covered >= min(n, max(LEAST, -(-n * PART // 1))):
+                _, start, end, _ = max(own, key=lambda p: (p[0], -p[1]))
+                out.append((k, start, end, covered))
+        return out
 
 
 def _passes(benchmark: DataFrame, block: int):
@@ -178,7 +187,8 @@ def _with_found(docs: DataFrame, shared) -> DataFrame:
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id,
-    start, end (token places, end exclusive), equal, item_tokens."""
+    start, end (token places of the longest stretch, end exclusive), equal (item
+    tokens covered), item_tokens."""
     spark = docs.sparkSession
     out = None
     for shared in _passes(benchmark, block):
