@@ -9,7 +9,7 @@ a hit must hold equal tokens at a high enough share, and the item's tokens
 covered by such stretches must be enough (words inserted into a passage move its
 rest to another diagonal).
 
-Tokens are lower-cased words without ASCII punctuation at their ends; words of
+Tokens are words in lower case (of all scripts) without ASCII punctuation at their ends; words of
 punctuation alone are skipped. An item shorter than a mask is hashed whole.
 
 The benchmark is broadcast in blocks of at most about ``BLOCK`` tokens, each a
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, share, stage, table, words_of
+from tessera.llm.common import mix, share, stage, table
 
 MASKS = ("11101101", "110100111", "1011100011")
 PIECE = 5         # least equal tokens of a stretch
@@ -41,8 +41,12 @@ BLOCK = 2_000_000
 _EDGE = string.punctuation.encode()
 
 
+def _words(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").split() if text else []
+
+
 def tokens(text: str | None) -> list[bytes]:
-    return [w for w in (x.strip(_EDGE) for x in words_of(text)) if w]
+    return [w for w in (x.strip(_EDGE) for x in _words(text)) if w]
 
 
 class _Places(dict):
@@ -174,7 +178,7 @@ def _with_found(docs: DataFrame, shared) -> DataFrame:
                 part = batch.slice(at, 1_000)
                 out = []
                 for t in part.column(part.schema.get_field_index("text")).to_pylist():
-                    words = words_of(t)
+                    words = _words(t)
                     ids = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
                     found = bench.find(ids[ids != -2])
                     out.append([dict(item_id=bench.item_ids[k], start=a, end=b, equal=n,
