@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples.
 
-Terms: a word stripped of ASCII punctuation at both ends. On a bounded sample
+Terms: a word in lower case, stripped of ASCII punctuation at both ends. On a bounded sample
 of labelled rows (held-out rows excluded), terms that come with label 1 far
 more often than chance allows are the vocabulary (a G-test against the number
 of terms tried); idf is taken over all documents. Texts are TF-IDF vectors over
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, share, stage, table, words_of
+from tessera.llm.common import crc_mod, share, stage, table
 
 MAX_ROWS = 20_000
 K = 15
@@ -45,8 +45,12 @@ LIFT = 2.0   # a vocabulary term at least so many times likelier under label 1
 _EDGE = string.punctuation.encode()
 
 
+def _words(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").split() if text else []
+
+
 def terms(text: str | None) -> Counter:
-    out = Counter(w.strip(_EDGE) for w in words_of(text))
+    out = Counter(w.strip(_EDGE) for w in _words(text))
     out.pop(b"", None)
     return out
 
@@ -132,7 +136,7 @@ class Model:
         """(term, count) of a text's vocabulary terms, by term."""
         v = self.vocabulary
         found = Counter()
-        for w in words_of(text):
+        for w in _words(text):
             w = w.strip(_EDGE)
             if w in v:
                 found[v[w]] += 1
