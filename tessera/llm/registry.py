@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, mixing, rules, secrets, suffixtree, templates, tokens, topk, toxicity
+from tessera.llm import decontaminate, jaccard, mixing, rules, secrets, suffixtree, templates, tokens, topk, toxicity
 
 QUERIES = {
     "op1_quality_rules": rules.query,
+    "op2_jaccard_join": jaccard.query,
     "op3_template_removal": templates.query,
     "op4_secret_scans": secrets.query,
     "op5_suffix_tree_lm": suffixtree.query,
