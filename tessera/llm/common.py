@@ -35,6 +35,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with its columns but ``used`` under names that clash with no
+    operator's, and a function that gives them their names back; columns named
+    in its further arguments are added and replace those of ``docs``."""
+    names = {c: f"_d{i}" for i, c in enumerate(docs.columns) if c not in used}
+
+    def back(df: DataFrame, *added: str) -> DataFrame:
+        own = [F.col(names.get(c, c)).alias(c) for c in docs.columns if c not in added]
+        return df.select(*own, *added)
+
+    return docs.withColumnsRenamed(names), back
+
+
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast an object of this package; tasks call the result to get it.
     Callers vouch for the object's size."""

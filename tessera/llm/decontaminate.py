@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, share, stage, table
+from tessera.llm.common import apart, mix, share, stage, table
 
 MASKS = ("11101101", "110100111", "1011100011")
 PIECE = 5         # least equal tokens of a stretch
@@ -204,11 +204,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
 
 def clean(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, unchanged."""
-    names = docs.columns
     for i, shared in enumerate(_passes(benchmark, block)):
-        held = docs.withColumnsRenamed({c: f"_d{j}" for j, c in enumerate(names) if c != "text"})
-        kept = _with_found(held, shared).filter(F.size("found") == 0)
-        docs = kept.select(*[F.col(c if c == "text" else f"_d{j}").alias(c) for j, c in enumerate(names)])
+        inner, back = apart(docs, "text")
+        docs = back(_with_found(inner, shared).filter(F.size("found") == 0))
         if i:
             docs = stage(docs, "clean-block")
     return docs

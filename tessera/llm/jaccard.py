@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WordHash, shingles, stage, table, words_of
+from tessera.llm.common import WordHash, apart, shingles, stage, table, words_of
 from tessera.llm.graph import components
 
 SIZE, PERCENT = 4, 85
@@ -356,7 +356,8 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     gone = stage(gone, "jaccard-gone")
     if gone.count() <= BROADCAST:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    inner, back = apart(docs, "doc_id", "text")
+    return back(inner.join(gone, F.col("doc_id") == F.col("_id"), "left_anti"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, stage
+from tessera.llm.common import WORD, apart, stage
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -134,7 +134,7 @@ def mix(
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents' columns with each row as often as it is
-    taken, plus ``copy`` (from 1). Documents the mix does not take are absent.
+    taken, plus ``copy`` (from 1; it replaces a column of that name). Documents the mix does not take are absent.
 
     Rows are matched to their copies by id, source and size; rows equal in all
     three that differ in copies get the larger number.
@@ -142,15 +142,14 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     counts = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_n"))
     counts = counts.toDF("_id", "_source", "_size", "_n")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.withColumn("_words", size).join(
+    inner, back = apart(docs, "doc_id", "text", "source")
+    joined = inner.withColumn("_words", size).join(
         counts,
         F.col("doc_id").eqNullSafe(F.col("_id"))
         & F.col("source").eqNullSafe(F.col("_source"))
         & (F.col("_words") == F.col("_size")),
     ).filter(F.col("_n") > 0)
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).drop(
-        "_id", "_source", "_size", "_n", "_words"
-    )
+    return back(joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))), "copy")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

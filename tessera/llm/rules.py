@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, stage, table
+from tessera.llm.common import apart, crc_mod, stage, table
 
 MAX_ROWS = 20_000
 TREES = 24
@@ -217,11 +217,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, unchanged."""
     model = learn(docs, labels, max_rows)
-    held = docs.withColumnsRenamed({c: f"_d{i}" for i, c in enumerate(docs.columns)})
-    at = docs.columns.index("text")
-    scored = with_statistics(held.withColumn("_copy", F.col(f"_d{at}")), "_copy")
-    kept = scored.filter(model.column() >= threshold)
-    return kept.select(*[F.col(f"_d{i}").alias(c) for i, c in enumerate(docs.columns)])
+    inner, back = apart(docs)
+    text = inner.columns[docs.columns.index("text")]
+    scored = with_statistics(inner.withColumn("_copy", F.col(text)), "_copy")
+    return back(scored.filter(model.column() >= threshold))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from re import _parser as rp
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import apart, table
 
 
 @dataclass(frozen=True)
@@ -205,16 +205,17 @@ _NONE = "array<struct<start:bigint,order:int,end:bigint,kind:string>>"
 
 def _quick(rule: Rule) -> str:
     """A regex that finds a text with a long enough run at all."""
-    if rule.group == 0 and rule.least and rule.regex.endswith("]+"):
-        head = rule.regex[: rule.regex.rindex("[")]
-        fixed = len(head) if re.fullmatch(r"\w*", head) else 0
-        return rule.regex[:-1] + "{%d,}" % max(1, rule.least - fixed)
+    head = rule.regex[: rule.regex.rindex("[")] if rule.group == 0 and rule.regex.endswith("]+") else "+"
+    if re.fullmatch(r"\w*", head):  # plain letters, then one run
+        return rule.regex[:-1] + "{%d,}" % max(1, rule.least - len(head))
     return ("(?i)" if rule.any_case else "") + rule.regex
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``spans``: array of (start, order, end, kind), by start
-    then by the rules' order; code points, end exclusive."""
+    then by the rules' order; code points, end exclusive. A column of that name
+    is replaced."""
+    docs, back = apart(docs, "doc_id", "text")
     kinds = candidates(docs, rules).toDF("_id", "_kinds")
     joined = docs.join(kinds, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn(
         "_t", F.coalesce("text", F.lit(""))
@@ -227,7 +228,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             held = functools.reduce(Column.__or__, [low.contains(n) for n in needles(rule.regex)])
             open_ = F.array_contains("_kinds", rule.kind) & held & open_
         parts.append(F.when(open_, _spans(rule, i)).otherwise(F.array().cast(_NONE)))
-    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop("_id", "_kinds", "_t")
+    return back(joined.withColumn("spans", F.array_sort(F.concat(*parts))), "spans")
 
 
 def _text(spans: Column) -> Column:
@@ -254,7 +255,8 @@ def query(spark, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of their texts replaced by ``mark`` (spans that
     overlap by one mark) and n_chars counted anew; null texts stay null."""
-    found = scan(docs)
+    inner, back = apart(docs, "doc_id", "text", "n_chars")
+    found = scan(inner)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -273,4 +275,4 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     out = found.withColumn("text", clean).drop("spans")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return back(out)
