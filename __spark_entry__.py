@@ -50,6 +50,15 @@ FAULTED = ("holdings", "market", "transactions", "profiles", "kyc")
 GOLD_KEYS = {f"gold_{name}": name for name in gold.SPECS}
 
 
+# The gold tables of each feed, built from its streaming silver sink. Those
+# registered by name below are left out.
+_NAMED = ("realtime_kyc_metrics", "purchase_analytics")
+STREAM_GOLD = tuple(
+    (feed, run, tuple(n for n, spec in gold.SPECS.items() if spec.inputs == (feed,) and n not in _NAMED))
+    for feed, run in (("kyc", kyc_stream.run_gold), ("purchases", purchase_stream.run_gold))
+)
+
+
 def _as_of(table: str) -> str:
     return EVENTS_AS_OF if table in ("kyc", "purchases") else BATCH_AS_OF
 
@@ -113,7 +122,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_gold_incremental_purchases"] = lambda spark, d: spark.read.parquet(
         purchase_stream.run_incremental_gold(spark, d)
     )
-    q["stream_hourly_watermark"] = lambda spark, d: kyc_stream.run_hourly_watermark(spark, d)
+    for feed, run, names in STREAM_GOLD:
+        for name in names:
+            q[f"stream_gold_{name}"] = lambda spark, d, run=run, name=name: run(spark, d, name)
+    q["stream_hourly_kyc"] = lambda spark, d: kyc_stream.run_hourly(spark, d)
     if _llm is not None:
         q.update(_llm.QUERIES)
     if _corpus is not None:
@@ -141,7 +153,10 @@ def oracle_sql() -> dict[str, str]:
     s["stream_gold_purchase_analytics"] = oracle.gold_sql("purchase_analytics")
     s["stream_gold_incremental_kyc"] = oracle.gold_sql("realtime_kyc_metrics")
     s["stream_gold_incremental_purchases"] = oracle.gold_sql("realtime_metrics")
-    # stream_hourly_watermark uses approx_count_distinct: rows-only check.
+    for _, _, names in STREAM_GOLD:
+        for name in names:
+            s[f"stream_gold_{name}"] = oracle.gold_sql(name)
+    s["stream_hourly_kyc"] = oracle.hourly_sql()
     if _llm is not None:
         s.update(_llm.SQL)
     return s

@@ -37,9 +37,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "batch":
         paths = pipeline.run_batch(spark, args.tables, args.out, as_of=args.as_of, max_workers=args.workers)
     elif args.job == "stream-kyc":
-        paths = kyc_stream.run_pipeline(spark, args.tables, args.out)
+        paths = kyc_stream.publish(spark, args.tables, args.out)
     else:
-        paths = {"bronze": purchase_stream.run_bronze(spark, args.tables, args.out)}
+        paths = purchase_stream.publish(spark, args.tables, args.out)
     print(json.dumps(paths, indent=1))
 
 

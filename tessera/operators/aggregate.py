@@ -75,7 +75,7 @@ _FUNCS = {
 # avg(1.00, 2.01) = 1.505. Decimal sums are order-independent.
 DEC_IN = "decimal(38,8)"
 DEC_SUM = "decimal(34,8)"  # totals up to 1e26 (pair-weighted sums of a hot key)
-DEC_COUNT = "decimal(13,0)"
+DEC_COUNT = "decimal(20,0)"  # any bigint; the quotient keeps 12 digits all the same
 
 
 def exact_sum(col: Column, scale: int | None) -> Column:

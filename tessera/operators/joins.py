@@ -50,9 +50,6 @@ def _cname(*parts: str) -> str:
     return "_".join(["", *parts]).replace(".", "_")
 
 
-_STATS_CACHE: dict[tuple, dict[str, int]] = {}
-
-
 def join_stats(
     left: DataFrame,
     right: DataFrame,
@@ -67,14 +64,7 @@ def join_stats(
     * ``left_combo``: sum over keys of left rows x distinct right group-key
       combinations (the rows a left-value-to-right-keys pairing emits), and
       ``right_combo`` the mirror image (only ``with_combos``).
-
-    Results are memoised per (plan, plan, keys) within the process, so tables
-    sharing a join (e.g. two gold tables over holdings x profiles) pay once.
     """
-    cache_key = (left._jdf.semanticHash(), right._jdf.semanticHash(), tuple(on),
-                 tuple(left_keys), tuple(right_keys), with_combos)
-    if cache_key in _STATS_CACHE:
-        return _STATS_CACHE[cache_key]
     jn = [f"_j{i}" for i in range(len(on))]
 
     def side(df: DataFrame, cols: Sequence[str], keys: Sequence[str], tag: str) -> DataFrame:
@@ -88,16 +78,15 @@ def join_stats(
 
     stats = side(left, [a for a, _ in on], left_keys, "l").join(
         side(right, [b for _, b in on], right_keys, "r"), jn, "full")
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
     row = stats.agg(
-        F.sum(F.col("_ln") * F.col("_rn")).alias("pairs"),
+        F.sum(wide("_ln") * wide("_rn")).alias("pairs"),
         F.sum("_ln").alias("left"),
         F.sum("_rn").alias("right"),
-        F.sum(F.col("_ln") * F.col("_rk")).alias("left_combo"),
-        F.sum(F.col("_rn") * F.col("_lk")).alias("right_combo"),
+        F.sum(wide("_ln") * wide("_rk")).alias("left_combo"),
+        F.sum(wide("_rn") * wide("_lk")).alias("right_combo"),
     ).first()
-    out = {k: int(row[k] or 0) for k in ("pairs", "left", "right", "left_combo", "right_combo")}
-    _STATS_CACHE[cache_key] = out
-    return out
+    return {k: int(row[k] or 0) for k in ("pairs", "left", "right", "left_combo", "right_combo")}
 
 
 def pair_stats(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> tuple[int, int, int]:
@@ -212,6 +201,9 @@ def blocked_join_aggregate(
     def exact(m: Measure) -> bool:
         return m.fn in ("sum", "avg") and dtypes[m.side].get(m.column) == "double"
 
+    def whole(m: Measure) -> bool:
+        return dtypes[m.side].get(m.column) in ("tinyint", "smallint", "int", "bigint")
+
     # 1. per-side blocks. Parts per measured column: c = non-null count,
     # d = exact decimal sum (sum/avg of DOUBLE), s = plain sum, m2 = sum of
     # squared deviations from the block mean, min/max.
@@ -238,7 +230,8 @@ def blocked_join_aggregate(
                 expr = {
                     "c": F.count(v),
                     "d": F.sum(v.cast(DEC_IN)),
-                    "s": F.sum(v),
+                    # whole numbers in a type that no weighted sum leaves
+                    "s": F.sum(v.cast("decimal(38,0)") if whole(m) else v),
                     # within-block sum of squared deviations (stable moments)
                     "m2": F.coalesce(F.var_samp(v) * (F.count(v) - 1), F.lit(0.0)),
                     "min": F.min(v),
@@ -268,9 +261,9 @@ def blocked_join_aggregate(
             w = weight(s)
             cnt = F.sum(F.col(f"{base}_c") * w) if m.fn not in ("min", "max") else None
             if exact(m):
-                # block decimal sum x pair weight, exact: decimal(25,8) * decimal(11,0)
-                # -> decimal(37,8), no scale lost; block sums to 1e17, weights to 1e11
-                tot = F.sum(F.col(f"{base}_d").cast("decimal(25,8)") * w.cast("decimal(11,0)"))
+                # block decimal sum x pair weight, exact: decimal(25,8) * decimal(12,0)
+                # -> decimal(38,8), no scale lost; block sums to 1e17, weights to 1e12
+                tot = F.sum(F.col(f"{base}_d").cast("decimal(25,8)") * w.cast("decimal(12,0)"))
                 if m.fn == "sum":
                     e = (F.round(tot, m.scale) if m.scale is not None else tot).cast("double")
                 else:
@@ -278,8 +271,9 @@ def blocked_join_aggregate(
                 scaled = False
             elif m.fn == "sum":
                 e = F.sum(F.col(f"{base}_s") * w)
+                e = e.cast("bigint") if whole(m) else e
             elif m.fn == "avg":
-                e = F.when(cnt > 0, F.sum(F.col(f"{base}_s") * w) / cnt)
+                e = F.when(cnt > 0, F.sum(F.col(f"{base}_s") * w).cast("double") / cnt)
             elif m.fn in ("min", "max"):
                 e = (F.min if m.fn == "min" else F.max)(F.col(f"{base}_{m.fn}"))
             else:  # sample standard deviation: pass 1 keeps the group mean

@@ -1,11 +1,11 @@
 """WIN1: a row's share of a whole-table total.
 
 ``SUM(x) OVER ()`` has no partition key, so Spark plans it as an exchange to a
-single partition: one task would hold every row. The same value comes from a
-global aggregate (partial sums per task, one row to the final stage) joined
-back with a broadcast of that single row -- a side whose size is exactly one
-row by construction. The filter that follows a share computation can then
-still be pushed below it.
+single partition: one task would hold every row. The same value comes from an
+uncorrelated scalar subquery: a global aggregate (partial sums per task, one row
+to the final stage) whose value the projection reads. Unlike a join it
+disappears from the plan when the share is not read, and filters that follow can
+be pushed below it.
 """
 
 from __future__ import annotations
@@ -15,12 +15,8 @@ from pyspark.sql import functions as F
 
 
 def with_share(df: DataFrame, value: str, out: str, scale: int = 4) -> DataFrame:
-    total = df.agg(F.sum(value).alias("_share_total"))
-    return (
-        df.crossJoin(F.broadcast(total))
-        .withColumn(out, F.round(F.col(value) / F.col("_share_total"), scale))
-        .drop("_share_total")
-    )
+    total = df.agg(F.sum(value)).scalar()
+    return df.withColumn(out, F.round(F.col(value) / total, scale))
 
 
 def with_share_window(df: DataFrame, value: str, out: str, scale: int = 4) -> DataFrame:

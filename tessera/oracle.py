@@ -16,7 +16,7 @@ from tessera.functions.buckets import regex_bucket_sql as bucket
 from tessera.functions.tiers import code_label_sql as code
 from tessera.functions.tiers import tier_sql as tier
 from tessera.operators import quality
-from tessera.operators.aggregate import measure_sql
+from tessera.operators.aggregate import avg, measure_sql
 from tessera.operators.faults import FAULTS, fault_sql
 from tessera.plans import gold
 from tessera.sources import adapters, schemas
@@ -330,6 +330,17 @@ def gold_sql(name: str) -> str:
             f"JOIN ({silver_sql(rt)}) {ra} ON {cond} GROUP BY {keys}")
 
 
+def hourly_sql() -> str:
+    """Exact hourly KYC metrics, written out by hand."""
+    return (
+        "SELECT date_trunc('hour', kyc_timestamp::TIMESTAMP) AS window_start, count(*) AS kyc_records_processed, "
+        "count(DISTINCT customer_id) AS unique_customers, "
+        f"{measure_sql(avg('avg_annual_income', 'annual_income', 2), R)}, "
+        f"{measure_sql(avg('avg_net_worth', 'net_worth', 2), R)} "
+        f"FROM ({silver_sql('kyc')}) s GROUP BY 1"
+    )
+
+
 # --- quality ----------------------------------------------------------------------
 
 def quality_report_sql() -> str:

@@ -3,8 +3,8 @@
 Every read names the columns it needs, so the scan's ``ReadSchema`` carries
 only those columns and later filters are pushed into the parquet reader.
 The supplied tables are read with their declared schemas (no footer-based
-inference), and the base relation of each path is reused within a session so
-repeated plan building does not list and open the files again.
+inference). Every read lists the table's files anew, so files added later in a
+session are seen.
 """
 
 from __future__ import annotations
@@ -51,44 +51,19 @@ SCHEMAS = {
     ),
 }
 
-_BASE: dict[tuple[str, str], DataFrame] = {}
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(
-    spark: SparkSession,
-    sf_dir: str,
-    name: str,
-    columns: Sequence[str] | None = None,
-    spread: str | None = None,
+    spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """``spread="<column>"`` marks a fact table: if its scan yields fewer
-    splits than the session's parallelism (one file holding one row group),
-    rows are hash-distributed on that column so the joins and projections
-    downstream use all cores. Scans that are already wide (the cluster case)
-    are left alone."""
-    df = _read(spark, sf_dir, name, columns)
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want, spread)
-    return df
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None) -> DataFrame:
-    path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path)
-    base = _BASE.get(key)
-    if base is None or base.sparkSession is not spark:
-        reader = spark.read
-        if name in SCHEMAS:
-            reader = reader.schema(SCHEMAS[name])
-        base = reader.parquet(path)
-        _BASE[key] = base
-    return base.select(*columns) if columns else base
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = SUPPLIED_TABLES) -> None:

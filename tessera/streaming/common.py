@@ -16,6 +16,9 @@ from tessera.sources import schemas
 from tessera.sources.tables import table_path
 
 
+PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -31,11 +34,22 @@ def file_stream(
     return reader.parquet(path)
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a table is a folder of part files; fails when it is absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(hpath).isDirectory())
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream: new event files dropped into the folder
-    are picked up by the next trigger."""
-    name = table_path(sf_dir, "events").rsplit("/", 1)[1]
-    return file_stream(spark, sf_dir, schemas.EVENTS, glob=name)
+    """The events table as a stream. A table folder is streamed itself, so part
+    files dropped into it are picked up by the next trigger; a single file is
+    selected by name from the folder it shares with other tables."""
+    path = table_path(sf_dir, "events")
+    if _is_folder(spark, path):
+        return file_stream(spark, path, schemas.EVENTS)
+    return file_stream(spark, sf_dir, schemas.EVENTS, glob=path.rsplit("/", 1)[1])
 
 
 def run_to_parquet(
@@ -47,7 +61,8 @@ def run_to_parquet(
 ) -> dict:
     """Append ``df`` to ``sink`` until the input present now is consumed.
     Returns the observed metrics of the run, summed over its micro-batches
-    (``df.observe(name, ...)`` counters arrive through query progress)."""
+    (``df.observe(name, ...)`` counters arrive through query progress, of which
+    the query keeps every update: the default ring would drop all but the last)."""
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -59,8 +74,14 @@ def run_to_parquet(
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start()
-    query.awaitTermination()
+    spark = df.sparkSession
+    kept = spark.conf.get(PROGRESS_KEPT)
+    spark.conf.set(PROGRESS_KEPT, str(2**31 - 1))
+    try:
+        query = writer.start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS_KEPT, kept)
     if query.exception() is not None:  # surface failures instead of returning partial sinks
         raise RuntimeError(str(query.exception()))
     totals: dict = {}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import quality
+from tessera.operators.aggregate import avg, cd, grouped, n
 from tessera.plans import gold, silver
 from tessera.plans.bronze import finish
 from tessera.session import fresh_path
@@ -14,6 +15,11 @@ from tessera.sources import adapters, schemas
 from tessera.streaming.common import event_stream, file_stream, run_to_parquet
 from tessera.streaming.incremental import refresh_dates, run_date_refresh
 
+HOURLY = (
+    n("kyc_records_processed"), cd("unique_customers", "customer_id"),
+    avg("avg_annual_income", "annual_income", 2), avg("avg_net_worth", "net_worth", 2),
+)
+
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BRZ5: events -> KYC bronze, with the (deterministic) fault rules."""
@@ -66,6 +72,19 @@ def run_incremental_gold(
     return gold_path
 
 
+def publish(spark: SparkSession, sf_dir: str, root: str) -> dict:
+    """The whole feed: sinks as ``run_pipeline`` writes them, then every KYC
+    gold table once over the silver sink."""
+    paths = run_pipeline(spark, sf_dir, root)
+    rows = spark.read.parquet(paths["silver"])
+    paths["gold"] = {}
+    for name, spec in gold.SPECS.items():
+        if spec.inputs == ("kyc",):
+            paths["gold"][name] = f"{root}/gold/{name}"
+            gold.build(name, {"kyc": rows}).write.mode("overwrite").parquet(paths["gold"][name])
+    return paths
+
+
 def run_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
     paths = run_pipeline(spark, sf_dir, root)
     return spark.read.parquet(paths["silver"])
@@ -77,52 +96,25 @@ def run_gold(spark: SparkSession, sf_dir: str, name: str, root: str | None = Non
     return gold.build(name, {"kyc": run_silver(spark, sf_dir, root)})
 
 
-def hourly_watermark(silver_source: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """EXT1: incremental hourly KYC metrics by event time. State is bounded
-    by the watermark; distinct customers are approximate (HLL++) because
-    exact distinct counts are not supported in streaming aggregation."""
+def hourly(silver_rows: DataFrame) -> DataFrame:
+    """EXT1: KYC metrics by event hour, exact for any order of files."""
     ts = F.col("kyc_timestamp").cast("timestamp")
-    return (
-        silver_source.withColumn("event_time", ts)
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour").alias("w"))
-        .agg(
-            F.count(F.lit(1)).alias("kyc_records_processed"),
-            F.approx_count_distinct("customer_id").alias("approx_unique_customers"),
-            F.round(F.avg("annual_income"), 2).alias("avg_annual_income"),
-            F.round(F.avg("net_worth"), 2).alias("avg_net_worth"),
-        )
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "kyc_records_processed",
-            "approx_unique_customers",
-            "avg_annual_income",
-            "avg_net_worth",
-        )
-    )
-
-
-def run_hourly_watermark(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
-    root = root or fresh_path(spark, "kyc-hourly")
-    paths = run_pipeline(spark, sf_dir, root)
-    source = file_stream(spark, paths["silver"], silver_schema(spark, paths["silver"]))
-    sink = f"{root}/hourly"
-    run_to_parquet(hourly_watermark(source), sink, f"{root}/_checkpoints/hourly")
-    return spark.read.parquet(sink)
+    rows = silver_rows.withColumn("window_start", F.date_trunc("hour", ts))
+    return grouped(rows, ["window_start"], HOURLY)
 
 
-def silver_schema(spark: SparkSession, path: str):
-    return spark.read.parquet(path).schema
+def run_hourly(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """``hourly`` over the streaming silver sink."""
+    return hourly(run_silver(spark, sf_dir, root))
 
 
 __all__ = [
     "bronze_stream",
     "refresh_dates",
     "run_incremental_gold",
-    "hourly_watermark",
+    "hourly",
     "run_gold",
-    "run_hourly_watermark",
+    "run_hourly",
     "run_pipeline",
     "run_silver",
     "silver_stream",

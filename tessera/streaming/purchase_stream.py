@@ -30,6 +30,19 @@ def run_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> Dat
     return silver.purchases(spark.read.schema(schemas.PURCHASES).parquet(sink))
 
 
+def publish(spark: SparkSession, sf_dir: str, root: str) -> dict:
+    """The whole feed: bronze sink, silver table and every purchase gold table."""
+    paths: dict = {"bronze": run_bronze(spark, sf_dir, root), "silver": f"{root}/silver", "gold": {}}
+    silver.purchases(spark.read.schema(schemas.PURCHASES).parquet(paths["bronze"])).write.mode(
+        "overwrite").parquet(paths["silver"])
+    rows = spark.read.parquet(paths["silver"])
+    for name, spec in gold.SPECS.items():
+        if spec.inputs == ("purchases",):
+            paths["gold"][name] = f"{root}/gold/{name}"
+            gold.build(name, {"purchases": rows}).write.mode("overwrite").parquet(paths["gold"][name])
+    return paths
+
+
 def run_gold(spark: SparkSession, sf_dir: str, name: str, root: str | None = None) -> DataFrame:
     return gold.build(name, {"purchases": run_silver(spark, sf_dir, root)})
 

@@ -114,8 +114,9 @@ def test_share_forms_agree_and_count_filtered_rows(spark):
     assert dict((r[0], r[2]) for r in ra) == {1: 0.125, 2: 0.375, 4: 0.75}
     # Only the one-row-per-task partial sums meet in a single partition; the
     # rows themselves never go through a Window.
-    plan = a._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "BroadcastNestedLoopJoin" in plan
+    plan = a._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+    assert "Window" not in plan and "Join" not in plan
 
 
 # --- join aggregation ---------------------------------------------------------------
@@ -296,3 +297,25 @@ def test_pair_free_stddev_is_stable_for_large_means(spark):
                         FROM bh h JOIN bp p ON h.name = p.name GROUP BY p.tier, h.kind""").collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
     assert 0.01 < got[0].sd_mv < 0.03
+
+
+def test_blocked_join_keeps_large_whole_numbers():
+    from tessera.session import build_session
+
+    spark = build_session(master="local[*]")
+    left = spark.range(40).select(F.lit("k").alias("name"), F.lit("a").alias("kind"),
+                                  (F.lit(4 * 10**18)).cast("bigint").alias("big"), F.lit(0.5).alias("x"))
+    right = spark.range(30).select(F.lit("k").alias("name"), F.lit("t").alias("tier"))
+    ms = [avg("mean", "l.big"), n("pairs"), avg("half", "l.x", 2)]
+    rows = [join_aggregate(left, right, [("name", "name")], ["l.kind", "r.tier"], ms, strategy=s).collect()
+            for s in ("direct", "blocked")]
+    assert rows[0] == rows[1] and rows[0][0]["mean"] == 4e18 and rows[0][0]["pairs"] == 1200
+
+
+def test_pair_counts_pass_13_digits(spark):
+    big = spark.range(1).select(F.lit(16 * 10**12).cast("bigint").alias("n"), F.lit("8000000000000.00").cast("decimal(38,8)").alias("t"))
+    from tessera.operators.aggregate import exact_ratio
+
+    assert big.select(exact_ratio(F.col("t"), F.col("n"), 2)).first()[0] == 0.5
+    one = spark.range(1).select(F.lit("k").alias("name"))
+    assert pair_stats(one, one, [("name", "name")]) == (1, 1, 1)
