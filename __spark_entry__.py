@@ -19,12 +19,17 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tessera import oracle  # noqa: E402
+from tessera.functions import buckets  # noqa: E402
 from tessera.operators import quality  # noqa: E402
 from tessera.operators.share import with_share  # noqa: E402
 from tessera.plans import gold, pipeline  # noqa: E402
 from tessera.plans.bronze import bronze  # noqa: E402
+from tessera.session import fresh_path  # noqa: E402
+from tessera.sources import files, schemas  # noqa: E402
+from tessera.sources.tables import read_table  # noqa: E402
 from tessera.streaming import kyc_stream, purchase_stream  # noqa: E402
 
 # The training-data operators are an optional part: without them the queries
@@ -94,6 +99,45 @@ def _quarantine_q(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _text_ingest(fmt: str) -> Callable[[SparkSession, str], DataFrame]:
+    """SRC1 / SNK1 / PRJ7: KYC bronze written as text with some malformed ages
+    under the shared folder, read back and typed."""
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        rows = bronze(spark, d, "kyc", faults=False).select(*schemas.KYC.fieldNames())
+        text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+        text = text.withColumn("age", F.when(F.expr("try_cast(age AS int) % 7 = 0"), F.lit("n/a")).otherwise(F.col("age")))
+        path = fresh_path(spark, f"kyc-{fmt}")
+        writer = text.write.option("header", "true") if fmt == "csv" else text.write
+        writer.format(fmt).save(path)
+        return files.read_bronze(spark, path, "kyc", fmt)
+    return run
+
+
+def _bucketed_nations(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ6 / PRJ5: substring region and first-letter bucket of every customer."""
+    c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    n = read_table(spark, d, "nation", ["n_nationkey", "n_name"])
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+        "c_custkey",
+        buckets.regex_bucket(F.lower("n_name"), *buckets.REGION).alias("region"),
+        buckets.regex_bucket(F.lower("c_mktsegment"), *buckets.TRANSACTION_TYPE).alias("transaction_type"),
+    )
+
+
+# Written out by hand, not from the library's tables.
+BUCKETED_NATIONS_SQL = """
+SELECT c_custkey,
+       CASE WHEN lower(n_name) LIKE '%united%' THEN 'North America'
+            WHEN lower(n_name) LIKE '%germany%' THEN 'Europe'
+            WHEN lower(n_name) LIKE '%japan%' THEN 'Asia' ELSE 'Other' END AS region,
+       CASE WHEN lower(c_mktsegment[1]) IN ('a', 'e', 'i', 'o', 'u') THEN 'BUY'
+            WHEN lower(c_mktsegment[1]) IN ('b', 'c', 'd', 'f', 'g') THEN 'SELL'
+            WHEN lower(c_mktsegment[1]) IN ('h', 'j', 'k', 'l', 'm') THEN 'DIVIDEND' ELSE 'REINVEST' END
+         AS transaction_type
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for t in TABLES:
@@ -125,6 +169,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for feed, run, names in STREAM_GOLD:
         for name in names:
             q[f"stream_gold_{name}"] = lambda spark, d, run=run, name=name: run(spark, d, name)
+    q["text_ingest_csv"] = _text_ingest("csv")
+    q["text_ingest_json"] = _text_ingest("json")
+    q["bucketed_nations"] = _bucketed_nations
     q["stream_hourly_kyc"] = lambda spark, d: kyc_stream.run_hourly(spark, d)
     if _llm is not None:
         q.update(_llm.QUERIES)
@@ -156,6 +203,12 @@ def oracle_sql() -> dict[str, str]:
     for _, _, names in STREAM_GOLD:
         for name in names:
             s[f"stream_gold_{name}"] = oracle.gold_sql(name)
+    for fmt in ("csv", "json"):
+        s[f"text_ingest_{fmt}"] = (
+            "SELECT * REPLACE (CASE WHEN age % 7 = 0 THEN NULL ELSE age END AS age) "
+            f"FROM ({oracle.bronze_sql('kyc', faults=False)}) b"
+        )
+    s["bucketed_nations"] = BUCKETED_NATIONS_SQL
     s["stream_hourly_kyc"] = oracle.hourly_sql()
     if _llm is not None:
         s.update(_llm.SQL)
