@@ -21,6 +21,9 @@ enough tokens with, and verified links make up the groups. Groups are dealt by
 size of set in parts of about ``GROUP`` classes, which keeps unions and bounds
 tight and parts bounded.
 
+How many tokens two prefixes share bounds the overlap of the sets as well; pairs
+below it are dropped before any text is read.
+
 Near copies of one text share its frequent tokens. Where two prefixes meet in a
 listed token, both hold all their tokens that are not listed, so those met by no
 other class bound the overlap before any text is read.
@@ -261,23 +264,23 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
         prefix = stage(_prefixes(docs, size, percent, common), "jaccard-prefix")
         # a token of one class only links nothing
         tokens = stage(
-            prefix.groupBy("token").agg(
-                F.count("*").alias("df"), F.min("cls").alias("low"), F.max("cls").alias("high")
-            ).filter("low <> high"), "jaccard-tokens",
+            prefix.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
+            .filter("low <> high"), "jaccard-tokens",
+        )
+        shared = stage(
+            prefix.join(tokens, "token").select(
+                "token", "cls", F.shiftright("meta", 32).alias("n"),
+                F.shiftright("meta", 1).bitwiseAND(F.lit(2**31 - 1)).alias("cold"),
+                (F.col("meta").bitwiseAND(F.lit(1)) == 1).alias("hot"), "low",
+            ).distinct(), "jaccard-shared",
         )
         listed = {t for t, _ in common}
-        crowd = tokens.filter(F.col("df") > CROWD).orderBy(F.col("df").desc(), "token").limit(COMMON).collect()
+        crowd = shared.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > CROWD)
+        crowd = crowd.orderBy(F.col("df").desc(), "token").limit(COMMON).collect()
         crowd = [(r["token"], r["df"]) for r in crowd if r["token"] not in listed]
         if not crowd:
             break
         common += crowd
-    shared = stage(
-        prefix.join(tokens, "token").select(
-            "token", "cls", F.shiftright("meta", 32).alias("n"),
-            F.shiftright("meta", 1).bitwiseAND(F.lit(2**31 - 1)).alias("cold"),
-            (F.col("meta").bitwiseAND(F.lit(1)) == 1).alias("hot"), "low", "high",
-        ).distinct(), "jaccard-shared",
-    )
     # a class whose prefix reaches listed tokens has all its other tokens in
     # it: ``most`` is the most that such classes can share with this one
     own = stage(
@@ -289,21 +292,30 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
         both = F.least(most, most2)
         return both * 100 >= (n + F.greatest(n2, both) - both) * percent
 
+    # A token of the prefix that ends first is in the other set only if it is in
+    # its prefix. So two sets share at most the tokens beyond that prefix and
+    # the common ones of both prefixes.
+    def enough(common_, n, n2_low, n2_high):
+        beyond = F.greatest(F.ceil(n * percent / 100), F.ceil(n2_high * percent / 100)) - 1
+        return (common_ + beyond) * (100 + percent) >= (n + n2_low) * percent
+
     # groups: classes next to a leader they share enough of their prefix with;
     # a token is led by the class with the fewest tokens of its own, and by any
-    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     lead = shared.select("token", "cls", "low").join(own, "cls").groupBy("token", "low").agg(
         F.min(F.struct(F.col("n") - F.col("most"), "cls")).getField("cls").alias("_lead"))
     led = shared.select("token", "cls").join(lead, "token").select(
         "cls", F.explode(F.array_distinct(F.array("_lead", "low"))).alias("b")).filter("cls <> b")
-    led = led.groupBy("cls", "b").agg(F.count("*").alias("c")).join(own, "cls").filter(F.col("c") * 3 >= need)
+    # a class counts the tokens a leader leads it in, not all they share
+    led = led.groupBy("cls", "b").agg(F.count("*").alias("c")).join(own, "cls")
     other = own.toDF("b", "_n", "_most")
+    size_a, size_b = F.col("n"), F.col("_n")
     led = stage(
-        led.join(other, "b").filter(reach(F.col("n"), F.col("most"), F.col("_n"), F.col("_most")))
+        led.join(other, "b").filter(
+            reach(size_a, F.col("most"), size_b, F.col("_most")) & enough(2 * F.col("c"), size_a, size_b, size_b))
         .select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct(), "jaccard-led",
     )
-    texts = _texts(docs, classes, shared.select("cls").distinct())
-    links = stage(_verify(led, texts, size, percent), "jaccard-links")
+    ends = led.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    links = stage(_verify(led, _texts(docs, classes, ends), size, percent), "jaccard-links")
     inside = components(links).withColumnsRenamed({"v": "cls", "label": "_label"})
 
     # the matrix: which groups hold a prefix token, and their range of sizes
@@ -330,10 +342,14 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
             (F.col("_comp") < F.col("comp")) & (F.col("_n") * 100 >= F.col("lo") * percent)
             & (F.col("_n") * percent <= F.col("hi") * 100)
             & (~F.col("hot") | reach(F.col("_n"), F.col("most"), F.col("lo"), F.col("g_most")))
-        ).select("a", "g").distinct(), "jaccard-found",
+        ).groupBy("a", "g", "_n").agg(
+            F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+        ).filter(enough(F.col("c"), F.col("_n"), F.col("lo"), F.col("hi"))).select("a", "g"), "jaccard-found",
     )
     members = placed.select("g", "cls").distinct().join(found.select("g").distinct(), "g", "left_semi")
-    more = _open(found, members, texts, size, percent)
+    members = stage(members, "jaccard-members")
+    ends = found.select(F.col("a").alias("cls")).union(members.select("cls")).distinct()
+    more = _open(found, members, _texts(docs, classes, ends), size, percent)
     every = stage(components(links.union(more)), "jaccard-components")
 
     names = classes.join(every.withColumnsRenamed({"v": "cls"}), "cls", "left").withColumn(
