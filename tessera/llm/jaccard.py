@@ -56,6 +56,8 @@ COMMON = 200_000    # tokens on the list of frequent ones at most
 OFTEN = 16          # their least count
 CROWD = 500         # a prefix token of so many classes joins the list
 GROUP = 32
+HELD = 3_000_000     # tokens that a task counts at a time
+CACHE = 150_000      # hashed words that a task remembers
 BROADCAST = 1_000_000  # ids that are broadcast at most
 
 
@@ -78,7 +80,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
     ids = pa.int64()
 
     def run(batches):
-        words, held, rows = WordHash(), [], 0
+        words, held, rows = WordHash(CACHE), [], 0
 
         def tokens(kind):
             t, n = np.unique(np.concatenate(held), return_counts=True)
@@ -90,8 +92,8 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
         kind = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part = batch.slice(at, 1_000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 kind = part.column("doc_id").type
                 sets = [shingles(words.of(words_of(t)), size) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
@@ -100,7 +102,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                     names=["doc_id", "cls", "n", "token"])
                 held += sets
                 rows += sum(map(len, sets))
-                if rows > 3_000_000:
+                if rows > HELD:
                     yield tokens(kind)
                     held, rows = [], 0
         if rows:
@@ -138,7 +140,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, common: list[tuple[int,
     sent = docs.sparkSession.sparkContext.broadcast((tokens[by_token], by_token))
 
     def run(batches):
-        words, (known, rank) = WordHash(), sent.value
+        words, (known, rank) = WordHash(CACHE), sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 sets = [shingles(words.of(words_of(t)), size)
@@ -174,7 +176,7 @@ class _Sets:
     """Shingles of texts, the last ones kept."""
 
     def __init__(self, size: int):
-        self.size, self.words, self.kept = size, WordHash(), {}
+        self.size, self.words, self.kept = size, WordHash(CACHE), {}
 
     def of(self, cls: int, text: str) -> np.ndarray | None:
         if cls not in self.kept:
