@@ -7,7 +7,9 @@ and these are compiled into one Spark column expression, so scoring all
 documents is a projection without shuffle.
 
 The sample is the ``max_rows`` labelled rows with the smallest md5 of their id
-(held-out rows excluded); only its statistics reach the driver.
+(held-out rows excluded). An id that repeats gives one row, chosen by a hash of
+its label and statistics, so neither label is preferred; only the statistics of
+at most ``max_rows`` rows reach the driver.
 
 Defined cases: null or empty text has statistics 0 and is scored like any
 other; rows without label or without text row are not learnt from; without any
@@ -18,6 +20,7 @@ there is none). Repeated ids are scored row by row.
 from __future__ import annotations
 
 import string
+from collections import Counter
 from operator import eq
 
 import numpy as np
@@ -50,15 +53,13 @@ def statistics(text: str | None) -> list[float]:
     share = lambda chars: (size - len(raw.translate(None, chars))) / size
     lengths = np.fromiter(map(len, words), np.int64, n)
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    kinds = set(words)
-    # the most frequent word is looked for among words that come up at fixed strides
-    probe = set(words[:: max(1, n // 16)])
+    kinds = Counter(words)
     return [
         float(np.log1p(n)), float(lengths.mean()), float((lengths > 20).mean()),
         float((lengths <= 3).mean()), share(_UPPER), share(_DIGITS), share(_SYMBOLS),
         share(b"|"), share(b"!"), raw.count(b".") / n, len(kinds) / n,
         sum(map(eq, words, words[1:])) / n, float(np.log1p(len(lines))),
-        1 - len(set(lines)) / len(lines), max(map(words.count, probe)) / n,
+        1 - len(set(lines)) / len(lines), max(kinds.values()) / n,
         (size - len(text)) / size,
     ]
 
@@ -195,10 +196,12 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Ensem
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (crc_mod("doc_id", 5) != 0)
     ).select("doc_id", "quality", F.md5(F.col("doc_id").cast("string").cast("binary")).alias("_k"))
     chosen = stage(chosen.orderBy("_k", "doc_id", "quality").limit(max_rows).drop("_k"), "quality-sample")
-    # at most max_rows small rows
     rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    got = sorted(rows.select("quality", *STATISTICS).collect())
-    a = np.array(got, float).reshape(-1, 1 + len(STATISTICS))[: 4 * max_rows]
+    # one row of each sampled id: at most max_rows small rows
+    own = F.struct(F.xxhash64("doc_id", "quality", *STATISTICS), "quality", *STATISTICS)
+    one = rows.groupBy("doc_id").agg(F.min(own).alias("_row")).select("_row.quality", *(f"_row.{c}" for c in STATISTICS))
+    got = sorted(one.collect())
+    a = np.array(got, float).reshape(-1, 1 + len(STATISTICS))
     return fit(a[:, 1:], a[:, 0])
 
 

@@ -103,6 +103,26 @@ def test_rules_compile_to_what_they_cover(spark):
     assert np.allclose(sorted(got), sorted(want)) and ((np.array(want) > 0.5) == y).mean() > 0.97
 
 
+def test_top_word_is_counted_over_the_whole_text():
+    words = [f"w{i}" if i % 2 == 0 else "again" for i in range(32 * 8)]  # no stride of 16 meets "again"
+    at = rules.STATISTICS.index("top_word")
+    assert rules.statistics(" ".join(words))[at] == 0.5
+    rnd = random.Random(4)
+    for n in (1, 7, 40, 3000):
+        some = rnd.choices([f"v{i}" for i in range(n)], k=n)
+        assert rules.statistics(" ".join(some))[at] == max(collections.Counter(some).values()) / n
+
+
+def test_quality_fit_takes_one_row_of_each_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rules, "fit", lambda x, y: seen.append(sorted(y)))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:20]
+    docs = spark.createDataFrame([(i, f"text {c} of {i}") for i in ids for c in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    rules.learn(docs, labels, max_rows=20)
+    assert seen == [[0.0] * 10 + [1.0] * 10]
+
+
 # --- 2 Jaccard ---------------------------------------------------------------
 
 def brute_components(rows, size, percent):
