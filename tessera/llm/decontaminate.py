@@ -4,10 +4,11 @@ A mask reads some positions of a token window and ignores the others, so a
 passage with substituted words still agrees under some mask at some place. The
 masks' hashes of the benchmark items are joined with those of every document;
 each hit names an item and a diagonal (document position minus item position),
-and the texts are compared along that diagonal: the best-scoring stretch through
-a hit must hold equal tokens at a high enough share, and the item's tokens
-covered by such stretches must be enough (words inserted into a passage move its
-rest to another diagonal).
+and the texts are compared along that diagonal: every stretch of it with
+``PIECE`` equal tokens or more, at a share of ``IDENTITY`` or more, counts, and
+the item's tokens covered by such stretches, over all diagonals, must be enough
+(words inserted into a passage move its rest to another diagonal). The masks
+are such that each of these stretches holds a hit, so none is missed.
 
 Tokens are words in lower case (of all scripts) without ASCII punctuation at their ends; words of
 punctuation alone are skipped. An item shorter than a mask is hashed whole.
@@ -30,15 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import apart, mix, share, stage, table
+from tessera.llm.common import apart, share, stage, table
 
-MASKS = ("11101101", "110100111", "1011100011")
+# every pattern of PIECE equal tokens or more of which IDENTITY agree has one of these
+MASKS = ("11111", "101111", "110111", "111011", "111101", "1100111", "11010011", "11100011")
 PIECE = 5         # least equal tokens of a stretch
 LEAST = 10        # covered tokens of an item, or
 PART = 0.5        # this part of the item if that is more; all of a shorter item
+LONG = 32         # equal tokens of one stretch that are enough in an item of any length
 IDENTITY = 0.75   # equal tokens of all in the stretch
 BLOCK = 2_000_000
 _EDGE = string.punctuation.encode()
+# odd; a hash is the sum of a window's places times these, and hits are compared anyway
+_FACTORS = np.random.default_rng(7).integers(0, 2**64, 256, np.uint64) | np.uint64(1)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -69,23 +74,37 @@ def _seeds(ids: np.ndarray, offsets: list[int]) -> tuple[np.ndarray, np.ndarray]
     n = len(ids) - offsets[-1]
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    known = ids >= 0
-    ok = np.ones(n, bool)
-    for o in offsets:
+    ok = ids >= 0
+    known, ok = ok, ok[:n].copy()
+    for o in offsets[1:]:
         ok &= known[o : o + n]
     at = np.flatnonzero(ok)
     h = np.full(len(at), np.uint64(len(offsets)))
-    for o in offsets:
-        h = mix(h ^ ids[at + o].astype(np.uint64)) + np.uint64(o + 1)
+    if len(at):
+        own = ids.view(np.uint64)
+        for o, factor in zip(offsets, _FACTORS):
+            h += own[at + o] * factor
     return at, h
 
 
-def _best(equal: np.ndarray, cost: float) -> tuple[int, int]:
-    """Stretch [a, b) with the largest sum of 1 per equal and -cost per other."""
-    s = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -cost))])
-    low = np.minimum.accumulate(s)
-    b = int((s - low).argmax())
-    return int(s[: b + 1].argmin()), b
+def _stretches(equal: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """For each start, the longest stretch [a, b) of which ``IDENTITY`` agree,
+    if it has ``least`` equal tokens; stretches inside others are left out."""
+    starts = np.flatnonzero(equal)
+    if len(starts) < least:
+        return []
+    if len(starts) == len(equal):
+        return [(0, len(equal))]
+    s = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -IDENTITY / (1 - IDENTITY)))])
+    # the largest sum at this end or a later one falls from end to end
+    later = np.maximum.accumulate(s[starts + 1][::-1])
+    last = len(starts) - 1 - np.searchsorted(later, s[starts] - 1e-9)
+    out, end = [], -1
+    for i in np.flatnonzero(last - np.arange(len(starts)) + 1 >= least).tolist():
+        if last[i] > end:
+            end = int(last[i])
+            out.append((int(starts[i]), int(starts[end]) + 1))
+    return out
 
 
 class Benchmark:
@@ -133,16 +152,15 @@ class Benchmark:
             item = self.texts[k]
             a, z = max(0, -d), min(len(item), len(ids) - d)
             equal = ids[a + d : z + d] == item[a:z]
-            x, y = _best(equal, IDENTITY / (1 - IDENTITY) / 2)
-            same = np.flatnonzero(equal[x:y]) + a + x
-            if len(same) >= min(len(item), PIECE) and len(same) >= IDENTITY * (y - x):
+            for x, y in _stretches(equal, min(len(item), PIECE)):
+                same = np.flatnonzero(equal[x:y]) + a + x
                 pieces.setdefault(k, []).append((len(same), a + d + x, a + d + y, same))
         out = []
         for k, own in pieces.items():
             n = len(self.texts[k])
             covered = len(np.unique(np.concatenate([p[3] for p in own])))
-            if covered >= min(n, max(LEAST, -(-n * PART // 1))):
-                _, start, end, _ = max(own, key=lambda p: (p[0], -p[1]))
+            most, start, end, _ = max(own, key=lambda p: (p[0], -p[1]))
+            if covered >= min(n, max(LEAST, -(-n * PART // 1))) or most >= LONG:
                 out.append((k, start, end, covered))
         return out
 

@@ -383,6 +383,44 @@ def test_leaks(spark, odd):
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
 
+def test_leaks_in_several_stretches_of_a_diagonal():
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choices("klmnop", k=8)).encode()
+    item, large = [word() for _ in range(59)], [word() for _ in range(200)]
+    bench = decontaminate.Benchmark([(1, item), (2, large)])
+
+    def found(words):
+        ids = np.array([bench.vocabulary.get(w, -1) for w in words])
+        return {bench.item_ids[k]: n for k, _, _, n in bench.find(ids)}
+
+    other = lambda words, keep: [w if keep(j) else word() for j, w in enumerate(words)]
+    assert found(other(item, lambda j: j < 21 or j >= 38)) == {1: 42}
+    assert found(other(item, lambda j: j < 10 or j % 3)) == {1: 42}   # all but the last, which ends no stretch
+    assert found(other(item, lambda j: j % 4 < 3)) == {1: 45}   # no three masks of weight six find this
+    assert found(other(item, lambda j: j % 2)) == {}
+    assert found(large[50:82]) == {2: 32} and found(large[50:81]) == {}
+
+
+def test_stretches_and_masks_against_all_windows():
+    rnd = np.random.default_rng(8)
+    for n in (1, 5, 6, 8, 12, 30):
+        for _ in range(150):
+            equal = rnd.random(n) < rnd.choice([0.5, 0.7, 0.85])
+            want = np.zeros(n, bool)
+            for a in range(n):
+                for b in range(a + 1, n + 1):
+                    same = int(equal[a:b].sum())
+                    if same >= 5 and same >= 0.75 * (b - a):
+                        want[a:b] |= equal[a:b]
+            got = np.zeros(n, bool)
+            for a, b in decontaminate._stretches(equal, 5):
+                assert equal[a:b].mean() >= 0.75
+                got[a:b] |= equal[a:b]
+                runs = "".join("1" if e else "0" for e in equal[a:b])
+                assert any(re.search("(?=" + m.replace("0", ".") + ")", runs) for m in decontaminate.MASKS)
+            assert (got == want).all()
+
+
 # --- 8 toxicity ----------------------------------------------------------------
 
 def test_block_max_search_is_exact():
