@@ -20,8 +20,8 @@ shuffle; a host's templates number at most its subtrees per page / ``PART``.
 They are broadcast while few (checked), else joined by host.
 
 Defined cases: null, empty or markup-only html gives ''; pages without a host
-have no template; unclosed, crossed and unknown tags are tolerated; nesting
-beyond ``DEEPEST`` is flattened; repeated pages are each returned.
+have no template; unclosed, crossed and unknown tags are tolerated; elements
+may be nested to any depth; repeated pages are each returned.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ from tessera.llm.common import stage, table
 LEAST_PAGES = 5      # pages (of different bodies) a template recurs on,
 PART = 0.05          # and their part of the host's pages
 BROADCAST = 500_000  # hashes of templates that are broadcast at most
-DEEPEST = 200
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|[\"'])*?)>|<[!?][^>]*+>",
@@ -90,18 +89,24 @@ def parse(page: str | None) -> Node:
     """Tree of a page; text is decoded, comments are gone."""
     root = Node("#root")
     stack, page, at = [root], page or "", 0
+    places: dict[str, list[int]] = {}   # of the open elements, by tag
+    scopes = [0]                        # places of those that bound what a tag ends
 
     def pop() -> None:
-        stack.pop().close()
+        node = stack.pop()
+        node.close()
+        places[node.tag].pop()
+        if node.tag in _SCOPE:
+            scopes.pop()
+
+    def close(place: int) -> None:
+        while len(stack) > place:
+            pop()
 
     def end(names: tuple[str, ...]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i].tag in _SCOPE:
-                return
+        last = max((places[n][-1] for n in names if places.get(n)), default=0)
+        if last > scopes[-1]:
+            close(last)
 
     while True:
         m = _TAG.search(page, at)
@@ -115,11 +120,8 @@ def parse(page: str | None) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    while len(stack) > i:
-                        pop()
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         if tag in _BLOCK:
             end(("p",))
@@ -128,17 +130,19 @@ def parse(page: str | None) -> Node:
         node = Node(tag, m[3])
         stack[-1].kids.append(node)
         if tag in _RAW and not m[3].endswith("/"):
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            tail = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             if tag in ("title", "textarea"):
-                node.kids.append(entities.unescape(page[at : close.start() if close else len(page)]))
-            at = close.end() if close else len(page)
+                node.kids.append(entities.unescape(page[at : tail.start() if tail else len(page)]))
+            at = tail.end() if tail else len(page)
             node.close()
-        elif tag in _VOID or m[3].endswith("/") or len(stack) > DEEPEST:
+        elif tag in _VOID or m[3].endswith("/"):
             node.close()
         else:
+            places.setdefault(tag, []).append(len(stack))
+            if tag in _SCOPE:
+                scopes.append(len(stack))
             stack.append(node)
-    while len(stack) > 1:
-        pop()
+    close(1)
     root.close()
     return root
 
@@ -162,20 +166,22 @@ def _marked(node: Node, inside: bool) -> bool:
     return False
 
 
-def _roots(node: Node, tags: tuple[str, ...], out: list[Node]) -> list[Node]:
+def _roots(node: Node, tags: tuple[str, ...]) -> list[Node]:
     """Outermost elements of these tags, outside what is marked."""
-    for k in node.kids:
+    out, waiting = [], node.kids[::-1]
+    while waiting:
+        k = waiting.pop()
         if isinstance(k, Node) and not _marked(k, False):
             if k.tag in tags or "main" in tags and re.search(r"role\s*=\s*[\"']?main", k.attrs):
                 out.append(k)
             else:
-                _roots(k, tags, out)
+                waiting += k.kids[::-1]
     return out
 
 
 def _main(root: Node) -> tuple[list[Node], bool]:
     for tags in (("article",), ("main",)):
-        found = _roots(root, tags, [])
+        found = _roots(root, tags)
         if found:
             return found, True
     return [root], False
@@ -186,15 +192,15 @@ def subtrees(root: Node) -> set[int]:
     inside = {id(n) for n in _main(root)[0] if n is not root}
     out: set[int] = set()
 
-    def walk(node: Node, within: bool) -> None:
+    waiting = [(root, False)]
+    while waiting:
+        node, within = waiting.pop()
         for k in node.kids:
             if isinstance(k, Node):
                 if k.tag in _BLOCK and k.tag not in ("html", "body", "article", "main") and not (
                         within and k.tag in _PROSE):
                     out.add(k.digest)
-                walk(k, within or id(k) in inside)
-
-    walk(root, False)
+                waiting.append((k, within or id(k) in inside))
     return out
 
 
@@ -210,18 +216,23 @@ def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
             blocks.append(text)
 
     def walk(node: Node) -> None:
-        for k in node.kids:
-            if not isinstance(k, Node):
-                now.append(k)
-            elif k.tag in ("br", "wbr"):
-                now.append(" " if k.tag == "br" else "")
-            elif not _marked(k, known) and not (k.digest in templates and not (known and k.tag in _PROSE)):
-                if k.tag in _BLOCK:
-                    cut()
-                    walk(k)
+        under = [(iter(node.kids), False)]   # what is left of the open elements, and whether they are blocks
+        while under:
+            kids, block = under[-1]
+            for k in kids:
+                if not isinstance(k, Node):
+                    now.append(k)
+                elif k.tag in ("br", "wbr"):
+                    now.append(" " if k.tag == "br" else "")
+                elif not _marked(k, known) and not (k.digest in templates and not (known and k.tag in _PROSE)):
+                    if k.tag in _BLOCK:
+                        cut()
+                    under.append((iter(k.kids), k.tag in _BLOCK))
+                    break
+            else:
+                under.pop()
+                if block:
                     cut()
-                else:
-                    walk(k)
 
     for r in roots:
         cut()

@@ -206,6 +206,16 @@ def test_main_text_of_single_pages():
     assert text("<main><header><h1>T</h1></header><p>x</main><p>out") == "T\n\nx"
 
 
+def test_main_text_of_deeply_nested_pages():
+    text = lambda h: templates.main_text(templates.parse(h))
+    for n in (300, 30_000):
+        deep = "<div>" * n + "text" + "</div>" * n
+        assert text(f"<div><article>{deep}<p>rest</p></article></div>after") == "text\n\nrest"
+        assert text("<article>" + "<font>" * n + "<p>a</p><p>b</p></i></article>after") == "a\n\nb"
+        root = templates.parse(f"<nav>n</nav><main><ul>{'<li><ol>' * n}<li>x<li>y{'</ol>' * n}</ul><section>z</section></main>")
+        assert templates.main_text(root) == "x\n\ny\n\nz" and len(templates.subtrees(root)) == n + 3
+
+
 def test_templates_recur_on_a_host(spark):
     box = "<div>Read our <b>other</b> pages</div>"
     rows = [(i, f"https://a.example/{i}", f"<article><h1>T{i}</h1><p>same prose</p>{box}<p>text {i}</article>") for i in range(9)]
