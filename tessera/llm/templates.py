@@ -3,7 +3,8 @@
 Every page is parsed into an element tree where it is read. Each block element
 has a hash of its subtree (tags and text). Spark counts on how many pages of a
 host each hash occurs, pages with equal bodies once; a subtree that recurs on
-many pages of its host is the site's template and is deleted there. Elements
+many pages of its host is the site's template and is deleted there: ``ENOUGH``
+pages are many on every host, on smaller hosts ``PART`` of its pages. Elements
 that are no article by their own marks (navigation, footers, forms, adverts,
 notices, comments, scripts) are deleted on every page, so that hosts with few
 pages are served too. What is left of the articles (else of the main element,
@@ -16,8 +17,9 @@ Blocks are the stretches of text between block-level tags: character references
 decoded, white space turned into single spaces, joined by two line feeds.
 
 Counting moves one (host, hash) row per task and page kind, summed before the
-shuffle; a host's templates number at most its subtrees per page / ``PART``.
-They are broadcast while few (checked), else joined by host.
+shuffle. Templates are (host, hash) rows; while few (checked) they are broadcast,
+else joined with the pages' own subtrees by host and hash, so that a page meets
+only those it has and a large host is no single key.
 
 Defined cases: null, empty or markup-only html gives ''; pages without a host
 have no template; unclosed, crossed and unknown tags are tolerated; elements
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import stage, table
 
 LEAST_PAGES = 5      # pages (of different bodies) a template recurs on,
-PART = 0.05          # and their part of the host's pages
+PART = 0.05          # and their part of the host's pages,
+ENOUGH = 50          # or so many pages on a host of any size
 BROADCAST = 500_000  # hashes of templates that are broadcast at most
 
 _TAG = re.compile(
@@ -249,59 +252,76 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_host", F.lower(host))
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, part: float = PART) -> DataFrame:
-    """_site, templates: hashes of the subtrees that recur on a host."""
+def _subtrees_of(given: DataFrame, key: str) -> DataFrame:
+    """_site, hash, body: hashes of the subtrees of every page, and -1 for the
+    page itself; ``body`` is column ``key``, or the hash of the whole tree."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part_ = batch.slice(at, 500)
                 hosts, bodies, hashes = [], [], []
-                for host, page in zip(part_.column("_host").to_pylist(), part_.column("html").to_pylist()):
+                for host, page, body in zip(*(part_.column(c).to_pylist() for c in ("_host", "html", "_body"))):
                     root = parse(page)
-                    own = [-1, *subtrees(root)]  # -1 stands for the page itself
+                    own = [-1, *subtrees(root)]
                     hosts += [host] * len(own)
-                    bodies += [root.digest] * len(own)
+                    bodies += [root.digest if body is None else body] * len(own)
                     hashes += own
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.int64())],
                     names=["_site", "hash", "body"])
 
-    given = _with_host(pages.select("url", "html")).filter(F.col("_host") != "").select("_host", "html")
-    seen = given.mapInArrow(run, "_site string, hash long, body long").distinct()
+    body = F.col(key) if key else F.lit(None).cast("long")
+    given = given.filter(F.col("_host") != "").select("_host", "html", body.alias("_body"))
+    return given.mapInArrow(run, "_site string, hash long, body long").distinct()
+
+
+def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, part: float = PART,
+              enough: int = ENOUGH) -> DataFrame:
+    """_site, hash of the subtrees that recur on a host."""
+    seen = _subtrees_of(_with_host(pages.select("url", "html")), "")
     counts = stage(seen.groupBy("_site", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages),
                    "template-counts")
     sites = counts.filter("hash = -1").select("_site", F.col("n").alias("_pages"))
-    return counts.filter("hash <> -1").join(sites, "_site").filter(F.col("n") >= part * F.col("_pages")).groupBy(
-        "_site"
-    ).agg(F.collect_list("hash").alias("templates"))
+    many = F.least(part * F.col("_pages"), F.lit(float(enough)))
+    return counts.filter("hash <> -1").join(sites, "_site").filter(F.col("n") >= many).select("_site", "hash")
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, part: float = PART) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, part: float = PART,
+            enough: int = ENOUGH) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    found = stage(templates(pages, least_pages, part), "templates")
-    size = found.agg(F.sum(F.size("templates"))).first()[0] or 0
-    if size <= BROADCAST:
-        found = F.broadcast(found)
-    joined = _with_host(pages.select("page_id", "url", "html")).join(
-        found, F.col("_host") == F.col("_site"), "left"
-    ).select("page_id", "url", "html", "templates")
+    found = stage(templates(pages, least_pages, part, enough), "templates")
+    given = _with_host(pages.select("page_id", "url", "html"))
+    sent = None
+    if found.count() <= BROADCAST:
+        known: dict[str, list[int]] = {}
+        for site, digest in found.collect():
+            known.setdefault(site, []).append(digest)
+        sent = pages.sparkSession.sparkContext.broadcast({k: frozenset(v) for k, v in known.items()})
+        given = given.withColumn("templates", F.lit(None).cast("array<long>"))
+    else:
+        # the templates that each page has, by host and content
+        given = given.withColumn("_key", F.xxhash64("_host", "html"))
+        own = _subtrees_of(given, "_key").join(found, ["_site", "hash"]).groupBy("body").agg(
+            F.collect_list("hash").alias("templates"))
+        given = given.join(stage(own, "page-templates"), F.col("_key") == F.col("body"), "left")
+    given = given.select("page_id", "url", "html", "_host", "templates")
 
     def run(batches):
+        none = frozenset()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part_ = batch.slice(at, 500)
-                texts = [
-                    main_text(parse(page), frozenset(known or ()))
-                    for page, known in zip(part_.column("html").to_pylist(), part_.column("templates").to_pylist())
-                ]
+                texts = []
+                for page, host, own in zip(*(part_.column(c).to_pylist() for c in ("html", "_host", "templates"))):
+                    texts.append(main_text(parse(page), frozenset(own or ()) if sent is None else sent.value.get(host, none)))
                 yield pa.RecordBatch.from_arrays(
                     [part_.column("page_id"), part_.column("url"), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())],
                     names=["page_id", "url", "text", "n_chars"])
 
     schema = pages.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
-    return joined.mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

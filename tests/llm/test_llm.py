@@ -364,6 +364,26 @@ def test_mix_repeats_rows(spark, odd):
     assert {d: k for d, k in taken.items() if k} == dict(n)
 
 
+@pytest.mark.parametrize("broadcast", [templates.BROADCAST, 0])
+def test_templates_do_not_depend_on_the_size_of_a_host(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(templates, "BROADCAST", broadcast)
+    box = "<div>Read our <b>other</b> pages</div>"
+    some = "<div>A few pages have this</div>"
+    rows = [(i, "https://large.example/", f"<article><p>text {i}</p>{box * (i < 60)}{some * (60 <= i < 90)}</article>")
+            for i in range(1500)]
+    rows += [(2000 + i, "https://small.example/", f"<article><p>text {i}</p>{some * (i < 6)}</article>") for i in range(40)]
+    rows += [(3000, "https://small.example/", f"<article>{box}</article>"), rows[0], (3001, None, rows[0][2]),
+             (3002, "https://large.example/", None)]
+    got = collections.Counter((r["page_id"], r["text"]) for r in templates.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect())
+    assert sum(got.values()) == len(rows) and got[(0, "text 0")] == 2
+    assert all(got[(i, f"text {i}")] for i in range(60))            # 4 % of a host's pages
+    assert got[(60, "text 60\n\nA few pages have this")] == 1       # 2 %, and 30 pages only
+    assert all(got[(2000 + i, f"text {i}")] == 1 for i in range(40))
+    assert got[(3000, "Read our other pages")] == 1 and got[(3001, "text 0\n\nRead our other pages")] == 1
+    assert got[(3002, "")] == 1
+
+
 # --- 7 decontamination ---------------------------------------------------------
 
 def test_leaks(spark, odd):
