@@ -33,7 +33,8 @@ classes that have candidates. Frequent keys never meet in a join: they are last
 in every order, and joins on a hot leader can be split by Spark. Everything is
 staged in the shared folder between steps.
 
-Tokens are 64-bit hashes of shingles, classes 64-bit hashes of their sets.
+Tokens are 64-bit hashes of shingles, classes 64-bit hashes of their sets. A
+class's text is fetched by id and hash of the text, as rows may share an id.
 Defined cases: null texts and texts without words have 0 shingles, class and
 component are their own id; texts shorter than a shingle are one shingle;
 repeated ids are scored row by row, a null id never is a component's name
@@ -71,12 +72,13 @@ def _class(s: np.ndarray) -> int:
 
 
 def _survey(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, cls, n) of documents, and (token, n) of tokens that occur
-    in more than one document of what a task holds at a time."""
-    given = docs.select("doc_id", "text")
+    """Rows (doc_id, cls, n, key) of documents, and (token, n) of tokens that
+    occur in more than one document of what a task holds at a time; key is a
+    hash of the text."""
+    given = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     none = F.lit(None)
     schema = given.select(F.coalesce("doc_id", none).alias("doc_id"),
-                          *[none.cast("long").alias(c) for c in ("cls", "n", "token")]).schema
+                          *[none.cast("long").alias(c) for c in ("cls", "n", "token", "key")]).schema
     ids = pa.int64()
 
     def run(batches):
@@ -87,8 +89,8 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
             t, n = t[n > 1].view(np.int64), n[n > 1]
             empty = pa.nulls(len(t))
             return pa.RecordBatch.from_arrays(
-                [empty.cast(kind), empty.cast(ids), pa.array(n, ids), pa.array(t, ids)],
-                names=["doc_id", "cls", "n", "token"])
+                [empty.cast(kind), empty.cast(ids), pa.array(n, ids), pa.array(t, ids), empty.cast(ids)],
+                names=["doc_id", "cls", "n", "token", "key"])
 
         kind = None
         for batch in batches:
@@ -98,8 +100,8 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 sets = [shingles(words.of(words_of(t)), size) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([_class(s) if len(s) else None for s in sets], ids),
-                     pa.array([len(s) for s in sets], ids), pa.nulls(len(sets)).cast(ids)],
-                    names=["doc_id", "cls", "n", "token"])
+                     pa.array([len(s) for s in sets], ids), pa.nulls(len(sets)).cast(ids), part.column("key")],
+                    names=["doc_id", "cls", "n", "token", "key"])
                 held += sets
                 rows += sum(map(len, sets))
                 if rows > HELD:
@@ -164,12 +166,17 @@ def _prefixes(docs: DataFrame, size: int, percent: int, common: list[tuple[int,
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, text) of the wanted classes, from their first documents."""
-    first = stage(classes.join(wanted, "cls").select(F.col("class_id").alias("_id"), "cls"), "jaccard-wanted")
-    if first.count() <= BROADCAST:
+    first = stage(classes.join(wanted, "cls").select(F.col("class_id").alias("_id"), F.col("key").alias("_key"), "cls"),
+                  "jaccard-wanted")
+    size = first.count()
+    if size <= BROADCAST:
         first = F.broadcast(first)
-    held = docs.select("doc_id", "text").join(first, F.col("doc_id").eqNullSafe(F.col("_id")))
-    # one text of each class; texts that only share the id are told apart later
-    return stage(held.select("cls", "text"), "jaccard-texts")
+    held = docs.select("doc_id", "text").join(
+        first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")))
+    held = stage(held.select("cls", "text"), "jaccard-texts")
+    # rows that repeat id and text
+    return held if held.count() <= size else stage(
+        held.groupBy("cls").agg(F.first("text").alias("text")), "jaccard-texts")
 
 
 class _Sets:
@@ -181,9 +188,11 @@ class _Sets:
     def of(self, cls: int, text: str) -> np.ndarray | None:
         if cls not in self.kept:
             s = shingles(self.words.of(words_of(text)), self.size)
+            if not len(s) or _class(s) != cls:
+                return None   # another text; the right one may follow
             if len(self.kept) >= 64:
                 self.kept.clear()
-            self.kept[cls] = s if len(s) and _class(s) == cls else None
+            self.kept[cls] = s
         return self.kept[cls]
 
 
@@ -251,10 +260,18 @@ def _open(found: DataFrame, groups: DataFrame, texts: DataFrame, size: int, perc
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id of every row of ``docs``."""
+    return _joined(docs, size, percent).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """What ``near_duplicates`` gives, and per row the hash of its text and the
+    label of its component, null for rows without words."""
     survey = stage(_survey(docs, size), "jaccard-survey")
-    rows = survey.filter("token IS NULL").select("doc_id", "cls", "n")
+    rows = survey.filter("token IS NULL").select("doc_id", "cls", "n", "key")
     classes = stage(
-        rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.max("n").alias("n")),
+        rows.filter("cls IS NOT NULL").groupBy("cls").agg(
+            F.min("doc_id").alias("class_id"), F.max("n").alias("n"),
+            F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("key")),
         "jaccard-classes",
     )
     counted = survey.filter("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).filter(
@@ -357,25 +374,43 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     names = classes.join(every.withColumnsRenamed({"v": "cls"}), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
     least = names.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    named = names.join(least, "label").select(F.col("cls").alias("_cls"), "class_id", "component_id")
+    named = names.join(least, "label").select(F.col("cls").alias("_cls"), "label", "class_id", "component_id")
     return rows.join(named, F.col("cls") == F.col("_cls"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("class_id", "doc_id").alias("class_id"), "key", "label",
     )
 
 
+def _sent(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    df = stage(df, label)
+    n = df.count()
+    return (F.broadcast(df) if n <= BROADCAST else df), n
+
+
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows
-    that share an id stay or go together."""
-    found = stage(near_duplicates(docs, size, percent), "jaccard-stage")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    gone = stage(gone, "jaccard-gone")
-    if gone.count() <= BROADCAST:
-        gone = F.broadcast(gone)
+    """One row of ``docs`` for each component, with its smallest id; where rows
+    share that id, with the smallest hash of text, then of row. Rows without
+    words all stay."""
+    found = stage(_joined(docs, size, percent).filter("label IS NOT NULL"), "jaccard-stage")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # components with several rows of that id
+    several, _ = _sent(found.filter(first).groupBy("label").agg(
+        F.min("key").alias("_least"), F.count("*").alias("_rows")).filter("_rows > 1"), "jaccard-several")
+    found = found.select("doc_id", "key", "label", first.alias("_first")).join(several, "label", "left")
+    ids = [F.col("doc_id").alias("_id"), F.col("key").alias("_k")]
+    other = ~F.col("_first") | (F.col("key") != F.col("_least"))
+    gone, _ = _sent(found.filter(other).select(*ids).distinct(), "jaccard-gone")
+    once, repeats = _sent(found.filter(F.col("_first") & (F.col("key") == F.col("_least"))).select(*ids).distinct(),
+                          "jaccard-once")
     inner, back = apart(docs, "doc_id", "text")
-    return back(inner.join(gone, F.col("doc_id") == F.col("_id"), "left_anti"))
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_k"))
+    kept = inner.join(gone, own, "left_anti")
+    if repeats:
+        order = F.xxhash64(*[c for c, kind in inner.dtypes if "map<" not in kind and "variant" not in kind])
+        some = kept.join(once, own).groupBy("_id", "_k").agg(F.min_by(F.struct(*inner.columns), order).alias("_row"))
+        kept = kept.join(once, own, "left_anti").union(some.select("_row.*"))
+    return back(kept)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -190,6 +190,28 @@ def test_jaccard_stage_keeps_one(spark, odd):
     assert jaccard.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_jaccard_of_rows_that_share_an_id(spark):
+    rnd = random.Random(6)
+    a, b = ([rnd.choice("abcdefgh") * rnd.randint(1, 9) + str(i) for i in range(60)] for _ in range(2))
+    near = lambda w, i: " ".join([*w[:30], f"x{i}", *w[31:]])
+    sets = jaccard._Sets(4)
+    x = jaccard.shingles(sets.words.of(jaccard.words_of(near(a, 0))), 4)
+    assert sets.of(jaccard._class(x), near(b, 0)) is None
+    assert (sets.of(jaccard._class(x), near(a, 0)) == x).all()
+    rows = [(1, near(a, 0)), (1, near(b, 0)), (2, near(a, 1)), (3, near(b, 1)), (1, "of its own"), (None, near(a, 2)),
+            (1, near(a, 0)), (None, "null id twice"), (None, "null id twice"), (7, "row twice"), (7, "row twice"),
+            (8, None), (8, None), (9, "")]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "doc_id long, text string").coalesce(1)
+        got = jaccard.near_duplicates(df).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(
+            some, 4, 85)
+        kept = collections.Counter(texts(jaccard.one_of_each(df, 4, 85)))
+        assert kept == collections.Counter([
+            (1, near(a, 0)), (1, near(b, 0)), (1, "of its own"), (None, "null id twice"), (7, "row twice"),
+            (8, None), (8, None), (9, "")])
+
+
 # --- 3 HTML ------------------------------------------------------------------
 
 def test_main_text_of_single_pages():
