@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, jaccard, mixing, rules, secrets, suffixtree, templates, tokens, topk, toxicity
+from tessera.llm import (
+    collocations, decontaminate, jaccard, mixing, packing, prefixtrie, rules, secrets, suffixtree, templates, tokens,
+    topk, toxicity,
+)
 
 QUERIES = {
     "op1_quality_rules": rules.query,
@@ -15,10 +18,15 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_token_counts": tokens.query,
     "op10_exact_topk": topk.query,
+    "op11_collocations": collocations.query,
+    "op12_packing": packing.query,
+    "op13_prefix_trie": prefixtrie.query,
 }
 # The others train models, search or parse, which SQL does not express; they
 # are tested against brute force or held-out rows.
 SQL = {
     "op6_source_mix": mixing.ORACLE_SQL,
     "op10_exact_topk": topk.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
+    "op13_prefix_trie": prefixtrie.ORACLE_SQL,
 }
