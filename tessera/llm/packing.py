@@ -18,9 +18,9 @@ are numbered per length by their task and running totals over the tasks' counts,
 so no length, however frequent, meets in one task. The driver sees the histogram
 only; the plan that is broadcast is bounded by the capacity, not by the rows.
 
-Token ids are those of the ``tokenizers`` file. Texts are cut at single spaces
-between visible characters, where that tokenizer's patterns always begin a new
-token, and the parts' ids are kept in a bounded cache of a task.
+Token ids are those of the ``tokenizers`` file. Texts of ASCII and Latin letters
+without special tokens go through the same vocabulary as a table of ranks, which
+gives the same ids in a fraction of the time; all others through ``tokenizers``.
 
 Defined cases: a null or empty text is the end id alone; texts of any length are
 tokenized whole; rows are independent, so ids may repeat or be null; an empty
@@ -29,6 +29,7 @@ table gives no rows; other columns of the documents take no part.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -48,10 +49,8 @@ CAPACITY = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.json"
 
-# a space between visible characters: the byte-level pattern starts a token there
-_GAP = re.compile(r" (?<=[!-~¡-ɏ] )(?=[!-~¡-ɏ])")
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_CACHE = 400_000
+# characters whose classes are the same in every version of Unicode's tables
+_PLAIN = re.compile(r"[\t\n\r\x20-~¡-ɏ]*")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -62,57 +61,46 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+def _ranked(path: str):
+    """The file's merges as a table of ranks, which a second library runs several
+    times faster; None for files whose merges do not number their tokens in order."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    split, model = given["pre_tokenizer"] or {}, given["model"]
+    byte = {c: b for b, c in _byte_letters().items()}
+    whole = {t["content"] for t in given["added_tokens"]}
+    vocabulary = {t: i for t, i in model.get("vocab", {}).items() if t not in whole}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    if (
+        given["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space")
+        or not split.get("use_regex", True) or len(vocabulary) != len(merges) + 256
+        or any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges))
+    ):
+        return None
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items()}
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Ids:
-    """Little-endian 32-bit token ids of texts."""
+    """Little-endian 32-bit token ids of texts, as the ``tokenizers`` file gives them."""
 
-    def __init__(self, path: str, limit: int = _CACHE):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task is the unit of work
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
-        self.letters = _byte_letters()
-        self.limit = limit
-        self.after: dict[str, bytes] = {}  # parts that follow a space
-        self.plain: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a space and ``part``."""
-        m = _WORD.fullmatch(part)
-        if m is None or len(part) > 100:
-            return self._encode(" " + part)
-        # letters are one pattern, the marks behind them another
-        word = (" " + m[1]).encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(word)]
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if m[2]:
-            if m[2] not in self.plain:
-                self.plain[m[2]] = self._encode(m[2])
-            out += self.plain[m[2]]
-        return out
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.ranked = _ranked(path)
 
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
-        first, *parts = _GAP.split(text)
-        known = self.after
-        if len(known) > self.limit:
-            known.clear()
-        if len(self.plain) > self.limit // 10:
-            self.plain.clear()
-        out = [self._encode(first)]
-        for p in parts:
-            ids = known.get(p)
-            if ids is None:
-                ids = self._part(p)
-                if len(p) <= 100:
-                    known[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        if self.ranked and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:

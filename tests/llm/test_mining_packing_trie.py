@@ -172,13 +172,18 @@ ODD_TEXTS = [
 def test_ids_equal_the_tokenizer():
     rnd = random.Random(7)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    whole, ids = Tokenizer.from_file(path), packing.Ids(path, limit=50)
+    whole, ids = Tokenizer.from_file(path), packing.Ids(path)
     alphabet = ["a", "B", "the", "é", "×", " ", " ", " ", "\n", "\t", ",", ".", "'s", "'", "1", " ", " ",
                 "你", "\U0001f600", "­", "́", "\x1f", "\x85", "-", "ǅ", "ª"]
     texts = ODD_TEXTS + ["".join(rnd.choices(alphabet, k=rnd.randint(1, 40))) for _ in range(3000)]
     for t in texts:
         got = np.frombuffer(ids.of(t), "<u4").tolist()
         assert got == whole.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert ids.ranked is not None
+    plain = [chr(c) for c in (9, 10, 13, *range(32, 127), *range(0xA1, 0x250))]
+    for _ in range(5000):
+        t = "".join(rnd.choice(rnd.choice([plain, "aé1' \n.", "  st"])) for _ in range(rnd.randint(1, 30)))
+        assert np.frombuffer(ids.of(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 @pytest.mark.parametrize("capacity", [1024, 16])
