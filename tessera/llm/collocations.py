@@ -11,9 +11,9 @@ texts; then, length by length:
   are extended. A phrase's parts occur at least as often as itself, so none is lost.
 
 Every relation is written before the next one is made from it, as one row per
-chunk of a language: sorted positions and phrase codes as packed integers.
-Positions run through a chunk with a gap between pieces, so two positions that
-follow each other are of one piece. The merge-join of two sorted chunks is local;
+chunk of a language: the phrase at each position in order, 0 where a piece ends or
+no frequent phrase stands, packed and compressed. Two neighbours that are not 0
+are adjacent positions of one piece. The merge-join of sorted chunks is local;
 what is shuffled are the distinct phrases of a chunk with their counts, so a
 phrase that holds a third of all words is a row per chunk, not per occurrence.
 Frequent phrases are joined back by key; Spark picks the join by the real sizes.
@@ -36,6 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,15 +46,17 @@ from tessera.llm.common import rows_of, stage, table
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK = 200_000  # words of one chunk, about
+CHUNK = 500_000    # words of one chunk, about
+WINDOW = 1 << 20   # bytes of a text that are split at a time, about
 SALTS = 64
 
 # pieces end at . , ; : ! ? and the line breaks 0A-0D; words at space and tab
 _STOP = b"."
 _SPLIT = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b".........\x20")
 
-CHUNKS = "chunk long, lang string, at binary, code binary, words array<string>, counts array<long>"
-LINKED = "chunk long, at binary, code binary, heads array<long>, tails array<long>, counts array<long>"
+CHUNKS = "chunk long, lang string, stream binary, words array<string>, counts array<long>"
+RELATION = "chunk long, stream binary, ids array<long>"
+PAIRS = "chunk long, pair long, head long, tail long, _n long"
 
 
 class _Codes(dict):
@@ -64,35 +67,52 @@ class _Codes(dict):
         return code
 
 
-def _words(text: str) -> list[bytes]:
-    """Words with A-Z lower-cased; a stop stands between pieces."""
-    return text.encode("utf-8", "surrogatepass").lower().translate(_SPLIT).replace(b".", b" . ").split()
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes as compressed bytes: the lowest bytes of all, then the next ones."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
 
 
-def _chunks(batches) -> Iterator[tuple[str, list[bytes]]]:
-    """(lang, words) of about ``CHUNK`` words each, cut between pieces."""
-    held: dict[str, list[bytes]] = {}
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _joined(codes: np.ndarray) -> np.ndarray:
+    """Codes without repeated zeros."""
+    keep = codes != 0
+    keep[1:] |= codes[:-1] != 0
+    return codes[keep]
+
+
+def _words(text: str) -> Iterator[list[bytes]]:
+    """Words with A-Z lower-cased, a stop between pieces, part by part of a text."""
+    data = text.encode("utf-8", "surrogatepass").lower().translate(_SPLIT)
+    start = 0
+    while start < len(data):
+        stop = data.find(_STOP, start + WINDOW)
+        stop = len(data) if stop < 0 else stop
+        yield data[start:stop].replace(b".", b" . ").split()
+        start = stop
+
+
+def _chunks(batches) -> Iterator[tuple[str, _Codes, np.ndarray]]:
+    """(lang, codes of the words, the words' codes) of about ``CHUNK`` words each,
+    cut between pieces."""
+    held: dict[str, tuple[_Codes, list[np.ndarray], list[int]]] = {}
     for langs, texts in rows_of(batches, ["lang", "text"]):
         for lang, text in zip(langs, texts):
-            if not text:
-                continue
-            words = held.setdefault(lang, [])
-            words.append(_STOP)
-            words += _words(text)
-            if len(words) < CHUNK:
-                continue
-            start = 0
-            while len(words) - start >= CHUNK:
-                try:
-                    stop = words.index(_STOP, start + CHUNK)
-                except ValueError:
-                    stop = len(words)
-                yield lang, words[start:stop]
-                start = stop
-            held[lang] = words[start:]
-    for lang, words in held.items():
-        if words:
-            yield lang, words
+            for words in _words(text or ""):
+                codes, parts, size = held.setdefault(lang, (_Codes({_STOP: 0}), [], [0]))
+                part = np.zeros(len(words) + 1, np.int32)
+                part[1:] = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+                parts.append(part)
+                size[0] += len(part)
+                if size[0] >= CHUNK:
+                    del held[lang]
+                    yield lang, codes, np.concatenate(parts)
+    for lang, (codes, parts, _) in held.items():
+        yield lang, codes, np.concatenate(parts)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -101,17 +121,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         base = TaskContext.get().partitionId() << 32
-        for i, (lang, words) in enumerate(_chunks(batches)):
-            codes = _Codes({_STOP: 0})
-            code = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
-            at = np.flatnonzero(code).astype(np.int32)
-            code = code[at] - 1
-            counts = np.bincount(code, minlength=len(codes) - 1)
+        for i, (lang, codes, stream) in enumerate(_chunks(batches)):
+            counts = np.bincount(stream, minlength=len(codes))[1:]
             names = pa.array(list(codes)[1:], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + i]), pa.array([lang]), pa.array([at.tobytes()], pa.binary()),
-                 pa.array([code.astype(np.int32).tobytes()], pa.binary()), _list(names), _list(pa.array(counts))],
-                names=["chunk", "lang", "at", "code", "words", "counts"],
+                [pa.array([base + i]), pa.array([lang]), pa.array([_packed(_joined(stream))], pa.binary()),
+                 _list(names), _list(pa.array(counts.astype(np.int64)))],
+                names=["chunk", "lang", "stream", "words", "counts"],
             )
 
     return given.mapInArrow(run, CHUNKS)
@@ -122,34 +138,64 @@ def _list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _extended(batches):
-    """The merge-join: rows of R_k, less those of rare phrases, with their own
-    neighbours; per chunk the new phrases by their two parts."""
+def _relation(chunk: int, stream: np.ndarray, names: np.ndarray, ids: np.ndarray) -> pa.RecordBatch | None:
+    """The semi-join: of ``stream``, only the codes listed in ``names`` stay."""
+    order = np.argsort(names)
+    names, ids = names[order], ids[order]
+    at = np.minimum(np.searchsorted(names, stream), len(names) - 1)
+    kept = _joined(np.where(names[at] == stream, at + 1, 0))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([chunk]), pa.array([_packed(kept)], pa.binary()), _list(pa.array(ids))],
+        names=["chunk", "stream", "ids"],
+    )
+
+
+def _neighbours(stream: np.ndarray, n: int) -> np.ndarray:
+    """The merge-join: both parts' codes at each adjacent position as one number."""
+    left, right = stream[:-1], stream[1:]
+    return np.where((left != 0) & (right != 0), left * (n + 1) + right, 0)
+
+
+def _each(batches, *columns: str) -> Iterator[list]:
     for batch in batches:
-        for chunk, at, code, known in zip(*(batch.column(c) for c in ("chunk", "at", "code", "known"))):
-            at, code = np.frombuffer(at.as_py(), np.int32), np.frombuffer(code.as_py(), np.int32)
-            known = known.values
-            of = known.field("code").to_numpy(zero_copy_only=False)
-            name = np.full(int(code.max()) + 1, -1, np.int64)
-            name[of] = known.field("id").to_numpy(zero_copy_only=False)
-            rank = np.full(len(name), -1, np.int64)
-            rank[of] = np.arange(len(of))
-            keep = rank[code] >= 0  # the semi-join
-            at, code = at[keep], rank[code[keep]]
-            ids = name[of]
-            next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
-            if not len(next_to):
-                continue
-            pairs = code[next_to] * len(ids) + code[next_to + 1]
-            kinds, new, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+        for row in range(batch.num_rows):
+            yield [batch.column(c)[row] for c in columns]
+
+
+def _known(known: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(known.values.field(c).to_numpy(zero_copy_only=False) for c in ("code", "id"))
+
+
+def _first(batches):
+    """R_1 with the words of a chunk that are frequent (``known``)."""
+    for chunk, stream, known in _each(batches, "chunk", "stream", "known"):
+        names, ids = _known(known)
+        yield _relation(chunk.as_py(), _unpacked(stream.as_py()), names + 1, ids)
+
+
+def _pairs(batches):
+    """Distinct longer phrases of each chunk by their two parts, with their counts."""
+    for chunk, stream, ids in _each(batches, "chunk", "stream", "ids"):
+        ids = ids.values.to_numpy(zero_copy_only=False)
+        kinds, counts = np.unique(_neighbours(_unpacked(stream.as_py()), len(ids)), return_counts=True)
+        kinds, counts = kinds[kinds != 0], counts[kinds != 0]
+        for at in range(0, len(kinds), 50_000):
+            kind = kinds[at : at + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk.as_py()]), pa.array([at[next_to].tobytes()], pa.binary()),
-                 pa.array([new.astype(np.int32).tobytes()], pa.binary()), _list(pa.array(ids[kinds // len(ids)])),
-                 _list(pa.array(ids[kinds % len(ids)])), _list(pa.array(counts.astype(np.int64)))],
-                names=["chunk", "at", "code", "heads", "tails", "counts"],
+                [pa.array(np.full(len(kind), chunk.as_py(), np.int64)), pa.array(kind),
+                 pa.array(ids[kind // (len(ids) + 1) - 1]), pa.array(ids[kind % (len(ids) + 1) - 1]),
+                 pa.array(counts[at : at + 50_000].astype(np.int64))],
+                names=["chunk", "pair", "head", "tail", "_n"],
             )
 
 
+def _next(batches):
+    """R_k+1 from R_k and the frequent ones among a chunk's longer phrases."""
+    for chunk, stream, ids, known in _each(batches, "chunk", "stream", "ids", "known"):
+        names, new = _known(known)
+        yield _relation(chunk.as_py(), _neighbours(_unpacked(stream.as_py()), len(ids.values)), names, new)
+
+
 def _frequent(groups: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
     """Phrases of ``least`` occurrences or more, with a number each."""
     counted = groups.groupBy(*keys).agg(F.sum("_n").alias("f")).filter(F.col("f") >= least)
@@ -160,25 +206,25 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     """Frequent phrases by length, from 1 (id, lang, phrase, last, heads, tails, and
     head and tail: the ids of all but the last and all but the first word), where
     heads and tails count the first and last 1..k words; and (lang, n)."""
-    relation = stage(occurrences(docs), "occurrences")
-    spread = relation.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "_w"))
-    spread = spread.select("chunk", "lang", "code", F.col("_w.words").alias("word"), F.col("_w.counts").alias("_n"))
-    totals = relation.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("_n")) \
+    words = stage(occurrences(docs), "occurrences")
+    spread = words.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "_w")).select(
+        "chunk", "lang", F.col("code").cast("long").alias("code"), F.col("_w.words").alias("word"),
+        F.col("_w.counts").alias("_n"))
+    totals = words.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("_n")) \
         .groupBy("lang").agg(F.sum("_n").alias("n"))
-    keys = ["lang", "word"]
-    found = _frequent(spread, keys, least, "words")
+    found = _frequent(spread, ["lang", "word"], least, "words")
     levels = [found.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
                            F.array("f").alias("heads"), F.array("f").alias("tails"))]
+    relation = stage(
+        words.select("chunk", "stream").join(_by_chunk(spread, found, ["lang", "word"], "code"), "chunk")
+        .mapInArrow(_first, RELATION), "phrases-1")
     for k in range(2, longest + 1):
-        known = spread.join(found.select(*keys, "id"), keys).groupBy("chunk").agg(
-            F.collect_list(F.struct("code", "id")).alias("known"))
-        relation = stage(
-            relation.select("chunk", "at", "code").join(known, "chunk").mapInArrow(_extended, LINKED), f"phrases-{k}")
-        spread = relation.select("chunk", F.posexplode(F.arrays_zip("heads", "tails", "counts")).alias("code", "_p"))
-        spread = spread.select("chunk", "code", F.col("_p.heads").alias("head"), F.col("_p.tails").alias("tail"),
-                               F.col("_p.counts").alias("_n"))
-        keys = ["head", "tail"]
-        found = _frequent(spread, keys, least, f"frequent-{k}")
+        spread = relation.mapInArrow(_pairs, PAIRS)
+        found = _frequent(spread, ["head", "tail"], least, f"frequent-{k}")
+        if k < longest:
+            relation = stage(
+                relation.join(_by_chunk(spread, found, ["head", "tail"], "pair"), "chunk").mapInArrow(_next, RELATION),
+                f"phrases-{k}")
         short = levels[-1].select("id", "lang", "phrase", "last", "heads", "tails")
         head, tail = short.alias("h"), short.alias("t")
         own = F.array("f")
@@ -190,6 +236,12 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     return levels, totals
 
 
+def _by_chunk(spread: DataFrame, found: DataFrame, keys: list[str], code: str) -> DataFrame:
+    """(chunk, known): of each chunk's phrases the frequent ones, as (code, id)."""
+    return spread.join(found.select(*keys, "id"), keys).groupBy("chunk").agg(
+        F.collect_list(F.struct(F.col(code).alias("code"), "id")).alias("known"))
+
+
 def _scored(level: DataFrame, k: int, totals: DataFrame) -> DataFrame:
     """a, l, r, n and the score of the lowest-scoring cut."""
     wide = lambda c: c.cast("decimal(20,0)")
