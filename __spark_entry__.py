@@ -95,10 +95,15 @@ def _position_share(spark: SparkSession, d: str) -> DataFrame:
 def _quarantine_q(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
         derived = pipeline.DERIVE[table](bronze(spark, d, table), _as_of(table))
-        return quality.quarantine(derived, quality.RULES[table])
+        return _rule_text(quality.quarantine(derived, quality.RULES[table]))
     return run
 
 
+def _rule_text(rows: DataFrame) -> DataFrame:
+    """Rule names as text, for comparison with SQL."""
+    return rows.withColumn("failed_rules", F.concat_ws(",", "failed_rules"))
+
+
 def _text_ingest(fmt: str) -> Callable[[SparkSession, str], DataFrame]:
     """SRC1 / SNK1 / PRJ7: KYC bronze written as text with some malformed ages
     under the shared folder, read back and typed."""
@@ -169,6 +174,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for feed, run, names in STREAM_GOLD:
         for name in names:
             q[f"stream_gold_{name}"] = lambda spark, d, run=run, name=name: run(spark, d, name)
+    for feed, run in (("kyc", kyc_stream.run_merged), ("purchases", purchase_stream.run_merged)):
+        for spec in gold.undated(feed):
+            q[f"stream_gold_merged_{spec.name}"] = lambda spark, d, run=run, name=spec.name: run(spark, d, name)
+    for spec in gold.undated("kyc"):
+        q[f"gold_shared_{spec.name}"] = lambda spark, d, name=spec.name: pipeline.shared_gold_table(spark, d, name)
+    q["stream_event_time_kyc"] = lambda spark, d: kyc_stream.run_event_time(spark, d)
+    q["stream_quarantine_kyc"] = lambda spark, d: _rule_text(kyc_stream.run_rejected(spark, d))
+    q["stream_counters_kyc"] = lambda spark, d: kyc_stream.run_counters(spark, d)
     q["text_ingest_csv"] = _text_ingest("csv")
     q["text_ingest_json"] = _text_ingest("json")
     q["bucketed_nations"] = _bucketed_nations
@@ -203,6 +216,14 @@ def oracle_sql() -> dict[str, str]:
     for _, _, names in STREAM_GOLD:
         for name in names:
             s[f"stream_gold_{name}"] = oracle.gold_sql(name)
+    for feed in ("kyc", "purchases"):
+        for spec in gold.undated(feed):
+            s[f"stream_gold_merged_{spec.name}"] = oracle.gold_sql(spec.name)
+    for spec in gold.undated("kyc"):
+        s[f"gold_shared_{spec.name}"] = oracle.gold_sql(spec.name)
+    s["stream_event_time_kyc"] = oracle.hourly_sql()
+    s["stream_quarantine_kyc"] = oracle.quarantine_sql("kyc")
+    s["stream_counters_kyc"] = f"SELECT * FROM ({oracle.quality_report_sql()}) q WHERE table_name = 'kyc'"
     for fmt in ("csv", "json"):
         s[f"text_ingest_{fmt}"] = (
             "SELECT * REPLACE (CASE WHEN age % 7 = 0 THEN NULL ELSE age END AS age) "

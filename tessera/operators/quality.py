@@ -86,11 +86,11 @@ def observe_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> tuple[Dat
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """RA4: rows that fail at least one drop/filter rule, with the failed rule
-    names comma-joined in ``failed_rules`` (rule order)."""
+    """RA4: rows that fail at least one drop/filter rule, with the failed rules'
+    names (array, rule order) in ``failed_rules``."""
     blocking = [r for r in rules if r.action in ("drop", "filter")]
-    names = F.concat_ws(",", *[F.when(~r.holds(), F.lit(r.name)) for r in blocking])
-    return df.withColumn("failed_rules", names).filter(F.col("failed_rules") != "")
+    names = F.array_compact(F.array(*[F.when(~r.holds(), F.lit(r.name)) for r in blocking]))
+    return df.withColumn("failed_rules", names).filter(F.size("failed_rules") > 0)
 
 
 # --- fixed values: rule sets (name, predicate, action) per table ---

@@ -272,6 +272,12 @@ _add(_spec(
     ["processing_date", "processing_hour"],
 ))
 
+
+def undated(feed: str) -> list[GoldSpec]:
+    """Specs over ``feed`` alone whose keys hold no processing date."""
+    return [s for s in SPECS.values() if s.inputs == (feed,) and "processing_date" not in s.keys]
+
+
 def build_order(names=None) -> list[str]:
     """Gold tables in submission order for concurrent builds: join tables
     (the longest jobs) first, so the tail of a layer is short."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators import quality
+from tessera.operators import quality, shared_groups
 from tessera.plans import gold, silver
 from tessera.plans.bronze import bronze
 from tessera.plans.silver import AsOf
@@ -47,6 +47,15 @@ def gold_table(
     return gold.build(name, silver_frames(spark, sf_dir, spec.inputs, as_of), ordered)
 
 
+def shared_gold_table(spark: SparkSession, sf_dir: str, name: str, as_of: AsOf = None) -> DataFrame:
+    """A gold table out of the one pass that makes all tables of its input that
+    are not keyed by date."""
+    feed = gold.SPECS[name].inputs[0]
+    specs = gold.undated(feed)
+    rows = silver_frames(spark, sf_dir, (feed,), as_of)[feed]
+    return shared_groups.table_of(shared_groups.tables(rows, specs), specs, name, dict(rows.dtypes))
+
+
 def quality_report(spark: SparkSession, sf_dir: str, as_of: AsOf = None) -> DataFrame:
     """Per-rule counts for all six tables, evaluated on the derived frames."""
     out = None
@@ -127,7 +136,24 @@ def run_batch(
 
     names = [n for n in gold.build_order(gold_names)
              if all(i in silver_read for i in gold.SPECS[n].inputs)]
-    for name, gpath in run_concurrently(spark, {n: gold_job(n) for n in names}, max_workers).items():
+    # the KYC tables come from one pass over their silver table
+    shared = [n for n in names if gold.SPECS[n].inputs == ("kyc",)]
+    jobs = {n: gold_job(n) for n in names if n not in shared}
+    if shared:
+        every, types = f"{out_root}/gold/_kyc_groups", dict(silver_read["kyc"].dtypes)
+        specs = [gold.SPECS[n] for n in shared]
+        shared_groups.tables(silver_read["kyc"], specs).write.mode("overwrite").parquet(every)
+
+        def split_job(name: str):
+            def build() -> str:
+                gpath = f"{out_root}/gold/{name}"
+                rows = shared_groups.table_of(spark.read.parquet(every), specs, name, types)
+                rows.write.mode("overwrite").parquet(gpath)
+                return gpath
+            return build
+
+        jobs.update({n: split_job(n) for n in shared})
+    for name, gpath in run_concurrently(spark, jobs, max_workers).items():
         paths[f"gold_{name}"] = gpath
     return paths
 

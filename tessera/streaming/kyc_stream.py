@@ -12,6 +12,7 @@ from tessera.plans import gold, silver
 from tessera.plans.bronze import finish
 from tessera.session import fresh_path
 from tessera.sources import adapters, schemas
+from tessera.streaming import checked, event_time, merged
 from tessera.streaming.common import event_stream, file_stream, run_to_parquet
 from tessera.streaming.incremental import refresh_dates, run_date_refresh
 
@@ -26,37 +27,23 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(adapters.kyc_from_events(event_stream(spark, sf_dir)), "kyc", faults=True)
 
 
-def silver_stream(bronze_source: DataFrame, observe: bool = False) -> DataFrame:
-    """SLV5 on a stream: project + rules + filter, per record (no state).
-    ``observe`` attaches the rule counters (reported per micro-batch)."""
-    derived = silver.derive_kyc(bronze_source)
-    if observe:
-        derived = derived.observe(
-            "kyc_quality",
-            F.count(F.lit(1)).alias("total_count"),
-            *[F.count_if(~r.holds()).alias(r.name) for r in quality.KYC],
-        )
-    return quality.enforce(derived, quality.KYC)
-
-
 def run_pipeline(
     spark: SparkSession, sf_dir: str, root: str | None = None, partition_silver: bool = False
 ) -> dict:
-    """Events -> bronze sink -> silver sink; returns the sink paths and the
-    silver rule counters of this run (``quality``). ``partition_silver``
-    writes the silver sink in ``processing_date`` folders (needed by
+    """Events -> bronze sink -> SLV5 per record (no state): silver, rejected rows
+    and rule counters (``streaming.checked``); returns the paths and, as
+    ``quality``, the counters over all batches. ``partition_silver`` writes the
+    silver table in ``processing_date`` folders (needed by
     ``run_incremental_gold``)."""
     root = root or fresh_path(spark, "kyc-stream")
-    paths = {
-        "bronze": f"{root}/bronze",
-        "silver": f"{root}/silver",
-    }
-    run_to_parquet(bronze_stream(spark, sf_dir), paths["bronze"], f"{root}/_checkpoints/bronze")
-    silver_in = file_stream(spark, paths["bronze"], schemas.KYC)
-    counters = run_to_parquet(silver_stream(silver_in, observe=True), paths["silver"],
-                              f"{root}/_checkpoints/silver",
-                              partition_by=["processing_date"] if partition_silver else None)
-    return {**paths, "quality": counters}
+    bronze_path = f"{root}/bronze"
+    run_to_parquet(bronze_stream(spark, sf_dir), bronze_path, f"{root}/_checkpoints/bronze")
+    derived = silver.derive_kyc(file_stream(spark, bronze_path, schemas.KYC))
+    paths = checked.run(derived, quality.KYC, "kyc", root, f"{root}/_checkpoints/silver",
+                        ["processing_date"] if partition_silver else [])
+    totals = checked.counts(spark, paths["counters"]).collect()  # a row for each rule
+    counters = {r.rule: r.failed_count for r in totals} | {"total_count": max((r.total_count for r in totals), default=0)}
+    return {"bronze": bronze_path, **paths, "quality": counters}
 
 
 def run_incremental_gold(
@@ -76,7 +63,7 @@ def publish(spark: SparkSession, sf_dir: str, root: str) -> dict:
     """The whole feed: sinks as ``run_pipeline`` writes them, then every KYC
     gold table once over the silver sink."""
     paths = run_pipeline(spark, sf_dir, root)
-    rows = spark.read.parquet(paths["silver"])
+    rows = checked.read(spark, paths["silver"])
     paths["gold"] = {}
     for name, spec in gold.SPECS.items():
         if spec.inputs == ("kyc",):
@@ -87,7 +74,25 @@ def publish(spark: SparkSession, sf_dir: str, root: str) -> dict:
 
 def run_silver(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
     paths = run_pipeline(spark, sf_dir, root)
-    return spark.read.parquet(paths["silver"])
+    return checked.read(spark, paths["silver"])
+
+
+def run_rejected(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """RA4 on the stream: the rows silver does not take, with the rules they fail."""
+    return checked.read(spark, run_pipeline(spark, sf_dir, root)["rejected"])
+
+
+def run_counters(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """RA3 on the stream: the rules' counters over all micro-batches."""
+    return checked.counts(spark, run_pipeline(spark, sf_dir, root)["counters"])
+
+
+def run_merged(spark: SparkSession, sf_dir: str, name: str, root: str | None = None) -> DataFrame:
+    """STR2 from mergeable state: a run costs its new rows, whatever the keys."""
+    root = root or fresh_path(spark, "kyc-merged")
+    silver_path = run_pipeline(spark, sf_dir, root)["silver"]
+    merged.run(spark, silver_path, f"{root}/state", "kyc", f"{root}/_checkpoints/state")
+    return merged.table(spark, silver_path, f"{root}/state", "kyc", name)
 
 
 def run_gold(spark: SparkSession, sf_dir: str, name: str, root: str | None = None) -> DataFrame:
@@ -108,6 +113,16 @@ def run_hourly(spark: SparkSession, sf_dir: str, root: str | None = None) -> Dat
     return hourly(run_silver(spark, sf_dir, root))
 
 
+def run_event_time(spark: SparkSession, sf_dir: str, root: str | None = None, max_files: int = 4) -> DataFrame:
+    """EXT1 as an event-time stream over silver in date folders, a few files per
+    micro-batch (``streaming.event_time``)."""
+    root = root or fresh_path(spark, "kyc-event-time")
+    silver_path = run_pipeline(spark, sf_dir, root, partition_silver=True)["silver"]
+    return event_time.run(
+        spark, silver_path, f"{root}/event-time", "kyc_timestamp", "customer_id",
+        [("avg_annual_income", "annual_income", 2), ("avg_net_worth", "net_worth", 2)], max_files=max_files)
+
+
 __all__ = [
     "bronze_stream",
     "refresh_dates",
@@ -117,5 +132,4 @@ __all__ = [
     "run_hourly",
     "run_pipeline",
     "run_silver",
-    "silver_stream",
 ]

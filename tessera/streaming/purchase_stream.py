@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators import quality
 from tessera.plans import gold, silver
 from tessera.plans.bronze import finish
 from tessera.session import fresh_path
 from tessera.sources import adapters, schemas
+from tessera.streaming import checked, merged
 from tessera.streaming.common import event_stream, file_stream, run_to_parquet
 from tessera.streaming.incremental import run_date_refresh
 
@@ -47,6 +49,21 @@ def run_gold(spark: SparkSession, sf_dir: str, name: str, root: str | None = Non
     return gold.build(name, {"purchases": run_silver(spark, sf_dir, root)})
 
 
+def _stream_silver(spark: SparkSession, sf_dir: str, root: str, partition_by: list[str]) -> str:
+    """Events -> bronze sink -> silver, rejected rows and counters per batch."""
+    derived = silver.derive_purchases(file_stream(spark, run_bronze(spark, sf_dir, root), schemas.PURCHASES))
+    return checked.run(derived, quality.PURCHASES, "purchases", root, f"{root}/_checkpoints/silver",
+                       partition_by)["silver"]
+
+
+def run_merged(spark: SparkSession, sf_dir: str, name: str, root: str | None = None) -> DataFrame:
+    """A purchase gold table from mergeable state (``streaming.merged``)."""
+    root = root or fresh_path(spark, "purchase-merged")
+    silver_path = _stream_silver(spark, sf_dir, root, [])
+    merged.run(spark, silver_path, f"{root}/state", "purchases", f"{root}/_checkpoints/state")
+    return merged.table(spark, silver_path, f"{root}/state", "purchases", name)
+
+
 def run_incremental_gold(
     spark: SparkSession, sf_dir: str, root: str | None = None, name: str = "realtime_metrics"
 ) -> str:
@@ -54,12 +71,7 @@ def run_incremental_gold(
     silver sink (stateless, in ``processing_date`` folders) -> refresh of the
     touched dates of the date-keyed gold table."""
     root = root or fresh_path(spark, "purchase-incremental")
-    bronze_sink = run_bronze(spark, sf_dir, root)
-    silver_sink = f"{root}/silver"
-    run_to_parquet(
-        silver.purchases(file_stream(spark, bronze_sink, schemas.PURCHASES)),
-        silver_sink, f"{root}/_checkpoints/silver", partition_by=["processing_date"],
-    )
+    silver_sink = _stream_silver(spark, sf_dir, root, ["processing_date"])
     gold_path = f"{root}/gold/{name}"
     run_date_refresh(spark, silver_sink, gold_path, name, "purchases", f"{root}/_checkpoints/gold_{name}")
     return gold_path

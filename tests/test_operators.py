@@ -92,7 +92,7 @@ def test_clean_plus_quarantine_is_input(spark):
     quar = quality.quarantine(df, RULES)
     assert clean.count() + quar.count() == df.count()
     got = {r.id: r.failed_rules for r in quar.collect()}
-    assert got == {None: "required_id", "c": "valid_qty", "d": "valid_qty", "e": "valid_qty"}
+    assert got == {None: ["required_id"], "c": ["valid_qty"], "d": ["valid_qty"], "e": ["valid_qty"]}
 
 
 def test_observed_rules(spark, tmp_path):

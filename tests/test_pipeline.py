@@ -272,14 +272,15 @@ def test_event_stream_reads_a_table_folder(spark, sf_small, tmp_path, monkeypatc
     many = kyc_stream.run_silver(spark, str(tmp_path))
     assert many.count() == one.count() > 0
     # more micro-batches than a short ring of progress updates would keep
-    spark.conf.set(common.PROGRESS_KEPT, "2")
+    ring = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(ring, "2")
     every = common.file_stream
     monkeypatch.setattr(common, "file_stream", lambda s, p, sc, max_files=1, glob=None: every(s, p, sc, 1, glob))
     monkeypatch.setattr(kyc_stream, "file_stream", lambda s, p, sc, max_files=1, glob=None: every(s, p, sc, 1, glob))
     try:
         paths = kyc_stream.run_pipeline(spark, str(tmp_path), str(tmp_path / "run"))
     finally:
-        spark.conf.unset(common.PROGRESS_KEPT)
+        spark.conf.unset(ring)
     assert paths["quality"]["total_count"] == spark.read.parquet(table_path(sf_small, "events")).count()
     assert kyc_stream.hourly(spark.read.parquet(paths["silver"])).exceptAll(kyc_stream.hourly(one)).count() == 0
     with pytest.raises(Exception):
