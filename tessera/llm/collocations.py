@@ -15,8 +15,13 @@ chunk of a language: the phrase at each position in order, 0 where a piece ends
 no frequent phrase stands, packed and compressed. Two neighbours that are not 0
 are adjacent positions of one piece. The merge-join of sorted chunks is local;
 what is shuffled are the distinct phrases of a chunk with their counts, so a
-phrase that holds a third of all words is a row per chunk, not per occurrence.
-Frequent phrases are joined back by key; Spark picks the join by the real sizes.
+phrase that holds a third of all words is one entry per chunk, not per occurrence.
+
+Group-count and semi-join share one shuffle: a chunk's phrases go as packed
+blocks to buckets by a hash of the phrase, a bucket adds up and answers each chunk
+which of them are frequent. There are as many buckets as keep ``BUCKET`` words
+each, so a task's share does not grow with the corpus, and the hash spreads the
+phrases of a frequent word over all of them.
 
 A phrase carries the counts of its first and last 1..k words along, from its two
 parts, which is all that the cuts' scores need. They are whole numbers of up to
@@ -36,18 +41,21 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import rows_of, stage, table
+from tessera.llm.common import mix, rows_of, stage, table
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 CHUNK = 500_000    # words of one chunk, about
 WINDOW = 1 << 20   # bytes of a text that are split at a time, about
+BUCKET = 3_000_000  # words whose phrases are counted by one task, about
 SALTS = 64
 
 # pieces end at . , ; : ! ? and the line breaks 0A-0D; words at space and tab
@@ -56,7 +64,10 @@ _SPLIT = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b".........\x20")
 
 CHUNKS = "chunk long, lang string, stream binary, words array<string>, counts array<long>"
 RELATION = "chunk long, stream binary, ids array<long>"
-PAIRS = "chunk long, pair long, head long, tail long, _n long"
+WORD_BLOCKS = "bucket int, chunk long, lang string, codes binary, words array<string>, counts binary"
+PAIR_BLOCKS = "bucket int, chunk long, heads binary, tails binary, counts binary"
+WORDS_FOUND = "bucket int, chunk long, names binary, ids binary, id long, f long, lang string, word string"
+PAIRS_FOUND = "bucket int, chunk long, names binary, ids binary, id long, f long, head long, tail long"
 
 
 class _Codes(dict):
@@ -67,15 +78,30 @@ class _Codes(dict):
         return code
 
 
-def _packed(codes: np.ndarray) -> bytes:
-    """Codes as compressed bytes: the lowest bytes of all, then the next ones."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed bytes: the lowest bytes of all, then the next ones."""
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.compress(planes.tobytes(), 3)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Sorted numbers by their differences."""
+    return _packed(np.diff(values, prepend=0).astype("<i8"))
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, "<i8"))
+
+
+def _stream(data: bytes) -> np.ndarray:
+    return _unpacked(data, "<u4").astype(np.int64)
 
 
 def _joined(codes: np.ndarray) -> np.ndarray:
@@ -125,7 +151,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             counts = np.bincount(stream, minlength=len(codes))[1:]
             names = pa.array(list(codes)[1:], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + i]), pa.array([lang]), pa.array([_packed(_joined(stream))], pa.binary()),
+                [pa.array([base + i]), pa.array([lang]), pa.array([_packed(_joined(stream).astype("<u4"))], pa.binary()),
                  _list(names), _list(pa.array(counts.astype(np.int64)))],
                 names=["chunk", "lang", "stream", "words", "counts"],
             )
@@ -145,7 +171,7 @@ def _relation(chunk: int, stream: np.ndarray, names: np.ndarray, ids: np.ndarray
     at = np.minimum(np.searchsorted(names, stream), len(names) - 1)
     kept = _joined(np.where(names[at] == stream, at + 1, 0))
     return pa.RecordBatch.from_arrays(
-        [pa.array([chunk]), pa.array([_packed(kept)], pa.binary()), _list(pa.array(ids))],
+        [pa.array([chunk]), pa.array([_packed(kept.astype("<u4"))], pa.binary()), _list(pa.array(ids))],
         names=["chunk", "stream", "ids"],
     )
 
@@ -162,44 +188,175 @@ def _each(batches, *columns: str) -> Iterator[list]:
             yield [batch.column(c)[row] for c in columns]
 
 
-def _known(known: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(known.values.field(c).to_numpy(zero_copy_only=False) for c in ("code", "id"))
+def _known(known: pa.ListScalar) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bucket, names, ids) of the frequent phrases of a chunk."""
+    for k in known.as_py():
+        yield k["bucket"], _from_steps(k["names"]), _unpacked(k["ids"], "<i8")
+
+
+def _blocks(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, positions) of the buckets that occur."""
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for start, stop in zip(starts, [*starts[1:], len(order)]):
+        yield int(bucket[order[start]]), order[start:stop]
+
+
+def _word_blocks(buckets: int):
+    def run(batches):
+        for chunk, lang, words, counts in _each(batches, "chunk", "lang", "words", "counts"):
+            names, counts = words.values, counts.values.to_numpy(zero_copy_only=False)
+            hashes = [xxhash.xxh3_64_intdigest(w) for w in names.cast(pa.binary()).to_pylist()]
+            for b, at in _blocks((np.array(hashes, np.uint64) % np.uint64(buckets)).astype(np.int64)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.array([chunk.as_py()]), pa.array([lang.as_py()]),
+                     pa.array([_steps(at)], pa.binary()), _list(names.take(pa.array(at))),
+                     pa.array([_packed(counts[at])], pa.binary())],
+                    names=["bucket", "chunk", "lang", "codes", "words", "counts"])
+
+    return run
+
+
+def _found(schema: pa.Schema, bucket: int, answers: list[tuple], phrases: dict[str, pa.Array]) -> pa.Table:
+    """Answers (chunk, names, ids) and frequent phrases as rows of ``schema``."""
+    n = len(phrases["id"])
+    columns = {
+        "bucket": [bucket] * (len(answers) + n),
+        "chunk": [a[0] for a in answers] + [None] * n,
+        "names": [_steps(a[1]) for a in answers] + [None] * n,
+        "ids": [_packed(a[2].astype("<i8")) for a in answers] + [None] * n,
+    }
+    arrays = [
+        pa.array(columns[f.name], f.type) if f.name in columns
+        else pa.concat_arrays([pa.nulls(len(answers), f.type), phrases[f.name].cast(f.type)]) for f in schema
+    ]
+    return pa.Table.from_arrays(arrays, schema=schema)
+
+
+def _count_words(least: int, schema: pa.Schema):
+    def run(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        r = rows.select(["chunk", "lang", "codes", "counts"]).to_pylist()
+        words = [w.values for w in rows.column("words")]
+        sizes = [len(w) for w in words]
+        table = pa.table({
+            "lang": pa.array([x["lang"] for x in r]).dictionary_encode().take(pa.array(np.repeat(np.arange(len(r)), sizes))),
+            "word": pa.concat_arrays(words), "n": np.concatenate([_unpacked(x["counts"], "<i8") for x in r])})
+        sums = table.group_by(["lang", "word"]).aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums["n_sum"], least)).combine_chunks()
+        ids = (bucket << 40) + np.arange(sums.num_rows)
+        langs = np.array(sums["lang"].to_pylist(), object)
+        answers, by_lang = [], {}
+        for x, w in zip(r, words):
+            if x["lang"] not in by_lang:
+                at = np.flatnonzero(langs == x["lang"])
+                by_lang[x["lang"]] = at, _whole(sums["word"]).take(pa.array(at))
+            at, value_set = by_lang[x["lang"]]
+            place = pc.index_in(w, value_set=value_set).to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(~np.isnan(place)) if place.dtype.kind == "f" else np.arange(len(place))
+            if len(hit) and len(at):
+                answers.append((x["chunk"], _from_steps(x["codes"])[hit], ids[at[place[hit].astype(np.int64)]]))
+        return _found(schema, bucket, answers, {
+            "id": pa.array(ids), "f": _whole(sums["n_sum"]), "lang": pa.array(langs, pa.string()),
+            "word": _whole(sums["word"])})
+
+    return run
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
 def _first(batches):
     """R_1 with the words of a chunk that are frequent (``known``)."""
     for chunk, stream, known in _each(batches, "chunk", "stream", "known"):
-        names, ids = _known(known)
-        yield _relation(chunk.as_py(), _unpacked(stream.as_py()), names + 1, ids)
-
-
-def _pairs(batches):
-    """Distinct longer phrases of each chunk by their two parts, with their counts."""
-    for chunk, stream, ids in _each(batches, "chunk", "stream", "ids"):
-        ids = ids.values.to_numpy(zero_copy_only=False)
-        kinds, counts = np.unique(_neighbours(_unpacked(stream.as_py()), len(ids)), return_counts=True)
-        kinds, counts = kinds[kinds != 0], counts[kinds != 0]
-        for at in range(0, len(kinds), 50_000):
-            kind = kinds[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(kind), chunk.as_py(), np.int64)), pa.array(kind),
-                 pa.array(ids[kind // (len(ids) + 1) - 1]), pa.array(ids[kind % (len(ids) + 1) - 1]),
-                 pa.array(counts[at : at + 50_000].astype(np.int64))],
-                names=["chunk", "pair", "head", "tail", "_n"],
-            )
+        _, names, ids = zip(*_known(known))
+        yield _relation(chunk.as_py(), _stream(stream.as_py()), np.concatenate(names) + 1, np.concatenate(ids))
+
+
+def _pairs(stream: np.ndarray, ids: np.ndarray, buckets: int):
+    """Distinct longer phrases of a chunk, sorted by the ids of their parts: as
+    neighbours' numbers, heads, tails, counts and buckets."""
+    order = np.argsort(ids)
+    rank = np.zeros(len(ids) + 1, np.int64)
+    rank[order + 1] = np.arange(1, len(ids) + 1)
+    ids = ids[order]
+    near = _neighbours(rank[stream], len(ids))
+    kinds, counts = np.unique(near[near != 0], return_counts=True)
+    head, tail = ids[kinds // (len(ids) + 1) - 1], ids[kinds % (len(ids) + 1) - 1]
+    mixed = mix(mix(head.astype(np.uint64)) + tail.astype(np.uint64))
+    return near, kinds, head, tail, counts, (mixed % np.uint64(buckets)).astype(np.int64)
 
 
-def _next(batches):
+def _pair_blocks(buckets: int):
+    def run(batches):
+        for chunk, stream, ids in _each(batches, "chunk", "stream", "ids"):
+            ids = ids.values.to_numpy(zero_copy_only=False)
+            _, _, head, tail, counts, bucket = _pairs(_stream(stream.as_py()), ids, buckets)
+            for b, at in _blocks(bucket):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.array([chunk.as_py()]), pa.array([_steps(head[at])], pa.binary()),
+                     pa.array([_packed(tail[at])], pa.binary()), pa.array([_packed(counts[at])], pa.binary())],
+                    names=["bucket", "chunk", "heads", "tails", "counts"])
+
+    return run
+
+
+def _count_pairs(least: int, schema: pa.Schema):
+    def run(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        r = rows.to_pylist()
+        heads = [_from_steps(x["heads"]) for x in r]
+        block = np.repeat(np.arange(len(r)), [len(h) for h in heads])
+        place = np.concatenate([np.arange(len(h)) for h in heads])
+        head, tail = np.concatenate(heads), np.concatenate([_unpacked(x["tails"], "<i8") for x in r])
+        n = np.concatenate([_unpacked(x["counts"], "<i8") for x in r])
+        order = np.lexsort((tail, head))
+        head, tail = head[order], tail[order]
+        start = np.ones(len(order), bool)
+        start[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+        first = np.flatnonzero(start)
+        sums = np.add.reduceat(n[order], first)
+        good = sums >= least
+        ids = np.full(len(first), -1, np.int64)
+        ids[good] = (bucket << 40) + np.arange(good.sum())
+        id_of = np.empty(len(order), np.int64)
+        id_of[order] = ids[np.cumsum(start) - 1]
+        answers = []
+        hit = np.flatnonzero(id_of >= 0)  # in order of blocks and places
+        for i, at in _blocks(block[hit]):
+            answers.append((r[i]["chunk"], place[hit[at]], id_of[hit[at]]))
+        kept = first[good]
+        return _found(schema, bucket, answers, {
+            "id": pa.array(ids[good]), "f": pa.array(sums[good]), "head": pa.array(head[kept]),
+            "tail": pa.array(tail[kept])})
+
+    return run
+
+
+def _next(buckets: int):
     """R_k+1 from R_k and the frequent ones among a chunk's longer phrases."""
-    for chunk, stream, ids, known in _each(batches, "chunk", "stream", "ids", "known"):
-        names, new = _known(known)
-        yield _relation(chunk.as_py(), _neighbours(_unpacked(stream.as_py()), len(ids.values)), names, new)
+    def run(batches):
+        for chunk, stream, ids, known in _each(batches, "chunk", "stream", "ids", "known"):
+            ids = ids.values.to_numpy(zero_copy_only=False)
+            near, kinds, _, _, _, bucket = _pairs(_stream(stream.as_py()), ids, buckets)
+            blocks = dict(_blocks(bucket))
+            names, new = zip(*((kinds[blocks[b][at]], ids) for b, at, ids in _known(known)))
+            yield _relation(chunk.as_py(), near, np.concatenate(names), np.concatenate(new))
+
+    return run
 
 
-def _frequent(groups: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
-    """Phrases of ``least`` occurrences or more, with a number each."""
-    counted = groups.groupBy(*keys).agg(F.sum("_n").alias("f")).filter(F.col("f") >= least)
-    return stage(counted.withColumn("id", F.monotonically_increasing_id()), label)
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _counted(blocks: DataFrame, count, least: int, ddl: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """Frequent phrases with their ids, and per chunk which of its own they are."""
+    schema = pa.schema([(f.split()[0], _TYPES[f.split()[1]]) for f in ddl.split(", ")])
+    found = stage(blocks.groupBy("bucket").applyInArrow(count(least, schema), ddl), label)
+    known = found.filter("chunk IS NOT NULL").groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "names", "ids")).alias("known"))
+    return found.filter("id IS NOT NULL").drop("bucket", "chunk", "names", "ids"), known
 
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[list[DataFrame], DataFrame]:
@@ -207,24 +364,20 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     head and tail: the ids of all but the last and all but the first word), where
     heads and tails count the first and last 1..k words; and (lang, n)."""
     words = stage(occurrences(docs), "occurrences")
-    spread = words.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "_w")).select(
-        "chunk", "lang", F.col("code").cast("long").alias("code"), F.col("_w.words").alias("word"),
-        F.col("_w.counts").alias("_n"))
     totals = words.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("_n")) \
         .groupBy("lang").agg(F.sum("_n").alias("n"))
-    found = _frequent(spread, ["lang", "word"], least, "words")
+    totals = stage(totals, "lang-words")
+    buckets = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET
+    blocks = words.select("chunk", "lang", "words", "counts").mapInArrow(_word_blocks(buckets), WORD_BLOCKS)
+    found, known = _counted(blocks, _count_words, least, WORDS_FOUND, "words")
     levels = [found.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
                            F.array("f").alias("heads"), F.array("f").alias("tails"))]
-    relation = stage(
-        words.select("chunk", "stream").join(_by_chunk(spread, found, ["lang", "word"], "code"), "chunk")
-        .mapInArrow(_first, RELATION), "phrases-1")
+    relation = stage(words.select("chunk", "stream").join(known, "chunk").mapInArrow(_first, RELATION), "phrases-1")
     for k in range(2, longest + 1):
-        spread = relation.mapInArrow(_pairs, PAIRS)
-        found = _frequent(spread, ["head", "tail"], least, f"frequent-{k}")
+        blocks = relation.mapInArrow(_pair_blocks(buckets), PAIR_BLOCKS)
+        found, known = _counted(blocks, _count_pairs, least, PAIRS_FOUND, f"pairs-{k}")
         if k < longest:
-            relation = stage(
-                relation.join(_by_chunk(spread, found, ["head", "tail"], "pair"), "chunk").mapInArrow(_next, RELATION),
-                f"phrases-{k}")
+            relation = stage(relation.join(known, "chunk").mapInArrow(_next(buckets), RELATION), f"phrases-{k}")
         short = levels[-1].select("id", "lang", "phrase", "last", "heads", "tails")
         head, tail = short.alias("h"), short.alias("t")
         own = F.array("f")
@@ -236,12 +389,6 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     return levels, totals
 
 
-def _by_chunk(spread: DataFrame, found: DataFrame, keys: list[str], code: str) -> DataFrame:
-    """(chunk, known): of each chunk's phrases the frequent ones, as (code, id)."""
-    return spread.join(found.select(*keys, "id"), keys).groupBy("chunk").agg(
-        F.collect_list(F.struct(F.col(code).alias("code"), "id")).alias("known"))
-
-
 def _scored(level: DataFrame, k: int, totals: DataFrame) -> DataFrame:
     """a, l, r, n and the score of the lowest-scoring cut."""
     wide = lambda c: c.cast("decimal(20,0)")
@@ -266,7 +413,6 @@ def collocations(
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``top`` phrases."""
     levels, totals = phrases(docs, least, longest)
-    totals = stage(totals, "lang-words")
     kept = []
     for k in range(2, longest + 1):
         rows = _scored(levels[k - 1], k, totals)

@@ -71,9 +71,11 @@ def prose():
     return rows
 
 
-@pytest.mark.parametrize("least,top,chunk", [(8, 1000, 200_000), (8, 3, 50), (10**9, 5, 1000)])
+@pytest.mark.parametrize("least,top,chunk", [(8, 1000, 200_000), (8, 3, 2000), (10**9, 5, 5000)])
 def test_collocations(spark, prose, monkeypatch, least, top, chunk):
     monkeypatch.setattr(collocations, "CHUNK", chunk)
+    monkeypatch.setattr(collocations, "BUCKET", chunk)  # many buckets with small chunks
+    monkeypatch.setattr(collocations, "WINDOW", chunk)
     got = collocations.collocations(frame(spark, prose, DOCS).repartition(3), least, 5, top)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(map(tuple, got.collect())) == brute_collocations(prose, least, 5, top)
