@@ -2,23 +2,29 @@
 
 Each rule's regex is reduced to a Boolean query over lower-cased trigrams that
 every match must contain (an OR of clauses, each an AND of trigrams). The index
-holds, for every trigram that some query names, the ids of the documents with
-it: the vocabulary comes from the rules, so postings stay small beside the
-texts. Postings are intersected per clause; only documents that satisfy a
-clause of a rule are verified with that rule's regex. Rules without mandatory
-trigrams (hex runs) are verified on every document.
-
-Positions come from cutting the text at the matches: the lengths of the pieces
-and of the matches add up to code-point offsets, so no Python is needed.
+holds, for every trigram that some query names, the rows with it, found in one
+pass over the texts: the vocabulary comes from the rules, so postings stay small
+beside the texts. Postings are intersected per clause; a rule's regex runs on the
+rows that satisfy a clause of its query and on no others. Rules without mandatory
+trigrams (hex runs) are looked for in every text.
+
+Rows get a number of their own and are written with it once, so rows that share
+an id, or have none, are as apart as any others; the numbers of the candidates
+are written too, and Spark joins them by their real size (the texts are not
+shuffled while candidates are few).
+
+Positions come from cutting the text at the matches and adding up the lengths of
+pieces and matches, one step a match. Where a rule is a run of characters, after
+letters of that run at most, its least length is part of the pattern: the
+same spans, without the many short runs.
 
 Defined cases: null or empty text has no span and base_sha256 of the empty
-string. Rows that share an id (or have none) share candidates, a superset that
-verification narrows, so each row keeps its own spans. Other columns pass by.
+string; texts of any length and any number of matches are searched whole; an
+empty table gives no rows. Other columns pass by.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
 import re
 from dataclasses import dataclass
@@ -28,7 +34,7 @@ from re import _parser as rp
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import apart, table
+from tessera.llm.common import apart, stage, table
 
 
 @dataclass(frozen=True)
@@ -121,13 +127,6 @@ def _selective(gram: str) -> int:
     return sum(_RARE.find(c) if c in _RARE else 2 * len(_RARE) for c in gram)
 
 
-def needles(regex: str) -> list[str]:
-    """Lower-cased strings, one of which every match contains; the longest the
-    regex has. Empty: none is mandatory."""
-    runs = [r for r in _runs(list(rp.parse(regex))) if min(map(len, r)) >= 3]
-    return sorted({s.lower() for s in max(runs, key=lambda r: min(map(len, r)))}) if runs else []
-
-
 def trigram_query(regex: str) -> list[frozenset[str]]:
     """The regex's query: a match holds all trigrams of at least one clause.
     A clause names at most ``_MOST_TERMS``, those of the rarest letters; fewer
@@ -142,59 +141,74 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
     return [] if frozenset() in clauses else sorted(clauses, key=sorted)
 
 
+def _one_of(grams: list[str]) -> str:
+    """A regex for any of ``grams`` (all of three characters), by first characters."""
+    quoted = lambda text: "".join(c if c.isalnum() else "\\" + c for c in text)
+    heads = itertools.groupby(sorted(grams), key=lambda g: g[0])
+    return "|".join(f"{quoted(h)}(?:{'|'.join(quoted(g[1:]) for g in of)})" for h, of in heads)
+
+
 def index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """Postings (trigram, doc_id) of the named trigrams."""
-    low = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in trigrams]))
-    return docs.select("doc_id", F.explode(held).alias("trigram"))
+    """Postings (trigram, _row) of the named trigrams, in any case of letters."""
+    found = F.regexp_extract_all("text", F.lit(f"(?i)(?=({_one_of(trigrams)}))"), F.lit(1))
+    held = F.array_distinct(F.transform(found, F.lower))
+    return docs.select("_row", F.explode(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id and the kinds whose trigram query its postings satisfy."""
+    """_row and the kinds whose trigram query its postings satisfy."""
     spark = docs.sparkSession
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     terms = [(k, i, t, len(c)) for k, q in queries.items() for i, c in enumerate(q) for t in sorted(c)]
     names = "kind string, clause int, trigram string, need int"
     if not terms:
-        return docs.select("doc_id", F.array().cast("array<string>").alias("kinds")).limit(0)
+        return docs.select("_row", F.array().cast("array<string>").alias("kinds")).limit(0)
     # as many rows as the rules have trigrams, whatever the input
     wanted = F.broadcast(spark.createDataFrame(terms, names))
     postings = index(docs, sorted({t for _, _, t, _ in terms}))
-    met = postings.join(wanted, "trigram").groupBy("doc_id", "kind", "clause", "need").agg(
-        F.count_distinct("trigram").alias("have")
+    met = postings.join(wanted, "trigram").groupBy("_row", "kind", "clause", "need").agg(
+        F.count(F.lit(1)).alias("have")  # a row has a trigram once
     ).filter("have = need")
-    return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+    return met.groupBy("_row").agg(F.collect_set("kind").alias("kinds"))
+
+
+def _sized(rule: Rule) -> str | None:
+    """The rule as a pattern that holds its least length, if that gives the same
+    spans: one run of a class, led by characters of that class at most. (A shorter
+    match is then a whole run, in which no later start can be longer.)"""
+    if rule.group or rule.any_case or not rule.regex.endswith("]+"):
+        return None
+    at = rule.regex.rindex("[")
+    head, kind = rule.regex[:at], rule.regex[at:-1]
+    if not re.fullmatch(rf"{kind}*", head) or not re.fullmatch(r"\w*", head):
+        return None
+    return f"{head}{kind}{{{max(1, rule.least - len(head))},}}"
 
 
 def _spans(rule: Rule, order: int) -> Column:
     """Kept matches of one rule: array of (start, order, end, kind)."""
-    pattern = F.lit(("(?i)" if rule.any_case else "") + rule.regex)
-    found = F.regexp_extract_all("_t", pattern, F.lit(0))
-    tested = F.regexp_extract_all("_t", pattern, F.lit(rule.group)) if rule.group else found
-    gaps = F.transform(F.split("_t", ("(?i)" if rule.any_case else "") + rule.regex, -1), F.length)
+    pattern = _sized(rule) or ("(?i)" if rule.any_case else "") + rule.regex
+    found = F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))
+    tested = F.regexp_extract_all("_t", F.lit(pattern), F.lit(rule.group)) if rule.group else found
     held = F.struct(
         F.transform(found, F.length).alias("size"), F.transform(tested, F.length).alias("test"),
-        gaps.alias("gap"),
+        F.transform(F.split("_t", pattern, -1), F.length).alias("gap"),
     )
 
-    def add(x, y):
-        return x + y
-
-    def at(h: Column, i: Column) -> Column:
-        zero = F.lit(0).cast("int")
-        return F.aggregate(F.slice(h["gap"], 1, i + 1), zero, add) + F.aggregate(
-            F.slice(h["size"], 1, i), zero, add
-        )
+    def step(acc: Column, m: Column) -> Column:
+        start = acc["at"] + m["gap"]
+        end = start + m["size"]
+        span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"),
+                        F.lit(rule.kind).alias("kind"))
+        return F.struct(
+            end.alias("at"),
+            F.when(m["test"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     def spans(h: Column) -> Column:
-        every = F.transform(h["size"], lambda n, i: F.struct(
-            at(h, i).cast("long").alias("start"), F.lit(order).alias("order"),
-            (at(h, i) + n).cast("long").alias("end"), F.lit(rule.kind).alias("kind"),
-            F.get(h["test"], i).alias("test"),
-        ))
-        kept = F.filter(every, lambda s: s["test"] >= rule.least)
-        return F.flatten(F.array(F.transform(kept, lambda s: F.struct(
-            s["start"], s["order"], s["end"], s["kind"]))))
+        matches = F.transform(h["size"], lambda n, i: F.struct(
+            F.get(h["gap"], i).alias("gap"), n.alias("size"), F.get(h["test"], i).alias("test")))
+        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_NONE).alias("out"))
+        return F.aggregate(matches, zero, step, lambda acc: acc["out"])
 
     # one-element array: the struct is computed once for all its uses
     return F.flatten(F.transform(F.array(held), spans))
@@ -203,30 +217,20 @@ def _spans(rule: Rule, order: int) -> Column:
 _NONE = "array<struct<start:bigint,order:int,end:bigint,kind:string>>"
 
 
-def _quick(rule: Rule) -> str:
-    """A regex that finds a text with a long enough run at all."""
-    head = rule.regex[: rule.regex.rindex("[")] if rule.group == 0 and rule.regex.endswith("]+") else "+"
-    if re.fullmatch(r"\w*", head):  # plain letters, then one run
-        return rule.regex[:-1] + "{%d,}" % max(1, rule.least - len(head))
-    return ("(?i)" if rule.any_case else "") + rule.regex
-
-
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``spans``: array of (start, order, end, kind), by start
     then by the rules' order; code points, end exclusive. A column of that name
     is replaced."""
-    docs, back = apart(docs, "doc_id", "text")
-    kinds = candidates(docs, rules).toDF("_id", "_kinds")
-    joined = docs.join(kinds, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn(
-        "_t", F.coalesce("text", F.lit(""))
-    )
+    docs, back = apart(docs, "text")
+    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "secret-rows")
+    kinds = stage(candidates(docs, rules).toDF("_id", "_kinds"), "secret-candidates")
+    joined = docs.join(kinds, F.col("_row") == F.col("_id"), "left").withColumn("_t", F.coalesce("text", F.lit("")))
     parts = []
     for i, rule in enumerate(rules):
-        open_ = F.col("_t").rlike(_quick(rule))
         if trigram_query(rule.regex):
-            low = F.lower("_t")
-            held = functools.reduce(Column.__or__, [low.contains(n) for n in needles(rule.regex)])
-            open_ = F.array_contains("_kinds", rule.kind) & held & open_
+            open_ = F.array_contains("_kinds", rule.kind)
+        else:
+            open_ = F.col("_t").rlike(_sized(rule) or ("(?i)" if rule.any_case else "") + rule.regex)
         parts.append(F.when(open_, _spans(rule, i)).otherwise(F.array().cast(_NONE)))
     return back(joined.withColumn("spans", F.array_sort(F.concat(*parts))), "spans")
 
@@ -255,21 +259,23 @@ def query(spark, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of their texts replaced by ``mark`` (spans that
     overlap by one mark) and n_chars counted anew; null texts stay null."""
-    inner, back = apart(docs, "doc_id", "text", "n_chars")
+    inner, back = apart(docs, "text", "n_chars")
     found = scan(inner)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def cut(at: Column, n: Column) -> Column:
+        return F.substring(F.col("text"), (at + 1).cast("int"), n.cast("int"))
 
     def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        kept = F.substring(F.col("text"), (acc["at"] + 1).cast("int"),
-                           F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        kept = cut(acc["at"], F.greatest(s["start"] - acc["at"], F.lit(0)))
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"]).alias("out"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(kept, F.lit(mark))))
+            .otherwise(acc["out"]).alias("out"),
         )
 
     def finish(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+        return F.array_join(F.concat(acc["out"], F.array(cut(acc["at"], F.lit(2**31 - 1)))), "")
 
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", start, step, finish))
     out = found.withColumn("text", clean).drop("spans")

@@ -290,7 +290,35 @@ def test_trigram_queries_hold_for_every_match():
         assert bool(query) == (r.kind != "hex")
         for s in samples.get(r.kind, ()):
             assert any(all(t in s.lower() for t in clause) for clause in query), (r.kind, s)
-            assert any(n in s.lower() for n in secrets.needles(r.regex))
+
+
+
+def test_trigrams_are_found_in_any_case_and_place(spark):
+    grams = sorted({t for r in secrets.RULES for c in secrets.trigram_query(r.regex) for t in c})
+    some = grams + ["".join(random.Random(i).choices("ABab-_:/ ", k=40)) for i in range(50)] + ["://:// y-----", "", None]
+    docs = spark.createDataFrame(list(enumerate(x.title() if x else x for x in some)), "_row long, text string")
+    got = sorted(map(tuple, secrets.index(docs, grams).collect()))
+    assert got == sorted((i, g) for i, x in enumerate(some) for g in grams if x and g in x.lower())
+
+
+def test_lengths_in_patterns_keep_the_spans():
+    rnd = random.Random(4)
+    sized = [r for r in secrets.RULES if secrets._sized(r)]
+    assert {"access", "hex", "google"} <= {r.kind for r in sized}
+    for _ in range(2000):
+        text = "".join(rnd.choices(["AKIA", "AIza", "0af" * 7, "Z9", "f", " ", "-", "_", "aKIA"], k=30))
+        for r in sized:
+            want = [m.span() for m in re.finditer(r.regex, text) if len(m.group()) >= r.least]
+            assert [m.span() for m in re.finditer(secrets._sized(r), text)] == want
+
+
+def test_many_matches_and_rows_without_id(spark, tmp_path):
+    """Work follows the matches; rows without id are as apart as others."""
+    many = " ".join(f"fade token={'z' * (4 + i % 9)} {i:x}" for i in range(20_000)) + " " + "0af" * 12
+    rows = [(None, f"secret: abcdefgh{i}") for i in range(200)] + [(None, "clean"), (1, many), (2, many[:100])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((str(r["doc_id"]), r["spans"]) for r in secrets.query(spark, str(tmp_path)).collect())
+    assert got == sorted((str(d), spans_of(t, secrets.RULES)) for d, t in rows)
 
 
 def test_redaction(spark, odd):
