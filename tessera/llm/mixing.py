@@ -76,11 +76,13 @@ def mix(
     max_epochs: int = MAX_EPOCHS,
     seed: str = SEED,
     digits: int = DIGITS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+    """One row per document: doc_id, source, size, source_size, target, copies,
+    taken, and the columns ``carry``, which also order rows that are equal else."""
     sized = stage(
         docs.select(
-            "doc_id", "source",
+            "doc_id", "source", *carry,
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
                   .cast("binary")).alias("_key"),
@@ -116,7 +118,7 @@ def mix(
     ).drop("_source", "_b")
     # a document belongs to the fraction when its middle word does
     inside = (F.col("_before") < F.col("rest")) & (F.col("rest") < F.col("_after"))
-    along = Window.partitionBy("source", "_bucket").orderBy("_key", "size").rowsBetween(
+    along = Window.partitionBy("source", "_bucket").orderBy("_key", "size", *carry).rowsBetween(
         Window.unboundedPreceding, -1
     )
     far = rows.filter(~inside).withColumn("_extra", F.col("_after") <= F.col("rest"))
@@ -128,7 +130,7 @@ def mix(
     copies = F.least(F.col("whole") + F.col("_extra").cast("long"), F.lit(max_epochs).cast("long"))
     return far.unionByName(edge).select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        (copies * F.col("size")).alias("taken"), *carry,
     )
 
 
@@ -136,19 +138,13 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents' columns with each row as often as it is
     taken, plus ``copy`` (from 1; it replaces a column of that name). Documents the mix does not take are absent.
 
-    Rows are matched to their copies by id, source and size; rows equal in all
-    three that differ in copies get the larger number.
+    Rows are numbered and written once, so equal rows have copies of their own.
     """
-    counts = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_n"))
-    counts = counts.toDF("_id", "_source", "_size", "_n")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     inner, back = apart(docs, "doc_id", "text", "source")
-    joined = inner.withColumn("_words", size).join(
-        counts,
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")),
-    ).filter(F.col("_n") > 0)
+    inner = stage(inner.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
+    counts = mix(inner, carry=("_row",), **options).filter("copies > 0").select(
+        F.col("_row").alias("_at"), F.col("copies").alias("_n"))
+    joined = inner.join(counts, F.col("_row") == F.col("_at"))
     return back(joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))), "copy")
 
 

@@ -12,6 +12,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import (
@@ -405,6 +406,28 @@ def test_mix_targets_and_takings(spark, odd):
     assert {r["target"] for r in mixing.mix(odd.filter("doc_id between 200 and 202")).collect()} == {0.0}
 
 
+def test_mix_takes_equal_rows_one_by_one(spark):
+    rows = [(None, "two words", "en", "a", 9)] * 40
+    df = frame(spark, rows)
+    want = {r["source"]: r["n"] for r in mixing.mix(df).groupBy("source").agg(F.sum("copies").alias("n")).collect()}
+    got = mixing.repeated(df)
+    assert {r["source"]: r["count"] for r in got.groupBy("source").count().collect()} == want
+    assert want == {"a": 60} and got.columns == [c for c in df.columns if c != "copy"] + ["copy"]
+
+
+def test_toxic_examples_are_bounded_by_ids(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:2]
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, ids[0]).otherwise(ids[1]).cast("long").alias("doc_id"),
+        F.concat(F.lit("some words here "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(ids[0], 1, 1), (ids[1], 1, 0), (ids[1], 1, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = toxicity.Model.fit
+    monkeypatch.setattr(toxicity.Model, "fit", lambda self, v, *a: (seen.append(len(v)), fit(self, v, *a))[1])
+    toxicity.learn(docs, labels, max_rows=3)
+    assert seen == [2]
+
+
 def test_mix_repeats_rows(spark, odd):
     one = odd.filter("doc_id < 40")
     out = mixing.repeated(one)
