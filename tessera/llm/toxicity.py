@@ -188,7 +188,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: int =
     ).select("doc_id", F.col("toxic").cast("int").alias("toxic"),
              F.md5(F.col("doc_id").cast("string").cast("binary")).alias("_k"))
     chosen = stage(chosen.orderBy("_k", "doc_id", "toxic").limit(max_rows).drop("_k"), "toxic-sample")
-    texts = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-examples")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # one row of each sampled id: at most max_rows rows, however often ids repeat
+    own = F.struct(F.xxhash64("text", "toxic"), "toxic", "text")
+    texts = found.groupBy("doc_id").agg(F.min(own).alias("_row")).select("doc_id", "_row.text", "_row.toxic")
+    texts = stage(texts, "toxic-examples")
 
     def spread(batches):
         for batch in batches:
