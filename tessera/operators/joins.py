@@ -392,15 +392,27 @@ def _distinct_counts(
             .groupBy(*names, "_tag")
             .agg(F.count(F.lit(1)).alias("_cnt"))
         )
-    spread = values.groupBy(*vkeys).agg(F.count(F.lit(1)).alias("_nkeys")).select(
-        *[F.col(c).alias(f"_s{c}") for c in vkeys], "_nkeys"
+    # the least and the largest join key of a value tell single from shared; a
+    # value on many rows is collapsed before it is shuffled
+    ends = F.struct(*jnames)
+    lone = (
+        values.groupBy(*vkeys)
+        .agg(F.min(ends).alias("_lo"), F.max(ends).alias("_hi"))
+        .filter(F.col("_lo") == F.col("_hi"))
+        .select(F.col("_lo.*"), *vkeys)
+    )
+    # the other rows: those without a lone twin. Grouped by the whole row, so the
+    # rows of one value are spread however many there are
+    rest = (
+        values.withColumn("_lone", F.lit(0)).unionByName(lone.withColumn("_lone", F.lit(1)))
+        .groupBy(*jnames, *vkeys)
+        .agg(F.max("_lone").alias("_lone"))
+        .filter(F.col("_lone") == 0)
+        .select(*jnames, *vkeys)
     )
-    cond = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in vkeys])
-    marked = values.join(spread, cond).select(*jnames, *vkeys, "_nkeys")
 
     single = (
-        marked.filter(F.col("_nkeys") == 1)
-        .groupBy(*jnames, *sk, "_tag")
+        lone.groupBy(*jnames, *sk, "_tag")
         .agg(F.count(F.lit(1)).alias("_u"))
         .join(partners, on=jnames, how="inner")
         .select(*out_cols, "_tag", "_u")
@@ -408,9 +420,7 @@ def _distinct_counts(
         .agg(F.sum("_u").alias("_cnt"))
     )
     shared = (
-        marked.filter(F.col("_nkeys") > 1)
-        .select(*jnames, *vkeys)
-        .join(partners, on=jnames, how="inner")
+        rest.join(partners, on=jnames, how="inner")
         .select(*out_cols, "_tag", "_val")
         .distinct()
         .groupBy(*names, "_tag")

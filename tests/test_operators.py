@@ -319,3 +319,24 @@ def test_pair_counts_pass_13_digits(spark):
     assert big.select(exact_ratio(F.col("t"), F.col("n"), 2)).first()[0] == 0.5
     one = spark.range(1).select(F.lit("k").alias("name"))
     assert pair_stats(one, one, [("name", "name")]) == (1, 1, 1)
+
+
+def test_a_value_on_every_row_is_not_joined_with_itself(spark):
+    """One region on all rows, ids under one name and under several."""
+    from pyspark.sql import functions as F
+
+    left = spark.range(4000).select(
+        (F.col("id") % 700).cast("string").alias("name"), F.lit("EU").alias("region"),
+        F.when(F.col("id") % 9 == 0, "odd").otherwise(F.col("id").cast("string")).alias("pid"),
+        F.when(F.col("id") % 4 > 0, (F.col("id") % 3).cast("string")).alias("kind"))
+    right = spark.range(3000).select(
+        (F.col("id") % 900).cast("string").alias("name"), (F.col("id") % 8).cast("string").alias("tier"))
+    measures = [n("pairs"), cd("regions", "h.region"), cd("pids", "h.pid")]
+    keys = ["p.tier", "h.kind"]
+    got = blocked_join_aggregate(left, right, [("name", "name")], keys, measures, ("h", "p"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join " in line]
+    assert joins and not any("_val" in line for line in joins)
+    want = join_aggregate(left, right, [("name", "name")], keys, measures, ("h", "p"), strategy="direct")
+    norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    assert norm(got.collect()) == norm(want.collect())
