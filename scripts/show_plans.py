@@ -15,7 +15,8 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from tessera.plans import gold, pipeline  # noqa: E402
+from tessera.operators import shared_groups  # noqa: E402
+from tessera.plans import colocated, gold, pipeline  # noqa: E402
 from tessera.plans.bronze import bronze  # noqa: E402
 from tessera.session import build_session, fresh_path  # noqa: E402
 from tessera.sources import schemas  # noqa: E402
@@ -63,6 +64,15 @@ def main() -> None:
     plans["hot_key_client_portfolio_pair_free"] = blocked_join_aggregate(
         hot(silver["holdings"], "holding_id"), hot(silver["profiles"], "client_id"),
         spec.on, spec.keys, spec.measures, ("h", "p"), spec.order)
+    # the joins from sides stored for them, without broadcasts that hide it at this size
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    stored = colocated.write(spark, silver, root)
+    for spec in colocated.join_specs():
+        for strategy in ("direct", "blocked"):
+            plans[f"colocated_{spec.name}_{strategy}"] = gold.build(
+                spec.name, colocated.inputs(spark, spec.name, stored, silver), join_strategy=strategy)
+    plans["shared_kyc_tables"] = shared_groups.tables(
+        pipeline.silver_frames(spark, args.sf, ("kyc",))["kyc"], gold.undated("kyc"))
     for name, df in plans.items():
         qe = df._jdf.queryExecution()
         qe.executedPlan().executeCollect()  # run this plan itself, so AQE finalises it

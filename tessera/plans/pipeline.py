@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import quality, shared_groups
-from tessera.plans import gold, silver
+from tessera.plans import colocated, gold, silver
 from tessera.plans.bronze import bronze
 from tessera.plans.silver import AsOf
 
@@ -47,6 +47,18 @@ def gold_table(
     return gold.build(name, silver_frames(spark, sf_dir, spec.inputs, as_of), ordered)
 
 
+def colocated_gold_table(
+    spark: SparkSession, sf_dir: str, name: str, root: str, as_of: AsOf = None
+) -> DataFrame:
+    """A join table from sides that were written for the join under ``root``."""
+    frames = silver_frames(spark, sf_dir, gold.SPECS[name].inputs, as_of)
+    for t, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{root}/silver/{t}")
+        frames[t] = spark.read.parquet(f"{root}/silver/{t}")
+    stored = colocated.write(spark, frames, root, [name])
+    return gold.build(name, colocated.inputs(spark, name, stored, frames))
+
+
 def shared_gold_table(spark: SparkSession, sf_dir: str, name: str, as_of: AsOf = None) -> DataFrame:
     """A gold table out of the one pass that makes all tables of its input that
     are not keyed by date."""
@@ -127,10 +139,14 @@ def run_batch(
         paths.update(built)
     silver_read = {t: spark.read.parquet(paths[f"silver_{t}"]) for t in tables}
 
+    # the sides of the many-to-many joins, co-located once for all of them
+    stored = colocated.write(spark, silver_read, out_root, gold_names)
+
     def gold_job(name: str):
         def build() -> str:
             gpath = f"{out_root}/gold/{name}"
-            gold.build(name, silver_read).write.mode("overwrite").parquet(gpath)
+            frames = colocated.inputs(spark, name, stored, silver_read)
+            gold.build(name, frames).write.mode("overwrite").parquet(gpath)
             return gpath
         return build
 
