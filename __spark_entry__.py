@@ -12,6 +12,7 @@ are a pure function of each row's key, and the streaming queries run with
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tessera import oracle  # noqa: E402
-from tessera.functions import buckets  # noqa: E402
+from tessera.functions import buckets, columns  # noqa: E402
 from tessera.operators import quality  # noqa: E402
 from tessera.operators.share import with_share  # noqa: E402
 from tessera.plans import colocated, gold, pipeline  # noqa: E402
@@ -32,16 +33,21 @@ from tessera.sources import files, schemas  # noqa: E402
 from tessera.sources.tables import read_table  # noqa: E402
 from tessera.streaming import kyc_stream, purchase_stream  # noqa: E402
 
+def _optional(name: str):
+    """A module that may have been left out, with what it needs of the library;
+    None then. Anything else that fails to import is an error."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name in ("tessera.llm", "tessera.llm.registry", "corpus_pipeline"):
+            return None
+        raise
+
+
 # The training-data operators are an optional part: without them the queries
 # below still work.
-try:
-    from tessera.llm import registry as _llm
-except ImportError:
-    _llm = None
-try:
-    import corpus_pipeline as _corpus
-except ImportError:
-    _corpus = None
+_llm = _optional("tessera.llm.registry")
+_corpus = _optional("corpus_pipeline")
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 BATCH_AS_OF = oracle.BATCH_AS_OF
@@ -143,6 +149,83 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 """
 
 
+# Segment texts of customers, in the cases of letters the bucket patterns allow.
+SEGMENTS = (
+    "High Tech Growth Manager, Individual", "corporate finance, value, consultant@firm", "Health plan, retired, Joint",
+    "energy income manager", "united growth, Joint corporate", "retail", "Consultant in tech value, individual@home",
+)
+
+
+def _bucketed_texts(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ6: every substring bucket over a text of each customer."""
+    c = read_table(spark, d, "customer", ["c_custkey"])
+    texts = F.array(*[F.lit(t) for t in SEGMENTS])
+    c = c.withColumn("t", F.when(F.col("c_custkey") % 10 < 9, F.get(texts, (F.col("c_custkey") % 7).cast("int"))))
+    named = {
+        "sector": buckets.SECTOR, "region": buckets.REGION, "currency": buckets.CURRENCY,
+        "investment_strategy": buckets.INVESTMENT_STRATEGY, "employment_status": buckets.EMPLOYMENT_STATUS,
+        "account_type": buckets.ACCOUNT_TYPE_STREAM,
+    }
+    return c.select("c_custkey", *[buckets.regex_bucket("t", *b).alias(name) for name, b in named.items()])
+
+
+# Written out by hand, not from the library's tables.
+BUCKETED_TEXTS_SQL = """
+WITH t AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 10 < 9 THEN CASE c_custkey % 7
+    WHEN 0 THEN 'High Tech Growth Manager, Individual' WHEN 1 THEN 'corporate finance, value, consultant@firm'
+    WHEN 2 THEN 'Health plan, retired, Joint' WHEN 3 THEN 'energy income manager'
+    WHEN 4 THEN 'united growth, Joint corporate' WHEN 5 THEN 'retail'
+    ELSE 'Consultant in tech value, individual@home' END END AS t
+  FROM customer)
+SELECT c_custkey,
+  CASE WHEN t LIKE '%Tech%' OR t LIKE '%tech%' THEN 'Technology'
+       WHEN t LIKE '%Finance%' OR t LIKE '%finance%' THEN 'Financial Services'
+       WHEN t LIKE '%Health%' OR t LIKE '%health%' THEN 'Healthcare'
+       WHEN t LIKE '%Energy%' OR t LIKE '%energy%' THEN 'Energy' ELSE 'Consumer Goods' END AS sector,
+  CASE WHEN t LIKE '%United%' OR t LIKE '%united%' THEN 'North America'
+       WHEN t LIKE '%Germany%' OR t LIKE '%germany%' THEN 'Europe'
+       WHEN t LIKE '%Japan%' OR t LIKE '%japan%' THEN 'Asia' ELSE 'Other' END AS region,
+  CASE WHEN t LIKE '%@%' THEN 'USD' ELSE 'EUR' END AS currency,
+  CASE WHEN t LIKE '%Growth%' OR t LIKE '%growth%' THEN 'Growth' WHEN t LIKE '%Value%' OR t LIKE '%value%' THEN 'Value'
+       WHEN t LIKE '%Income%' OR t LIKE '%income%' THEN 'Income' ELSE 'Balanced' END AS investment_strategy,
+  CASE WHEN t LIKE '%Manager%' OR t LIKE '%manager%' THEN 'Employed'
+       WHEN t LIKE '%Consultant%' OR t LIKE '%consultant%' THEN 'Self-Employed'
+       WHEN t LIKE '%Retired%' OR t LIKE '%retired%' THEN 'Retired' ELSE 'Unemployed' END AS employment_status,
+  CASE WHEN t LIKE '%Individual%' OR t LIKE '%individual%' THEN 'Individual'
+       WHEN t LIKE '%Joint%' OR t LIKE '%joint%' THEN 'Joint'
+       WHEN t LIKE '%Corporate%' OR t LIKE '%corporate%' THEN 'Corporate' ELSE 'Trust' END AS account_type
+FROM t
+"""
+
+
+def _text_codes(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ3: modulo codes of order numbers kept as text, some negative, some no
+    number and some beyond an int."""
+    o = read_table(spark, d, "orders", ["o_orderkey"])
+    key = F.col("o_orderkey")
+    text = F.when(key % 11 == 0, "n/a").when(key % 13 == 0, F.concat(key.cast("string"), F.lit("0000000000"))).when(
+        key % 7 == 0, F.concat(F.lit("-"), key.cast("string"))).otherwise(key.cast("string"))
+    codes = {
+        "account_id": (1000, 1000), "portfolio_id": (500, 500), "age": (50, 25), "risk_rating": (3, 1),
+        "experience_years": (30, 1), "volume": (10**7, 10**5), "market_cap": (10**12, 10**9),
+    }
+    return o.withColumn("t", text).select(
+        "o_orderkey", *[columns.modulo_code("t", n, k).alias(name) for name, (n, k) in codes.items()])
+
+
+# Written out by hand.
+TEXT_CODES_SQL = """
+WITH t AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL
+                          ELSE CAST(o_orderkey AS BIGINT) END AS v FROM orders)
+SELECT o_orderkey, v % 1000 + 1000 AS account_id, v % 500 + 500 AS portfolio_id, v % 50 + 25 AS age,
+       v % 3 + 1 AS risk_rating, v % 30 + 1 AS experience_years, v % 10000000 + 100000 AS volume,
+       v % 1000000000000 + 1000000000 AS market_cap
+FROM t
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for t in TABLES:
@@ -188,6 +271,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["text_ingest_csv"] = _text_ingest("csv")
     q["text_ingest_json"] = _text_ingest("json")
     q["bucketed_nations"] = _bucketed_nations
+    q["bucketed_texts"] = _bucketed_texts
+    q["text_codes"] = _text_codes
     q["stream_hourly_kyc"] = lambda spark, d: kyc_stream.run_hourly(spark, d)
     if _llm is not None:
         q.update(_llm.QUERIES)
@@ -235,6 +320,8 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({oracle.bronze_sql('kyc', faults=False)}) b"
         )
     s["bucketed_nations"] = BUCKETED_NATIONS_SQL
+    s["bucketed_texts"] = BUCKETED_TEXTS_SQL
+    s["text_codes"] = TEXT_CODES_SQL
     s["stream_hourly_kyc"] = oracle.hourly_sql()
     if _llm is not None:
         s.update(_llm.SQL)

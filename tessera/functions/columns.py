@@ -53,3 +53,10 @@ def processing_parts(ts: str = "processing_timestamp", date_as_string: bool = Tr
         "processing_month": F.month(t),
         "processing_year": F.year(t),
     }
+
+
+def modulo_code(text: Column | str, n: int, k: int = 0) -> Column:
+    """PRJ3: ``abs(whole number in the text) % n + k``; NULL where the text holds
+    no number of an int's range. Widened first: the least int has no int abs."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.abs(c.try_cast("int").cast("bigint")) % F.lit(n).cast("bigint") + F.lit(k).cast("bigint")

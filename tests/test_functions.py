@@ -92,3 +92,11 @@ def test_substring_bucket_first_match_wins(spark):
     text = ["FinTech Health", "Green Energy", "my finance", None]
     assert _apply(spark, text, "string", lambda c: regex_bucket(c, *B.SECTOR)) == [
         "Technology", "Energy", "Financial Services", "Consumer Goods"]
+
+
+def test_modulo_codes_of_texts(spark):
+    from tessera.functions.columns import modulo_code
+
+    rows = [("7",), ("-7",), (" 8 ",), ("n/a",), ("",), (None,), ("99999999999",), ("-2147483648",)]
+    got = spark.createDataFrame(rows, "t string").select(modulo_code("t", 5, 10).alias("c")).collect()
+    assert [r.c for r in got] == [12, 12, 13, None, None, None, None, 2147483648 % 5 + 10]
