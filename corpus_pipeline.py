@@ -58,8 +58,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
+# Texts go to Python in small batches: a worker, and the buffers on both sides of
+# it, live through all stages and keep the size of the largest batch.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    rows = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, "1000")
+    try:  # every stage is written before the next one begins
+        for name, step in STAGES:
+            docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
     return docs
