@@ -261,9 +261,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for spec in gold.undated(feed):
             q[f"stream_gold_merged_{spec.name}"] = lambda spark, d, run=run, name=spec.name: run(spark, d, name)
     for spec in gold.undated("kyc"):
-        q[f"gold_shared_{spec.name}"] = lambda spark, d, name=spec.name: pipeline.shared_gold_table(spark, d, name)
+        q[f"shared_gold_{spec.name}"] = lambda spark, d, name=spec.name: pipeline.shared_gold_table(spark, d, name)
     for spec in colocated.join_specs():
-        q[f"gold_colocated_{spec.name}"] = lambda spark, d, name=spec.name: pipeline.colocated_gold_table(
+        q[f"colocated_gold_{spec.name}"] = lambda spark, d, name=spec.name: pipeline.colocated_gold_table(
             spark, d, name, fresh_path(spark, "colocated"), BATCH_AS_OF)
     q["stream_event_time_kyc"] = lambda spark, d: kyc_stream.run_event_time(spark, d)
     q["stream_quarantine_kyc"] = lambda spark, d: _rule_text(kyc_stream.run_rejected(spark, d))
@@ -308,9 +308,9 @@ def oracle_sql() -> dict[str, str]:
         for spec in gold.undated(feed):
             s[f"stream_gold_merged_{spec.name}"] = oracle.gold_sql(spec.name)
     for spec in gold.undated("kyc"):
-        s[f"gold_shared_{spec.name}"] = oracle.gold_sql(spec.name)
+        s[f"shared_gold_{spec.name}"] = oracle.gold_sql(spec.name)
     for spec in colocated.join_specs():
-        s[f"gold_colocated_{spec.name}"] = oracle.gold_sql(spec.name)
+        s[f"colocated_gold_{spec.name}"] = oracle.gold_sql(spec.name)
     s["stream_event_time_kyc"] = oracle.hourly_sql()
     s["stream_quarantine_kyc"] = oracle.quarantine_sql("kyc")
     s["stream_counters_kyc"] = f"SELECT * FROM ({oracle.quality_report_sql()}) q WHERE table_name = 'kyc'"

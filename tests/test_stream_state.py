@@ -224,6 +224,6 @@ def test_new_hours_extend_the_windows(spark, tmp_path):
 
 
 def test_new_queries_have_sql():
-    names = [n for n in entry.queries() if n.startswith(("stream_gold_merged_", "gold_shared_"))]
+    names = [n for n in entry.queries() if n.startswith(("stream_gold_merged_", "shared_gold_"))]
     assert len(names) == 14 and set(names) <= set(entry.oracle_sql())
     assert schemas.KYC is not None
