@@ -1,27 +1,34 @@
 """Toxicity by the nearest labelled examples.
 
-Terms: a word in lower case, stripped of ASCII punctuation at both ends. On a bounded sample
-of labelled rows (held-out rows excluded), terms that come with label 1 far
-more often than chance allows are the vocabulary (a G-test against the number
-of terms tried); idf is taken over all documents. Texts are TF-IDF vectors over
-the vocabulary; a document's score comes from its ``k`` nearest examples by
-exact cosine, each voting with its similarity squared, against the rate of
-label 1 among examples without any vocabulary term. Examples as near as the
-k-th all vote, so ids never decide. Votes are calibrated by an isotonic fit of
-the examples' own leave-one-out votes.
-
-Search: examples with terms are laid out in blocks; the inverted index holds
-per term its postings by block and the largest weight in each block. A query
-adds up its terms' block maxima, opens blocks from the highest bound down and
-stops when the bound is below the k-th similarity found, which is exact.
-Equal vectors are searched once for each batch of documents.
-
-Index, vocabulary and calibration are bounded by the sample (``max_rows``) and
-broadcast; documents are scored where they are read, without shuffle.
-
-Defined cases: null or empty texts have no term and get the rate of such
-examples; without labels that rate is 0.5 smoothed; rows without label are not
-learnt from; repeated ids are scored row by row.
+Terms: a word in lower case, stripped of ASCII punctuation at both ends. Texts are
+TF-IDF vectors over all terms of a bounded sample of labelled rows (held-out rows
+excluded); idf is taken over all documents. A term that comes with one label more
+often than with the other weighs more: by the part of its log odds ratio that lies
+beyond two standard errors, for either label. No term is dropped, and every text
+that has one of them is searched.
+
+A document's score comes from its ``k`` nearest examples by exact cosine, each
+voting with its similarity squared, against the rate of label 1. Examples as near as
+the k-th all vote, so ids never decide. Votes are calibrated by an isotonic fit of
+the examples' own leave-one-out votes, which Spark's tasks find.
+
+Search: examples are laid out in blocks of like ones (halved along the widest
+direction of a sketch); the inverted index holds per term its postings by block and
+the largest weight in each block (very frequent terms have a plain row of weights per
+block instead of postings). A query adds up its terms' block maxima, opens
+blocks from the highest bound down and stops when the bound is below the k-th
+similarity found, which is exact. Equal texts are searched once a batch.
+
+Index and vocabulary are bounded by the sample (``max_rows`` rows, smallest md5 of the
+id first, up to ``max_postings`` distinct terms summed over rows; texts are whole) and
+broadcast; documents are scored where they are read, without shuffle. Counting idf
+moves one row per task and term.
+
+Defined cases: null or empty texts have no term and get the rate of such examples,
+with one row's weight of the rate of all; texts that share no term with any example
+get the rate of all; without labels that rate is 0.5; rows without label are not
+learnt from; repeated ids are scored row by row, and one row of each is learnt from;
+ids may be of any type.
 """
 
 from __future__ import annotations
@@ -36,74 +43,125 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import crc_mod, share, stage, table
 
-MAX_ROWS = 20_000
+MAX_ROWS = 4_000
+MAX_POSTINGS = 4_000_000
 K = 15
-BLOCK = 64
+BLOCK = 1024
+OFTEN = 8        # a term of every 8th example or more has a row of weights instead of postings
 THRESHOLD = 0.5
-RARE = 4
-LIFT = 2.0   # a vocabulary term at least so many times likelier under label 1
+WEIGHT = 5.0     # weight of a term's sure log odds ratio beside its idf
+SHRINK = 0.1     # weight of the rate of label 1 in a vote
 _EDGE = string.punctuation.encode()
 
 
-def _words(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").split() if text else []
-
-
 def terms(text: str | None) -> Counter:
-    out = Counter(w.strip(_EDGE) for w in _words(text))
+    words = text.lower().encode("utf-8", "surrogatepass").split() if text else []
+    out: Counter = Counter()
+    for w, n in Counter(words).items():
+        out[w.strip(_EDGE)] += n
     out.pop(b"", None)
     return out
 
 
+def _spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All positions of the spans, one span after another."""
+    n = end - start
+    return np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
+def _alike(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int, size: int, block: int) -> np.ndarray:
+    """An order of rows in which each run of ``block`` rows is of like ones."""
+    rnd = np.random.default_rng(7)
+    lane, sign = rnd.integers(0, 32, size), rnd.choice([-1.0, 1.0], size)
+    sketch = np.bincount(rows * 32 + lane[cols], vals * sign[cols], n * 32).reshape(n, 32)
+    out, waiting = [], [np.arange(n)]
+    while waiting:
+        part = waiting.pop()
+        if len(part) <= block:
+            out.append(part)
+            continue
+        x = sketch[part] - sketch[part].mean(0)
+        axis = np.linalg.eigh(x.T @ x)[1][:, -1]
+        half = -(-len(part) // (2 * block)) * block   # whole blocks
+        order = np.argsort(x @ axis, kind="stable")
+        waiting += [part[order[half:]], part[order[:half]]]
+    return np.concatenate(out) if out else np.empty(0, int)
+
+
 class Index:
     """Block-max inverted index over unit vectors."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray,
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids,
                  size: int, block: int = BLOCK):
-        # like examples lie together: by heaviest term, then by terms
-        order = sorted(range(len(vectors)), key=lambda i: (
-            vectors[i][0][vectors[i][1].argmax()], vectors[i][0].tolist(), vectors[i][1].tolist()))
-        self.labels, self.ids, self.block = labels[order], ids[order], block
-        self.blocks = -(-len(order) // block)
-        rows = np.concatenate([np.full(len(vectors[i][0]), r) for r, i in enumerate(order)] or [np.empty(0, int)])
-        cols = np.concatenate([vectors[i][0] for i in order] or [np.empty(0, int)])
-        vals = np.concatenate([vectors[i][1] for i in order] or [np.empty(0)])
+        n = len(vectors)
+        rows = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
+        cols = np.concatenate([t for t, _ in vectors] or [np.empty(0)]).astype(np.int64)
+        vals = np.concatenate([w for _, w in vectors] or [np.empty(0)]).astype(float)
+        order = _alike(rows, cols, vals, n, size, block)
+        self.labels, self.ids, self.block = labels[order], [ids[i] for i in order], block
+        self.rows, self.blocks = n, -(-n // block)
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        rows = place[rows]
+        # terms of every OFTEN-th example or more: a matrix (block, term, row) of their weights
+        often = np.bincount(cols, minlength=size) >= max(n / OFTEN, 1)
+        self.often = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        self.dense = np.zeros((self.blocks, int(often.sum()), block))
+        many = often[cols]
+        self.dense[rows[many] // block, self.often[cols[many]], rows[many] % block] = vals[many]
+        self.peak = self.dense.max(axis=2, initial=0.0).T
+        rows, cols, vals = rows[~many], cols[~many], vals[~many]
         by = np.lexsort((rows, cols))
-        self.row, self.val = rows[by].astype(np.int64), vals[by]
-        # where the postings of (term, block) start
-        cell = cols[by].astype(np.int64) * self.blocks + self.row // block
-        self.at = np.searchsorted(cell, np.arange(size * self.blocks + 1))
-        self.most = np.zeros(size * self.blocks)
-        np.maximum.at(self.most, cell, self.val)
-        self.most = self.most.reshape(size, self.blocks) if self.blocks else np.zeros((size, 0))
+        rows, cols = rows[by], cols[by]
+        self.row, self.val = (rows % block).astype(np.int32), vals[by]   # row: place in its block
+        # cells of (term, block) that have postings: where these start, and the largest weight
+        cell = cols * max(self.blocks, 1) + rows // block
+        start = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.start = np.append(start, len(cell))
+        self.most = np.maximum.reduceat(self.val, start) if len(start) else np.empty(0)
+        self.cell_block = (cell[start] % max(self.blocks, 1)).astype(np.int32)
+        self.cells = np.searchsorted(cell[start] // max(self.blocks, 1), np.arange(size + 1))
 
     def near(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(rows, similarities) of the k nearest examples and all as near as
         the k-th, most similar first; ``skip`` is left out."""
-        bound = w @ self.most[t]
-        rows, sims, kth = [], [], 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-12:
+        if not len(t) or not self.rows:
+            return np.empty(0, int), np.empty(0)
+        place = self.often[t]
+        many, heavy = place[place >= 0], w[place >= 0]
+        t, w = t[place < 0], w[place < 0]
+        cells = _spans(self.cells[t], self.cells[t + 1])
+        weight = np.repeat(w, self.cells[t + 1] - self.cells[t])
+        by = np.argsort(self.cell_block[cells], kind="stable")
+        cells, weight = cells[by], weight[by]
+        block = self.cell_block[cells]
+        bound = np.bincount(block, weight * self.most[cells], self.blocks) + heavy @ self.peak[many]
+        at = np.searchsorted(block, np.arange(self.blocks + 1))
+        best = np.zeros(k)   # the k highest similarities so far
+        rows, sims = [], []
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or bound[b] < best[0] - 1e-12:
                 break
-            got = np.zeros(self.block)
-            for term, weight in zip(t, w):
-                a, z = self.at[term * self.blocks + b], self.at[term * self.blocks + b + 1]
-                got[self.row[a:z] - b * self.block] += weight * self.val[a:z]
+            mine = cells[at[b] : at[b + 1]]
+            a, z = self.start[mine], self.start[mine + 1]
+            here = _spans(a, z)
+            got = np.bincount(self.row[here], np.repeat(weight[at[b] : at[b + 1]], z - a) * self.val[here], self.block)
+            got = got + heavy @ self.dense[b][many]
             if b == skip // self.block and skip >= 0:
-                got[skip % self.block] = 0
-            hit = np.flatnonzero((got > 0) & (got >= kth - 1e-12))
-            rows.append(hit + b * self.block)
-            sims.append(got[hit])
-            if sum(map(len, sims)) >= k:
-                r, s = np.concatenate(rows), np.concatenate(sims)
-                kth = np.partition(s, len(s) - k)[len(s) - k]
-                keep = s >= kth - 1e-12
-                rows, sims = [r[keep]], [s[keep]]
+                got[skip % self.block] = 0.0
+            hit = np.flatnonzero((got > 0) & (got >= best[0] - 1e-12))
+            if len(hit):
+                rows.append(hit + b * self.block)
+                sims.append(got[hit])
+                best = np.concatenate([best, got[hit]])
+                best = np.partition(best, len(best) - k)[-k:]
         if not rows:
             return np.empty(0, int), np.empty(0)
-        r, s = np.concatenate(rows), np.concatenate(sims)
-        order = np.lexsort((r, -np.round(s, 12)))
-        return r[order], s[order]
+        found, near = np.concatenate(rows), np.concatenate(sims)
+        keep = near >= best[0] - 1e-12
+        found, near = found[keep], near[keep]
+        order = np.lexsort((found, -np.round(near, 12)))
+        return found[order], near[order]
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,171 +184,177 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Vocabulary, idf, index and calibration."""
+    """Vocabulary, term weights and index; the calibration curve goes beside it."""
 
-    def __init__(self, vocabulary: dict[bytes, int], idf: np.ndarray, k: int = K):
-        self.vocabulary, self.idf, self.k = vocabulary, idf, k
-        self.prior, self.index, self.curve = 0.5, None, (np.empty(0), np.empty(0))
+    def __init__(self, vocabulary: dict[bytes, int], weights: np.ndarray, k: int = K):
+        self.vocabulary, self.weights, self.k = vocabulary, weights, k
+        self.rate, self.prior, self.index = 0.5, 0.5, None
 
-    def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        """(term, count) of a text's vocabulary terms, by term."""
+    def unit(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of a text over the vocabulary."""
         v = self.vocabulary
-        found = Counter()
-        for w in _words(text):
-            w = w.strip(_EDGE)
-            if w in v:
-                found[v[w]] += 1
-        return tuple(sorted(found.items()))
-
-    def unit(self, vector: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array([a for a, _ in vector], int)
-        w = (1 + np.log([c for _, c in vector])) * self.idf[t]
-        return t, w / np.linalg.norm(w)
-
-    def fit(self, vectors: list, labels: np.ndarray, ids: np.ndarray) -> None:
-        empty = np.array([not v for v in vectors], bool)
-        self.prior = (labels[empty].sum() + 0.5) / (empty.sum() + 1)
+        found = [(v[w], n) for w, n in terms(text).items() if w in v]
+        return self.scaled(np.array([t for t, _ in found], int), np.array([n for _, n in found], float))
+
+    def scaled(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n)) * self.weights[t]
+        return (t, w / np.linalg.norm(w)) if len(t) else (t, w)
+
+    def fit(self, vectors: list, labels: np.ndarray, ids) -> None:
+        """``vectors``: (terms, counts) of the examples."""
+        empty = np.array([not len(t) for t, _ in vectors], bool)
+        self.rate = float((labels.sum() + 0.5) / (len(labels) + 1))
+        self.prior = float((labels[empty].sum() + self.rate) / (empty.sum() + 1))
         held = np.flatnonzero(~empty)
-        if not len(held):
-            return
-        self.index = Index([self.unit(vectors[i]) for i in held], labels[held], ids[held], len(self.idf))
-        # leave-one-out votes of the examples: equal vectors share one search
-        of = {ident: vectors[i] for ident, i in zip(range(len(held)), held)}
-        place = {}
-        for r in range(len(held)):
-            place.setdefault(int(self.index.ids[r]), []).append(r)
-        votes = []
-        for j, i in enumerate(held):
-            t, w = self.unit(of[j])
-            votes.append(self._vote(*self.index.near(t, w, self.k, place[int(ids[i])][0])))
-        self.curve = _isotonic(np.array(votes), labels[held])
-
-    def _vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
+        if len(held):
+            self.index = Index([self.scaled(*vectors[i]) for i in held], labels[held],
+                               [ids[i] for i in held], len(self.weights))
+
+    def vote(self, text: str | None, skip: int = -1) -> tuple[float | None, list]:
+        """Vote, and the nearest examples as (doc_id, similarity, label); None
+        for a text without any term or without an example to compare with."""
+        if self.index is None or not text:
+            return None, []
+        t, w = self.unit(text)
+        rows, sims = self.index.near(t, w, self.k, skip)
+        if not len(rows):
+            return (self.rate if terms(text) else None), []
         weight = sims**2
-        return float((weight @ self.index.labels[rows] + self.prior) / (weight.sum() + 1)) if len(rows) else self.prior
+        vote = (weight @ self.index.labels[rows] + SHRINK * self.rate) / (weight.sum() + SHRINK)
+        return float(vote), [(self.index.ids[r], float(s), int(self.index.labels[r]))
+                             for r, s in zip(rows[: self.k], sims)]
 
-    def score(self, vector: tuple) -> tuple[float, list]:
-        """Score and the nearest examples as (doc_id, similarity, label)."""
-        if not vector or self.index is None:
-            return self.prior, []
-        rows, sims = self.index.near(*self.unit(vector), self.k)
-        if not len(rows):
+    def score(self, text: str | None, curve: tuple[np.ndarray, np.ndarray]) -> tuple[float, list]:
+        vote, shown = self.vote(text)
+        if vote is None:
             return self.prior, []
-        vote = self._vote(rows, sims)
-        score = float(np.interp(vote, *self.curve))
-        shown = [(int(self.index.ids[r]), float(s), int(self.index.labels[r])) for r, s in zip(rows[: self.k], sims)]
-        return min(max(score, 0.0), 1.0), shown
+        if not shown or not len(curve[0]):
+            return vote, shown
+        return min(max(float(np.interp(vote, *curve)), 0.0), 1.0), shown
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: int = K) -> Model:
+def _weights(df: np.ndarray, hit: np.ndarray, n: int, pos: int) -> np.ndarray:
+    """1, and more for terms whose odds under one label surely exceed those under the other."""
+    a, b, c, d = hit + 0.5, df - hit + 0.5, pos - hit + 0.5, (n - pos) - (df - hit) + 0.5
+    return 1 + WEIGHT * np.maximum(np.abs(np.log(a * d / (b * c))) - 2 * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d), 0)
+
+
+def _examples(docs: DataFrame, labels: DataFrame, max_rows: int, max_postings: int) -> DataFrame:
+    """doc_id, text, toxic of the sample: at most max_rows rows."""
     chosen = labels.filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (crc_mod("doc_id", 5) != 0)
     ).select("doc_id", F.col("toxic").cast("int").alias("toxic"),
              F.md5(F.col("doc_id").cast("string").cast("binary")).alias("_k"))
-    chosen = stage(chosen.orderBy("_k", "doc_id", "toxic").limit(max_rows).drop("_k"), "toxic-sample")
+    chosen = stage(chosen.orderBy("_k", "doc_id", "toxic").limit(max_rows), "toxic-sample")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    # one row of each sampled id: at most max_rows rows, however often ids repeat
+    # one row of each sampled id, however often ids repeat
     own = F.struct(F.xxhash64("text", "toxic"), "toxic", "text")
-    texts = found.groupBy("doc_id").agg(F.min(own).alias("_row")).select("doc_id", "_row.text", "_row.toxic")
-    texts = stage(texts, "toxic-examples")
+    texts = found.groupBy("doc_id", "_k").agg(F.min(own).alias("_row"))
+    texts = stage(texts.select("doc_id", "_k", "_row.text", "_row.toxic"), "toxic-examples")
 
-    def spread(batches):
+    def sizes(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sets = [terms(t) for t in part.column("text").to_pylist()]
-                y = np.repeat(part.column("toxic").to_numpy(), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for s in sets for w in s], pa.binary()), pa.array(y, pa.int32())],
-                    names=["term", "toxic"],
-                )
+            n = [len(terms(t.as_py())) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("_k"), pa.array(n, pa.int64())], names=["_k", "n"])
+
+    rows = sorted(map(tuple, texts.mapInArrow(sizes, "_k string, n long").collect()))
+    if rows:
+        last = max(int(np.searchsorted(np.cumsum([n for _, n in rows]), max_postings, "right")), 1)
+        texts = texts.filter(F.col("_k") <= rows[min(last, len(rows)) - 1][0])
+    return texts.select("doc_id", "text", "toxic")
 
-    counts = texts.mapInArrow(spread, "term binary, toxic int").groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("toxic").alias("hit")
-    )
-    counts = stage(counts, "toxic-terms")
-    n, pos = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    tried = counts.filter(F.col("df") >= RARE).count()  # rarer terms cannot pass the test
-    vocabulary: dict[bytes, int] = {}
-    if 0 < pos < n:
-        # G = 2 sum of observed * ln(observed / expected) over the four cells
-        def cell(seen, expected):
-            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-        p = pos / n
-        df, hit = F.col("df").cast("double"), F.col("hit").cast("double")
-        g = 2 * (
-            cell(hit, df * p) + cell(df - hit, df * (1 - p))
-            + cell(pos - hit, (n - df) * p) + cell((n - pos) - (df - hit), (n - df) * (1 - p))
-        )
-        # terms that pass are bounded by the sample's label-1 words
-        passed = counts.filter((F.col("df") >= RARE) & (g >= 2 * np.log(tried + 1) + 4) & (hit >= LIFT * p * df)).select("term")
-        vocabulary = {w: i for i, w in enumerate(sorted(bytes(r["term"]) for r in passed.collect()))}
-    model = Model(vocabulary, np.ones(len(vocabulary)), k)
-    if vocabulary:
-        shared = share(docs.sparkSession, model)
-
-        def frequency(batches):
-            vector = (model := shared()).vector
-            df, total = np.zeros(len(model.vocabulary), np.int64), 0
-            for batch in batches:
-                total += batch.num_rows
-                for at in range(0, batch.num_rows, 500):
-                    for t in batch.slice(at, 500).column("text").to_pylist():
-                        for j, _ in vector(t):
-                            df[j] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(-1, len(df))), pa.array(np.append(total, df))], names=["term", "n"])
-
-        got = dict(docs.select("text").mapInArrow(frequency, "term long, n long")
-                   .groupBy("term").agg(F.sum("n")).collect())
-        total = got.pop(-1)
-        df = np.array([got[j] for j in range(len(vocabulary))])
-        model.idf = np.log((1 + total) / (1 + df)) + 1
-    shared = share(docs.sparkSession, model)
+
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: int = K,
+          max_postings: int = MAX_POSTINGS) -> tuple:
+    """Function that gives tasks the model, and the calibration curve."""
+    spark = docs.sparkSession
+    texts = _examples(docs, labels, max_rows, max_postings)
 
     def vectors(batches):
-        vector = shared().vector
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                got = [vector(t) for t in part.column("text").to_pylist()]
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                found = [terms(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("toxic"),
-                     pa.array([[x for p in v for x in p] for v in got], pa.list_(pa.int32()))],
-                    names=["doc_id", "toxic", "vector"],
-                )
-
-    # vectors of at most max_rows examples
-    rows = sorted(map(tuple, texts.mapInArrow(vectors, "doc_id long, toxic int, vector array<int>").collect()))
-    model.fit([tuple(zip(v[::2], v[1::2])) for _, _, v in rows],
-              np.array([y for _, y, _ in rows], float), np.array([d for d, _, _ in rows], np.int64))
-    return model
-
+                    [part.column("doc_id"), part.column("toxic"),
+                     pa.array([list(f) for f in found], pa.list_(pa.binary())),
+                     pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                    names=["doc_id", "toxic", "terms", "counts"])
+
+    shape = texts.select("doc_id", "toxic", F.array().cast("array<binary>").alias("terms"),
+                         F.array().cast("array<int>").alias("counts")).schema
+    # bounded by max_rows and max_postings
+    got = texts.mapInArrow(vectors, shape).toArrow().combine_chunks()
+    ids, y = got.column("doc_id").to_pylist(), got.column("toxic").to_numpy().astype(float)
+    of_rows = [pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
+               for c in (got.column("terms"), got.column("counts"))]
+    ends = np.cumsum([0, *of_rows[0].value_lengths().to_pylist()])
+    coded, counts = of_rows[0].flatten().dictionary_encode(), of_rows[1].flatten().to_numpy()
+    cols = coded.indices.to_numpy().astype(np.int64)
+    model = Model({w: i for i, w in enumerate(coded.dictionary.to_pylist())}, np.empty(0), k)
+    size = len(model.vocabulary)
+    known = share(spark, model.vocabulary)
+
+    def frequency(batches):
+        vocabulary = known()
+        df, total = np.zeros(len(vocabulary), np.int64), 0
+        for batch in batches:
+            total += batch.num_rows
+            for at in range(0, batch.num_rows, 500):
+                for t in batch.slice(at, 500).column("text").to_pylist():
+                    df[[vocabulary[w] for w in terms(t) if w in vocabulary]] += 1
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(seen, -1)), pa.array(np.append(df[seen], total))], names=["term", "n"])
+
+    every = docs.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    every = every.toArrow()
+    term, n = (every.column(c).to_numpy() for c in ("term", "n"))
+    total, df = n[term < 0].sum(), np.zeros(size)
+    df[term[term >= 0]] = n[term >= 0]
+    own = np.bincount(cols, minlength=size)
+    hit = np.bincount(cols, np.repeat(y, np.diff(ends)), size)
+    # idf that is above 0 for every term
+    model.weights = np.log1p((total - df + 0.5) / (df + 0.5)) * _weights(own, hit, len(y), y.sum())
+    model.fit([(cols[a:z], counts[a:z]) for a, z in zip(ends, ends[1:])], y, ids)
+    shared = share(spark, model)
+
+    def votes(batches):
+        model = shared()
+        place = {ident: r for r, ident in enumerate(model.index.ids)} if model.index else {}
+        for batch in batches:
+            found = [(model.vote(t, place.get(i, -1))[0], y) for i, t, y in zip(
+                *(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
+            found = [(v, y) for v, y in found if v is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in found], pa.float64()),
+                                              pa.array([y for _, y in found], pa.int32())], names=["vote", "toxic"])
 
-_EVIDENCE = "array<struct<doc_id:bigint,similarity:double,label:int>>"
+    # leave-one-out votes of at most max_rows examples: rows are spread for the search
+    rows = np.array(texts.repartition(24, "doc_id").mapInArrow(votes, "vote double, toxic int").collect(), float)
+    return shared, _isotonic(rows[:, 0], rows[:, 1]) if len(rows) else (np.empty(0), np.empty(0))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: int = K,
-             threshold: float = THRESHOLD) -> DataFrame:
+             threshold: float = THRESHOLD, max_postings: int = MAX_POSTINGS) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence of every row of ``docs``."""
-    shared = share(docs.sparkSession, learn(docs, labels, max_rows, k))
+    shared, curve = learn(docs, labels, max_rows, k, max_postings)
     given = docs.select("doc_id", "text")
-    schema = given.select("doc_id", F.lit(0.0).alias("score"),
-                          F.array().cast(_EVIDENCE).alias("evidence")).schema
-    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
+    near = F.struct("doc_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("label"))
+    schema = given.select("doc_id", F.lit(0.0).alias("score"), F.array(near).alias("evidence")).schema
 
     def run(batches):
         model = shared()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                part = batch.slice(at, 2_000)
-                found = [model.vector(t) for t in part.column("text").to_pylist()]
-                known = {v: model.score(v) for v in set(found)}
+            kind = pa.list_(pa.struct([("doc_id", batch.schema.field("doc_id").type),
+                                       ("similarity", pa.float64()), ("label", pa.int32())]))
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                found = part.column("text").to_pylist()
+                known = {t: model.score(t, curve) for t in set(found)}
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([known[v][0] for v in found], pa.float64()),
-                     pa.array([[dict(zip(("doc_id", "similarity", "label"), e)) for e in known[v][1]]
-                               for v in found], kind)],
+                    [part.column("doc_id"), pa.array([known[t][0] for t in found], pa.float64()),
+                     pa.array([[dict(zip(("doc_id", "similarity", "label"), e)) for e in known[t][1]]
+                               for t in found], kind)],
                     names=["doc_id", "score", "evidence"],
                 )
 

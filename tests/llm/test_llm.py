@@ -551,13 +551,80 @@ def test_block_max_search_is_exact():
         assert np.allclose(np.sort(got), np.sort(want)) and len(rows) == len(want)
 
 
+def test_toxicity_scores_against_all_examples(spark):
+    """Every score from plain dictionaries over all pairs of texts."""
+    rnd = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rnd.choice(words, rnd.integers(1, 12))) + (" Bad!" if i % 6 == 0 else "")) for i in range(240)]
+    rows += [(500, ""), (501, None), (502, "nothing known"), (600, "w1 w2 bad"), (600, "w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    label = {i: int(i % 6 == 0) for i in range(240)}
+    labels = spark.createDataFrame([(i, 1, y) for i, y in label.items()], "doc_id long, quality int, toxic int")
+    shared, curve = toxicity.learn(docs, labels)
+    model = shared()
+    of = {i: t for i, t in rows if i in label and i not in held}
+    n, total = len(of), len(rows)
+    df = collections.Counter(w for _, t in rows for w in toxicity.terms(t))
+    idf = {w: np.log1p((total - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    for w, j in list(model.vocabulary.items()):
+        ratio = model.weights[j] / idf[w]
+        assert ratio >= 1 - 1e-9 and (w != b"bad" or ratio > 2)
+
+    def vector(text):
+        got = {w: (1 + np.log(c)) * model.weights[model.vocabulary[w]]
+               for w, c in toxicity.terms(text).items() if w in model.vocabulary}
+        norm = np.sqrt(sum(x * x for x in got.values()))
+        return {w: x / norm for w, x in got.items()}
+
+    kept = {i: vector(t) for i, t in of.items()}
+    assert set(model.index.ids) == set(kept) and len(kept) == n
+    scores = {}
+    for r in toxicity.classify(docs, labels).collect():
+        scores.setdefault(r["doc_id"], []).append(r["score"])
+    for i, text in rows[:240]:
+        q = vector(text)
+        sims = {j: sum(x * v.get(w, 0.0) for w, x in q.items()) for j, v in kept.items()}
+        kth = sorted(sims.values())[-toxicity.K]
+        near = [j for j, s in sims.items() if s > 0 and s >= kth - 1e-12]
+        weight = sum(sims[j] ** 2 for j in near)
+        vote = (sum(sims[j] ** 2 * label[j] for j in near) + toxicity.SHRINK * model.rate) / (weight + toxicity.SHRINK)
+        want = float(np.interp(vote, *curve)) if near else model.rate
+        assert abs(scores[i][0] - want) < 1e-6, (i, scores[i], want)
+    assert scores[500] == scores[501] == [model.prior] and scores[502] == [model.rate]
+    assert len(set(scores[600])) == 2
+
+
+def test_toxicity_with_a_majority_of_label_1(spark):
+    rnd = np.random.default_rng(3)
+    words = [f"n{i}" for i in range(80)]
+    rows = []
+    for i in range(400):
+        own = list(rnd.choice(words, 8)) + ([["foul", "vile", "nasty"][i % 3]] if i % 10 < 7 else [])
+        rows.append((f"d{i}", " ".join(own), int(i % 10 < 7)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id string, quality int, toxic int")
+    truth = {i: y for i, _, y in rows}
+    got = toxicity.classify(docs, labels).collect()
+    held = [r for r in got if r["held_out"]]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.95
+    assert {r["predicted"] for r in held} == {0, 1}
+    assert all(isinstance(e["doc_id"], str) for r in got for e in r["evidence"])
+
+
+def test_toxicity_sample_ends_at_its_postings(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(10))) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(100)], "doc_id long, quality int, toxic int")
+    assert toxicity._examples(docs, labels, 100, 70).count() == 7
+
+
 def test_toxicity_on_held_out_rows(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
-    rows = toxicity.query(spark, sf).collect()
+    rows = [r for r in toxicity.query(spark, sf).collect() if r["held_out"]]
     clean = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 0]
-    bad = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 1 and not r["held_out"]]
-    assert np.mean(clean) < 0.05 and np.mean(bad) > 0.6
+    bad = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 1]
+    assert np.mean(clean) < 0.01 and np.mean(bad) > 0.85
 
 
 def test_toxicity_defined_cases(spark, odd):
