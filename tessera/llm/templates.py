@@ -7,8 +7,9 @@ many pages of its host is the site's template and is deleted there: ``ENOUGH``
 pages are many on every host, on smaller hosts ``PART`` of its pages. Elements
 that are no article by their own marks (navigation, footers, forms, adverts,
 notices, comments, scripts) are deleted on every page, so that hosts with few
-pages are served too. What is left of the articles (else of the main element,
-else of the body) is the text.
+pages are served too. What is left of the articles, with the headlines and leads
+beside them in the main element (else of the main element, else of the body), is
+the text.
 
 Inside an article only containers count as template, never its paragraphs,
 headings and list items: articles that are copies of one another stay whole.
@@ -43,13 +44,14 @@ PART = 0.05          # and their part of the host's pages,
 ENOUGH = 50          # or so many pages on a host of any size
 BROADCAST = 500_000  # hashes of templates that are broadcast at most
 
+# a quote opens a value after "=" only, and a value may have any length
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|[\"'])*?)>|<[!?][^>]*+>",
+    r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<[!?][^>]*+>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript template iframe svg math object canvas audio video".split())
+_RAW = frozenset("script style title textarea noscript template iframe svg object canvas audio video".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
@@ -63,8 +65,11 @@ _CLOSES = {
 }
 _SCOPE = frozenset("article section div ul ol dl table body main aside nav form header footer blockquote html".split())
 _DROP = frozenset(
-    "nav aside footer form button select input label dialog menu head applet embed fieldset".split()
+    "nav aside footer form button select input label dialog menu head applet embed fieldset "
+    "annotation annotation-xml".split()
 ) | _RAW
+# beside an article inside the main element these belong to it: headline and lead
+_LEAD = frozenset("h1 h2 h3 h4 h5 h6 header hgroup p blockquote pre figure".split())
 # words of class, id and role that mark what is no article
 _MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer contentinfo complementary ad ads advert "
@@ -111,15 +116,18 @@ def parse(page: str | None) -> Node:
         if last > scopes[-1]:
             close(last)
 
+    last = page.rfind(">") + 1   # no tag ends beyond it
     while True:
-        m = _TAG.search(page, at)
-        text = page[at : m.start() if m else len(page)]
+        m = _TAG.search(page, at, last)
+        text = page[at : m.start()] if m else page[at:].partition("<!--")[0]
         if text:
             stack[-1].kids.append(entities.unescape(text))
         if not m:
             break
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break   # a comment that never ends
             continue
         tag = m[2].lower()
         if m[1]:
@@ -175,19 +183,49 @@ def _roots(node: Node, tags: tuple[str, ...]) -> list[Node]:
     while waiting:
         k = waiting.pop()
         if isinstance(k, Node) and not _marked(k, False):
-            if k.tag in tags or "main" in tags and re.search(r"role\s*=\s*[\"']?main", k.attrs):
+            if k.tag in tags or "main" in tags and _is_main(k):
                 out.append(k)
             else:
                 waiting += k.kids[::-1]
     return out
 
 
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(re.search(r"role\s*=\s*[\"']?main", node.attrs))
+
+
+def _with_lead(root: Node, articles: list[Node]) -> list[Node]:
+    """The articles and, in page order, the headlines and leads beside them or
+    beside what holds them, inside the main element."""
+    parent, waiting = {}, [root]
+    while waiting:
+        node = waiting.pop()
+        for k in node.kids:
+            if isinstance(k, Node):
+                parent[id(k)] = node
+                waiting.append(k)
+    own, above = {id(a) for a in articles}, set()
+    for node in articles:
+        while id(node) in parent and id(parent[id(node)]) not in above:
+            node = parent[id(node)]
+            above.add(id(node))
+    out, waiting = [], [(root, False)]
+    while waiting:
+        node, inside = waiting.pop()
+        if id(node) in own or inside and node.tag in _LEAD and id(node) not in above and not _marked(node, True):
+            out.append(node)
+        elif id(node) in above:
+            inside = inside or _is_main(node)
+            waiting += [(k, inside) for k in node.kids[::-1] if isinstance(k, Node)]
+    return out
+
+
 def _main(root: Node) -> tuple[list[Node], bool]:
-    for tags in (("article",), ("main",)):
-        found = _roots(root, tags)
-        if found:
-            return found, True
-    return [root], False
+    found = _roots(root, ("article",))
+    if found:
+        return _with_lead(root, found), True
+    found = _roots(root, ("main",))
+    return (found, True) if found else ([root], False)
 
 
 def subtrees(root: Node) -> set[int]:
@@ -238,9 +276,10 @@ def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
                     cut()
 
     for r in roots:
-        cut()
-        walk(r)
-        cut()
+        if r.tag not in _LEAD or r.digest not in templates:
+            cut()
+            walk(r)
+            cut()
     return "\n\n".join(blocks)
 
 

@@ -233,6 +233,41 @@ def test_main_text_of_single_pages():
     assert text("<main><header><h1>T</h1></header><p>x</main><p>out") == "T\n\nx"
 
 
+def test_main_text_of_long_attributes_leads_formulas_and_open_comments():
+    def text(page):
+        return templates.main_text(templates.parse(page))
+
+    long = "x" * 5000
+    assert text(f'<article><div data-j="{long} > SECRETATTR ">a</div><img src="data:{long}" alt="5 > 4 LEAK">b</article>') == "a\n\nb"
+    assert text("<main><h1>Title</h1><p>Lead paragraph.</p><article><p>Body.</p></article></main>") == (
+        "Title\n\nLead paragraph.\n\nBody.")
+    assert text("<main><header><h1>T</h1></header><div><article>B</article><p>After.</p></div>"
+                "<section><p>Other.</p></section><p class=promo>Buy</p></main><p>Out</p>") == "T\n\nB\n\nAfter."
+    assert text("<p>Energy is <math><mi>E</mi>=<mi>m</mi><annotation>x</annotation></math> here</p>") == "Energy is E=m here"
+    assert text("<p>a</p><!-- open <p>b</p>") == text("a<!-- open") == "a"
+    assert text("<p>a<!-- x > y --><script><!-- s </script>b <!-- <i> <!-- c -->c") == "ab c"
+    assert text("x < y <b>z</b> 'q' > \"1\" <a href=x'y>it's</a>") == "x < y z 'q' > \"1\" it's"
+    for page in ("<a " * 50_000, '<a "x" ' * 20_000, '<a b="' * 20_000, "<!-- " * 50_000, "<a b='>" * 20_000):
+        text(page)   # in time that grows with the page only
+
+
+def test_templates_against_a_recount_of_subtrees(spark):
+    pages = [r for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    bodies = {}
+    for r in pages:
+        host = re.match(r"\w+://([^/?#:]+)", r["url"])
+        if host:
+            root = templates.parse(r["html"])
+            bodies.setdefault(host[1].lower(), {})[root.digest] = templates.subtrees(root)
+    want = set()
+    for host, kinds in bodies.items():
+        counts = collections.Counter(h for own in kinds.values() for h in own)
+        bar = max(3, min(0.05 * len(kinds), 50))
+        want |= {(host, h) for h, n in counts.items() if n >= bar}
+    got = {tuple(r) for r in templates.templates(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), 3).collect()}
+    assert got == want and want
+
+
 def test_main_text_of_deeply_nested_pages():
     text = lambda h: templates.main_text(templates.parse(h))
     for n in (300, 30_000):
