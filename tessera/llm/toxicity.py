@@ -17,7 +17,8 @@ direction of a sketch); the inverted index holds per term its postings by block
 the largest weight in each block (very frequent terms have a plain row of weights per
 block instead of postings). A query adds up its terms' block maxima, opens
 blocks from the highest bound down and stops when the bound is below the k-th
-similarity found, which is exact. Equal texts are searched once a batch.
+similarity found, which is exact. Copies of a text that
+meet in a task share one search.
 
 Index and vocabulary are bounded by the sample (``max_rows`` rows, smallest md5 of the
 id first, up to ``max_postings`` distinct terms summed over rows; texts are whole) and
@@ -35,9 +36,11 @@ from __future__ import annotations
 
 import string
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,19 +49,21 @@ from tessera.llm.common import crc_mod, share, stage, table
 MAX_ROWS = 4_000
 MAX_POSTINGS = 4_000_000
 K = 15
-BLOCK = 1024
+BLOCK = 2048
 OFTEN = 8        # a term of every 8th example or more has a row of weights instead of postings
+KNOWN = 20_000   # scores of distinct texts that a task keeps for further copies
 THRESHOLD = 0.5
 WEIGHT = 5.0     # weight of a term's sure log odds ratio beside its idf
 SHRINK = 0.1     # weight of the rate of label 1 in a vote
 _EDGE = string.punctuation.encode()
 
 
-def terms(text: str | None) -> Counter:
+def terms(text: str | None) -> dict[bytes, int]:
     words = text.lower().encode("utf-8", "surrogatepass").split() if text else []
-    out: Counter = Counter()
+    out: dict[bytes, int] = {}
     for w, n in Counter(words).items():
-        out[w.strip(_EDGE)] += n
+        w = w.strip(_EDGE)
+        out[w] = out.get(w, 0) + n
     out.pop(b"", None)
     return out
 
@@ -192,9 +197,12 @@ class Model:
 
     def unit(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(terms, weights) of a text over the vocabulary."""
-        v = self.vocabulary
-        found = [(v[w], n) for w, n in terms(text).items() if w in v]
-        return self.scaled(np.array([t for t, _ in found], int), np.array([n for _, n in found], float))
+        of = terms(text)
+        t = np.fromiter(map(self.vocabulary.get, of, repeat(-1)), np.int64, len(of))
+        n = np.fromiter(of.values(), float, len(of))
+        by = np.argsort(t)
+        by = by[np.searchsorted(t[by], 0) :]   # in the order of the postings
+        return self.scaled(t[by], n[by])
 
     def scaled(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n)) * self.weights[t]
@@ -297,13 +305,14 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: int =
 
     def frequency(batches):
         vocabulary = known()
-        df, total = np.zeros(len(vocabulary), np.int64), 0
+        df, total = np.zeros(len(vocabulary) + 1, np.int64), 0   # the last place is for all other terms
         for batch in batches:
             total += batch.num_rows
             for at in range(0, batch.num_rows, 500):
                 for t in batch.slice(at, 500).column("text").to_pylist():
-                    df[[vocabulary[w] for w in terms(t) if w in vocabulary]] += 1
-        seen = np.flatnonzero(df)
+                    of = terms(t)
+                    df[np.fromiter(map(vocabulary.get, of, repeat(-1)), np.int64, len(of))] += 1
+        seen = np.flatnonzero(df[:-1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(seen, -1)), pa.array(np.append(df[seen], total))], names=["term", "n"])
 
@@ -343,14 +352,19 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, k: in
     schema = given.select("doc_id", F.lit(0.0).alias("score"), F.array(near).alias("evidence")).schema
 
     def run(batches):
-        model = shared()
+        model, known = shared(), {}
         for batch in batches:
             kind = pa.list_(pa.struct([("doc_id", batch.schema.field("doc_id").type),
                                        ("similarity", pa.float64()), ("label", pa.int32())]))
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                found = part.column("text").to_pylist()
-                known = {t: model.score(t, curve) for t in set(found)}
+                texts = part.column("text").to_pylist()
+                found = [xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+                if len(known) > KNOWN:
+                    known.clear()
+                for key, t in zip(found, texts):
+                    if key not in known:
+                        known[key] = model.score(t, curve)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([known[t][0] for t in found], pa.float64()),
                      pa.array([[dict(zip(("doc_id", "similarity", "label"), e)) for e in known[t][1]]
