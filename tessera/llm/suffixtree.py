@@ -15,10 +15,11 @@ a proper distribution over the same symbols as ``base_score``.
 Plan: words are counted per task, then summed by a shuffle. Word sequences are
 counted level by level as codes (context's place, follower's place), only where
 all parts are frequent already, which loses none that reaches the threshold.
-Each level holds at most 1 / LEAST sequences whatever the input, so states and
-the ``COMMON`` most frequent words are broadcast. Tokens that are not among
-those meet their counts in a join on the word, whose keys are rare by
-construction, and everything is summed per document.
+Each level holds at most 1 / LEAST sequences whatever the input, and as many words
+reach the threshold, so states are broadcast with all of these words, filled up to
+the ``COMMON`` most frequent ones. Tokens that are not among those meet their counts
+in a join on the word, whose keys are rare by construction, and everything is summed
+per document.
 
 Defined cases: null or empty text is the end token alone; without training rows
 N and V are 0 and each token has probability 1 in the base score and the model;
@@ -232,11 +233,12 @@ def score(docs: DataFrame, train: DataFrame, common: int = COMMON, least: float
     discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
     unseen = float(np.log10(discount * v / n)) if n else 0.0
     norm = float(n + v + 1)
-    top = words.orderBy(F.col("c").desc(), "word").limit(common).collect()
-    counts = np.array([r["c"] for r in top], np.int64)
     bar = max(2.0, least * n)
-    tree = Tree([bytes(r["word"]) for r in top], counts, int((counts >= bar).sum()),
-                np.log10((counts - discount) / max(n, 1)))
+    # every word that can be part of a sequence: at most 1 / least
+    frequent = words.filter(F.col("c") >= bar).count()
+    top = words.orderBy(F.col("c").desc(), "word").limit(max(common, frequent)).toArrow()
+    counts = top.column("c").to_numpy()
+    tree = Tree(top.column("word").to_pylist(), counts, frequent, np.log10((counts - discount) / max(n, 1)))
     if tree.frequent:
         _levels(tree, train, bar, discount, depth, gain)
     shared = share(spark, tree)
