@@ -74,6 +74,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[app_id]
 
 
+# HotSpot compiles no method beyond 8,000 bytes of bytecode and interprets it for
+# every row, while Spark's own limit for its generated methods is 65,535.
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def compile_methods(spark: SparkSession) -> None:
+    """Let Spark split the code of wide projections into methods that HotSpot
+    compiles. A smaller limit that the session has is kept."""
+    if int(spark.conf.get(METHOD_LIMIT)) > 8_000:
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused location under the shared scratch folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -69,8 +69,9 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
-    df = _with_customer(spark, sf_dir, li.join(orders, li.l_orderkey == orders.o_orderkey), "o_custkey")
-    df = df.join(part, F.col("l_partkey") == part.p_partkey)
+    # the customer comes to an order first: fewer rows than to each of its lines
+    placed = _with_customer(spark, sf_dir, orders, "o_custkey")
+    df = li.join(placed, li.l_orderkey == placed.o_orderkey).join(part, F.col("l_partkey") == part.p_partkey)
     return df.select(
         _line_id().alias("holding_id"),
         F.col("c_name").alias("client_name"),
@@ -103,14 +104,19 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     with_supp = li.join(supp, li.l_suppkey == supp.s_suppkey)
+    keys = ["l_partkey", "r_regionkey", "s_region", "ship_year", "ship_month"]
+    # Nearly every line is a bar of its own, so a map-side aggregate would only sort
+    # and widen the rows: they are dealt by the bar first and aggregated once.
     joined = (
         _with_region(spark, sf_dir, with_supp, "s_nationkey", "s_region")
-        .withColumn("unit", F.col("l_extendedprice") / F.col("l_quantity"))
         .withColumn("ship_year", F.year("l_shipdate"))
         .withColumn("ship_month", F.month("l_shipdate"))
+        .select(*keys, "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+        .repartition(*keys)
+        .withColumn("unit", F.col("l_extendedprice") / F.col("l_quantity"))
     )
     order_key = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    bars = joined.groupBy("l_partkey", "r_regionkey", "s_region", "ship_year", "ship_month").agg(
+    bars = joined.groupBy(*keys).agg(
         F.min_by("unit", order_key).alias("open_price"),
         F.max("unit").alias("high_price"),
         F.min("unit").alias("low_price"),
@@ -154,7 +160,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    df = _with_customer(spark, sf_dir, li.join(orders, li.l_orderkey == orders.o_orderkey), "o_custkey")
+    placed = _with_customer(spark, sf_dir, orders, "o_custkey")
+    df = li.join(placed, li.l_orderkey == placed.o_orderkey)
     df = df.join(part, F.col("l_partkey") == part.p_partkey).join(supp, F.col("l_suppkey") == supp.s_suppkey)
     ttype = (
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), "BUY")

@@ -2,7 +2,11 @@
 
 import datetime as dt
 
+import pytest
+
 from tessera.plans import silver
+from tessera.plans.bronze import bronze
+from tessera.session import METHOD_LIMIT
 from tessera.sources import adapters, files, schemas
 
 
@@ -66,3 +70,28 @@ def test_cluster_settings_scale_with_input(spark, sf_small):
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
     assert int(big["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) == 64 << 20
+
+
+def test_market_lines_are_dealt_once_and_not_aggregated_before(spark, sf_small):
+    plan = adapters.market(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    below = plan.split("REPARTITION_BY_COL", 1)[1]
+    assert "min_by" not in below and "Sort [" not in below
+
+
+@pytest.mark.parametrize("table", ["holdings", "transactions"])
+def test_customers_come_to_orders_before_lines(spark, sf_small, table):
+    plan = adapters.ADAPTERS[table](spark, sf_small)._jdf.queryExecution().analyzed().toString().split("\n")
+    depth = {k: next(len(line) - len(line.lstrip(" :+-")) for line in plan if "Relation" in line and k in line)
+             for k in ("l_orderkey", "c_custkey")}
+    assert depth["c_custkey"] > depth["l_orderkey"]
+
+
+def test_long_generated_methods_are_left_to_the_compiler(spark, sf_small):
+    spark.conf.set(METHOD_LIMIT, "65535")
+    bronze(spark, sf_small, "market")
+    assert spark.conf.get(METHOD_LIMIT) == "8000"
+    spark.conf.set(METHOD_LIMIT, "4000")
+    bronze(spark, sf_small, "market")
+    assert spark.conf.get(METHOD_LIMIT) == "4000"
+    spark.conf.unset(METHOD_LIMIT)
