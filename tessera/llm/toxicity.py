@@ -50,7 +50,8 @@ MAX_ROWS = 4_000
 MAX_POSTINGS = 4_000_000
 K = 15
 BLOCK = 2048
-OFTEN = 8        # a term of every 8th example or more has a row of weights instead of postings
+OFTEN = 8        # a term of every 8th example or more has a row of weights instead of postings,
+CELLS = 4_000_000   # the most frequent ones first, while these rows have so many places in all
 KNOWN = 20_000   # scores of distinct texts that a task keeps for further copies
 THRESHOLD = 0.5
 WEIGHT = 5.0     # weight of a term's sure log odds ratio beside its idf
@@ -103,13 +104,17 @@ class Index:
         cols = np.concatenate([t for t, _ in vectors] or [np.empty(0)]).astype(np.int64)
         vals = np.concatenate([w for _, w in vectors] or [np.empty(0)]).astype(float)
         order = _alike(rows, cols, vals, n, size, block)
+        block = min(block, max(n, 1))
         self.labels, self.ids, self.block = labels[order], [ids[i] for i in order], block
         self.rows, self.blocks = n, -(-n // block)
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         rows = place[rows]
         # terms of every OFTEN-th example or more: a matrix (block, term, row) of their weights
-        often = np.bincount(cols, minlength=size) >= max(n / OFTEN, 1)
+        times = np.bincount(cols, minlength=size)
+        first = np.argsort(-times, kind="stable")[: CELLS // max(self.blocks * block, 1)]
+        often = np.zeros(size, bool)
+        often[first] = times[first] >= max(n / OFTEN, 1)
         self.often = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         self.dense = np.zeros((self.blocks, int(often.sum()), block))
         many = often[cols]

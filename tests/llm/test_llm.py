@@ -402,6 +402,18 @@ def test_base_score_and_distribution(spark, odd):
     assert suffixtree.score(docs.limit(0), train).count() == 0
 
 
+def test_words_at_the_bar_are_never_cut(spark):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choices("abcdefgh", k=15) + ["of", "the", "same"] * 2)) for i in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def scores(common):
+        got = suffixtree.score(train, train, common=common, least=1e-3, gain=0.1).collect()
+        return [(r["doc_id"], round(r["score"], 6), round(r["base_score"], 6)) for r in sorted(got)]
+
+    assert scores(2) == scores(10**6)
+
+
 def test_tree_probabilities_add_up(spark):
     rnd = random.Random(2)
     train = spark.createDataFrame(
@@ -586,6 +598,23 @@ def test_block_max_search_is_exact():
         assert np.allclose(np.sort(got), np.sort(want)) and len(rows) == len(want)
 
 
+def test_toxicity_index_follows_its_postings(monkeypatch):
+    # few examples with many terms, each of them frequent: rows are as long as there are examples
+    rnd = np.random.default_rng(3)
+    vectors = []
+    for _ in range(6):
+        w = rnd.random(3_000)
+        vectors.append((np.arange(3_000), w / np.linalg.norm(w)))
+    index = toxicity.Index(vectors, np.zeros(6), np.arange(6), 3_000)
+    assert index.dense.nbytes <= 6 * 3_000 * 8
+    monkeypatch.setattr(toxicity, "CELLS", 600)
+    small = toxicity.Index(vectors, np.zeros(6), np.arange(6), 3_000)
+    assert small.dense.nbytes <= 600 * 8
+    for t, w in vectors:
+        (r1, s1), (r2, s2) = index.near(t, w, 3), small.near(t, w, 3)
+        assert r1.tolist() == r2.tolist() and np.allclose(s1, s2, atol=1e-12)
+
+
 def test_toxicity_scores_against_all_examples(spark):
     """Every score from plain dictionaries over all pairs of texts."""
     rnd = np.random.default_rng(8)
