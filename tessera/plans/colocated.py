@@ -56,6 +56,12 @@ def _sides(specs: Sequence[gold.GoldSpec]) -> dict[tuple[str, tuple[str, ...]],
     return sides
 
 
+def pruned(frames: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """The silver tables of join table ``name`` with the columns it reads."""
+    return {source: frames[source].select(*columns)
+            for (source, _), columns in _sides([gold.SPECS[name]]).items()}
+
+
 def hottest(df: DataFrame, on: Sequence[str]) -> tuple[int, int]:
     """Rows of the join value with the most, and rows in all, without null values."""
     counts = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))

@@ -16,6 +16,7 @@ from tessera.operators import quality, shared_groups
 from tessera.plans import colocated, gold, silver
 from tessera.plans.bronze import bronze
 from tessera.plans.silver import AsOf
+from tessera.session import fresh_path
 
 BATCH_TABLES = ("holdings", "market", "transactions", "profiles")
 EVENT_TABLES = ("kyc", "purchases")
@@ -44,7 +45,19 @@ def gold_table(
     spark: SparkSession, sf_dir: str, name: str, as_of: AsOf = None, ordered: bool = True
 ) -> DataFrame:
     spec = gold.SPECS[name]
-    return gold.build(name, silver_frames(spark, sf_dir, spec.inputs, as_of), ordered)
+    frames = silver_frames(spark, sf_dir, spec.inputs, as_of)
+    if spec.on:  # a join table reads its sides many times
+        frames = written(spark, colocated.pruned(frames, name), fresh_path(spark, f"sides-{name}"))
+    return gold.build(name, frames, ordered)
+
+
+def written(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The frames out of parquet tables under ``root``."""
+    out = {}
+    for t, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{root}/{t}")
+        out[t] = spark.read.schema(df.schema).parquet(f"{root}/{t}")
+    return out
 
 
 def colocated_gold_table(
@@ -52,9 +65,7 @@ def colocated_gold_table(
 ) -> DataFrame:
     """A join table from sides that were written for the join under ``root``."""
     frames = silver_frames(spark, sf_dir, gold.SPECS[name].inputs, as_of)
-    for t, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{root}/silver/{t}")
-        frames[t] = spark.read.parquet(f"{root}/silver/{t}")
+    frames = written(spark, colocated.pruned(frames, name), f"{root}/silver")
     stored = colocated.write(spark, frames, root, [name])
     return gold.build(name, colocated.inputs(spark, name, stored, frames))
 

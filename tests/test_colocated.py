@@ -97,3 +97,19 @@ def test_an_empty_side_is_stored(spark, layer):
         assert gold.build("risk_analytics", colocated.inputs(spark, "risk_analytics", stored, given)).count() == 0
     finally:
         colocated.drop(spark, stored)
+
+
+@pytest.mark.parametrize("name", JOINS)
+def test_join_tables_read_the_supplied_tables_once(spark, sf_small, name):
+    # the aggregates read the written sides, however many passes they take
+    got = pipeline.gold_table(spark, sf_small, name, "2002-01-01")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "c_custkey" not in plan and "l_partkey" not in plan
+
+
+def test_sides_are_written_with_the_columns_of_the_join(spark, sf_small):
+    root = fresh_path(spark, "test-pruned")
+    pipeline.colocated_gold_table(spark, sf_small, "sector_region_performance", root, "2002-01-01")
+    for t in ("holdings", "market"):
+        kept = spark.read.parquet(f"{root}/silver/{t}").columns
+        assert "processing_timestamp" not in kept and {"asset_name_clean", "sector", "region"} <= set(kept)
