@@ -33,6 +33,8 @@ def write_batch(root: str, rules: Sequence[quality.Rule], table: str, query: str
                 ("silver", quality.enforce(batch, rules)),
                 ("rejected", quality.quarantine(batch, rules)),
             ):
+                if partition_by:  # a folder's rows meet in a few files, not in one of each task
+                    rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
                 rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/{name}/{BATCH}={batch_id}")
             counters = quality.rule_metrics(batch, rules, table).select(
                 F.lit(query).alias("query"), F.lit(batch_id).cast("long").alias("batch_id"), "*")

@@ -227,3 +227,11 @@ def test_new_queries_have_sql():
     names = [n for n in entry.queries() if n.startswith(("stream_gold_merged_", "shared_gold_"))]
     assert len(names) == 14 and set(names) <= set(entry.oracle_sql())
     assert schemas.KYC is not None
+
+
+def test_folders_get_few_files_from_many_tasks(spark, tmp_path):
+    given = bronze(spark, "/root/testdata/sf0.001", "kyc").repartition(6)
+    write = checked.write_batch(str(tmp_path), quality.KYC, "kyc", "q", ["processing_date"])
+    write(silver.derive_kyc(given), 0)
+    files = spark.read.parquet(str(tmp_path / "silver")).select("processing_date", F.input_file_name().alias("f")).distinct()
+    assert files.count() == files.select("processing_date").distinct().count()
