@@ -32,12 +32,15 @@ that form).
 row counts (two partial aggregates and a join of one row per key, returning
 one scalar). When the join emits no more than ``max_fanout`` times the larger
 input, the plain join + aggregate is used (it is cheaper when keys are close
-to unique); otherwise the block plan above.
+to unique); otherwise the block plan above. The joined rows of the plain form are
+dealt once by the left side's group keys where these are many and none is hot:
+all its distinct counts are then made where the rows are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,6 +49,13 @@ from pyspark.sql import functions as F
 from tessera.operators.aggregate import DEC_IN, Measure, exact_ratio, measure_column
 
 
+# Joined rows are dealt into partitions of about so many rows, if there are so many
+# left group keys to a partition and none has ``SKEW`` times a partition's rows.
+DEALT_ROWS = 1 << 17
+DEALT_KEYS = 16
+SKEW = 4
+
+
 def _cname(*parts: str) -> str:
     return "_".join(["", *parts]).replace(".", "_")
 
@@ -110,12 +120,18 @@ def join_aggregate(
     output key columns are named by the unqualified column."""
     la, ra = sides
     split = {la: True, ra: True}
+    dealt = None
     if strategy == "auto":
         lk = [k.split(".", 1)[1] for k in keys if k.startswith(la + ".")]
         rk = [k.split(".", 1)[1] for k in keys if k.startswith(ra + ".")]
         st = join_stats(left, right, on, with_combos=False)
         if st["pairs"] <= max_fanout * max(st["left"], st["right"], 1):
             strategy = "direct"
+            types = {la: dict(left.dtypes), ra: dict(right.dtypes)}
+            counted = [types[m.side][m.column] for m in measures if m.fn == "cd"]
+            # values are told apart as text
+            if lk and len(counted) > 1 and set(counted) <= {"string", "tinyint", "smallint", "int", "bigint"}:
+                dealt = _dealt(left, [a for a, _ in on], lk, st["pairs"])
         else:
             strategy = "blocked"
             st = join_stats(left, right, on, lk, rk)
@@ -126,10 +142,21 @@ def join_aggregate(
                 ra: st["right_combo"] > max_fanout * max(st["right"], 1),
             }
     if strategy == "direct":
-        return direct_join_aggregate(left, right, on, keys, measures, sides, order)
+        return direct_join_aggregate(left, right, on, keys, measures, sides, order, dealt)
     return blocked_join_aggregate(left, right, on, keys, measures, sides, order, split)
 
 
+def _dealt(left: DataFrame, on: Sequence[str], left_keys: Sequence[str], pairs: int) -> int | None:
+    """Partitions to deal ``pairs`` joined rows into by the left group keys; None
+    when these are too few for that or one is on too many rows."""
+    wanted = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // DEALT_ROWS))
+    row = left.dropna(subset=list(on)).groupBy(*left_keys).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.lit(1)).alias("groups"), F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    if row.groups < DEALT_KEYS * wanted or row.most * wanted > SKEW * row.rows:
+        return None
+    return wanted
+
+
 def direct_join_aggregate(
     left: DataFrame,
     right: DataFrame,
@@ -138,13 +165,20 @@ def direct_join_aggregate(
     measures: Sequence[Measure],
     sides: tuple[str, str] = ("l", "r"),
     order: Sequence[str] | None = None,
+    dealt: int | None = None,
 ) -> DataFrame:
     """The literal form: inner join, then one grouped aggregate (Catalyst
-    plans the distinct counts as Expand + two-level aggregation)."""
+    plans the distinct counts as Expand + two-level aggregation). Expand shuffles a
+    copy of the row for each distinct count; with ``dealt`` the rows move once, to so
+    many partitions by the left side's group keys, and are copied there."""
     la, ra = sides
     dtypes = {la: dict(left.dtypes), ra: dict(right.dtypes)}
     cond = reduce(lambda a, b: a & b, [F.col(f"{la}.{a}") == F.col(f"{ra}.{b}") for a, b in on])
     joined = left.alias(la).join(right.alias(ra), cond, "inner")
+    if dealt:
+        out = _dealt_aggregate(joined, keys, measures, dtypes, dealt, [k for k in keys if k.startswith(la + ".")])
+        # the sort samples its input, which is not to be made twice
+        return out.repartition(*order).orderBy(*order) if order else out
     # one aggregate over the join: splitting plain and distinct aggregates
     # would run the join twice (exchanges are reused, sort-merge sorts are not)
     out = joined.groupBy(*[F.col(k).alias(k.split(".", 1)[1]) for k in keys]).agg(
@@ -154,6 +188,48 @@ def direct_join_aggregate(
     return out.orderBy(*order) if order else out
 
 
+def _dealt_aggregate(
+    joined: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    dtypes: dict[str, dict[str, str]],
+    dealt: int,
+    by: Sequence[str],
+) -> DataFrame:
+    """The grouped aggregate of joined rows that are dealt by some of the keys.
+    Each row stands once for every distinct count, with its value, and once (tag 0)
+    for the other measures. Rows of a group are in one partition, so neither
+    collapsing the values nor counting them moves any."""
+    names = [k.split(".", 1)[1] for k in keys]
+    distinct = [m for m in measures if m.fn == "cd"]
+    plain = [m for m in measures if m.fn != "cd"]
+    read = {m.col: _cname("v", m.col) for m in measures if m.col}
+    rows = joined.select(*[F.col(k).alias(k.split(".", 1)[1]) for k in keys],
+                         *[F.col(c).alias(v) for c, v in read.items()])
+    rows = rows.repartition(dealt, *[k.split(".", 1)[1] for k in by])
+    tagged = F.explode(F.array(
+        F.struct(F.lit(0).alias("_tag"), F.lit(None).cast("string").alias("_val")),
+        *[F.struct(F.lit(i).alias("_tag"), F.col(read[m.col]).cast("string").alias("_val"))
+          for i, m in enumerate(distinct, 1)]))
+    whole = F.col("_tag") == 0
+    copies = rows.withColumn("_tv", tagged).select(
+        *names, "_tv._tag", "_tv._val", *dict.fromkeys(read[m.col] for m in plain if m.col))
+    values = copies.filter(whole | F.col("_val").isNotNull()).select(
+        *names, "_tag", "_val",
+        *[F.when(whole, F.col(v)).alias(v) for v in dict.fromkeys(read[m.col] for m in plain if m.col)]
+    ).groupBy(*names, "_tag", "_val").agg(
+        *[measure_column(replace(m, col=read[m.col]) if m.col else m, dtypes[m.side].get(m.column) if m.side else None)
+          for m in plain] or [F.count(F.lit(1)).alias("_n")])
+
+    def of_group(m: Measure) -> Column:
+        if m.fn == "cd":
+            return F.count(F.when(F.col("_tag") == 1 + distinct.index(m), 1)).alias(m.name)
+        one = F.max(F.when(whole, F.col(m.name)))  # of the group's only row with tag 0
+        return (F.coalesce(one, F.lit(0)) if m.fn == "count" else one).alias(m.name)
+
+    return values.groupBy(*names).agg(*[of_group(m) for m in measures])
+
+
 def blocked_join_aggregate(
     left: DataFrame,
     right: DataFrame,
@@ -427,4 +503,3 @@ def _distinct_counts(
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
     return single.unionByName(shared)
-

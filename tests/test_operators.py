@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import quality
 from tessera.operators.aggregate import avg, cd, max_, min_, n, sd, sum_
 from tessera.operators.faults import Fault, fault_sql, inject_faults
-from tessera.operators.joins import blocked_join_aggregate, join_aggregate, join_stats, pair_stats
+from tessera.operators.joins import blocked_join_aggregate, direct_join_aggregate, join_aggregate, join_stats, pair_stats
 from tessera.operators.share import with_share, with_share_window
 
 
@@ -340,3 +340,41 @@ def test_a_value_on_every_row_is_not_joined_with_itself(spark):
     want = join_aggregate(left, right, [("name", "name")], keys, measures, ("h", "p"), strategy="direct")
     norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
     assert norm(got.collect()) == norm(want.collect())
+
+
+def _many_groups(spark):
+    """Transactions of many advisors, some null, beside clients."""
+    i = F.col("id")
+    left = spark.range(4000).select(
+        F.concat(F.lit("c"), (i % 500).cast("string")).alias("name"),
+        F.when(i % 97 != 0, F.concat(F.lit("a"), (i % 400).cast("string"))).alias("advisor"),
+        F.when(i % 11 != 0, (i % 7).cast("int")).alias("pid"),
+        F.when(i % 13 != 0, F.concat(F.lit("s"), (i % 5).cast("string"))).alias("symbol"),
+        F.when(i % 17 != 0, i * 0.25).alias("mv"),
+    )
+    right = spark.range(500).select(
+        F.concat(F.lit("c"), i.cast("string")).alias("name"), i.cast("string").alias("client"),
+        F.when(i % 9 != 0, (i % 3).cast("string")).alias("tier"),
+    )
+    return left, right
+
+
+def test_distinct_counts_of_many_groups_move_each_row_once(spark):
+    left, right = _many_groups(spark)
+    measures = [n("pairs"), cd("clients", "p.client"), cd("pids", "t.pid"), cd("symbols", "t.symbol"),
+                sum_("total", "t.mv", 2), avg("mean", "t.mv", 2), max_("most", "t.mv", 2), sd("spread", "t.mv", 4)]
+    keys, on = ["t.advisor", "p.tier"], [("name", "name")]
+    got = join_aggregate(left, right, on, keys, measures, ("t", "p"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning(advisor") == 1
+    want = direct_join_aggregate(left, right, on, keys, measures, ("t", "p"))
+    norm = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    assert got.dtypes == want.dtypes and norm(got.collect()) == norm(want.collect())
+
+
+def test_rows_of_a_hot_group_are_not_dealt(spark):
+    left, right = _many_groups(spark)
+    hot = left.withColumn("advisor", F.when(F.col("mv") > 300, "hot").otherwise(F.col("advisor")))
+    measures = [n("pairs"), cd("clients", "p.client"), cd("pids", "t.pid")]
+    got = join_aggregate(hot, right, [("name", "name")], ["t.advisor", "p.tier"], measures, ("t", "p"))
+    assert "Expand" in got._jdf.queryExecution().optimizedPlan().toString()
