@@ -78,13 +78,13 @@ def join_stats(
     jn = [f"_j{i}" for i in range(len(on))]
 
     def side(df: DataFrame, cols: Sequence[str], keys: Sequence[str], tag: str) -> DataFrame:
-        base = df.select(*[F.col(c).alias(j) for c, j in zip(cols, jn)], *keys).filter(
+        own = [k for k in keys if with_combos and k not in cols]  # the others are join columns
+        base = df.select(*[F.col(c).alias(j) for c, j in zip(cols, jn)], *own).filter(
             reduce(lambda a, b: a & b, [F.col(j).isNotNull() for j in jn]))
-        cnt = base.groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}n"))
-        if not with_combos:
-            return cnt.withColumn(f"_{tag}k", F.lit(None).cast("bigint"))
-        combos = base.select(*jn, *keys).distinct().groupBy(*jn).agg(F.count(F.lit(1)).alias(f"_{tag}k"))
-        return cnt.join(combos, jn)
+        counts = base.groupBy(*jn, *own).agg(F.count(F.lit(1)).alias(f"_{tag}n"))
+        if not own:
+            return counts.withColumn(f"_{tag}k", F.lit(1 if with_combos else None).cast("bigint"))
+        return counts.groupBy(*jn).agg(F.sum(f"_{tag}n").alias(f"_{tag}n"), F.count(F.lit(1)).alias(f"_{tag}k"))
 
     stats = side(left, [a for a, _ in on], left_keys, "l").join(
         side(right, [b for _, b in on], right_keys, "r"), jn, "full")
@@ -451,6 +451,19 @@ def _distinct_counts(
             ]
         )
     )
+    partners = prep[other].select(*jnames, *own_keys[other]).distinct()
+    if not split:
+        # the rows are few to a partner, so they are paired before they are copied
+        # for each tag
+        return (
+            prep[s].join(partners, on=jnames, how="inner")
+            .select(*out_cols, tagged.alias("_tv"))
+            .select(*names, "_tv._tag", "_tv._val")
+            .filter(F.col("_val").isNotNull())
+            .distinct()
+            .groupBy(*names, "_tag")
+            .agg(F.count(F.lit(1)).alias("_cnt"))
+        )
     values = (
         prep[s]
         .select(*jnames, *sk, tagged.alias("_tv"))
@@ -459,15 +472,6 @@ def _distinct_counts(
         .distinct()
     )
     vkeys = [*sk, "_tag", "_val"]
-    partners = prep[other].select(*jnames, *own_keys[other]).distinct()
-    if not split:
-        return (
-            values.join(partners, on=jnames, how="inner")
-            .select(*out_cols, "_tag", "_val")
-            .distinct()
-            .groupBy(*names, "_tag")
-            .agg(F.count(F.lit(1)).alias("_cnt"))
-        )
     # the least and the largest join key of a value tell single from shared; a
     # value on many rows is collapsed before it is shuffled
     ends = F.struct(*jnames)

@@ -6,7 +6,8 @@ once per join as a bucketed table with the columns those tables read; joins and
 the aggregates below them then need no Exchange, however often they run. Both
 sides of a join have the same number of buckets, and each bucket is one file.
 
-A bucket is read by one task. So a side whose hottest join value would make its
+A bucket is read by one task, so large sides have as many buckets as keep it to
+about ``ROWS`` rows, and its sorts and hash maps in memory. And a side whose hottest join value would make its
 bucket ``SKEW`` times an even one is not stored this way: the join then reads the
 plain silver tables, where rows are pre-aggregated before the shuffle and AQE
 splits what is still too large. Both ways give the same rows.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from tessera.plans import gold
 
 SKEW = 4.0
+ROWS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -74,12 +76,15 @@ def write(
     buckets: int | None = None, skew: float = SKEW,
 ) -> list[Stored]:
     """Store the sides of the joins ``names`` whose silver tables are at hand."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     specs = [s for s in join_specs(names) if all(t in silver for t in s.inputs)]
+    sides = {side: silver[side[0]].select(*columns) for side, columns in _sides(specs).items()}
+    heat = {side: hottest(rows, side[1]) for side, rows in sides.items()}
+    if not buckets:  # the same for all, as both sides of a join need
+        buckets = max([int(spark.conf.get("spark.sql.shuffle.partitions")),
+                       *(-(-total // ROWS) for _, total in heat.values())])
     stored = []
-    for (source, on), columns in _sides(specs).items():
-        rows = silver[source].select(*columns)
-        most, total = hottest(rows, on)
+    for (source, on), rows in sides.items():
+        most, total = heat[source, on]
         if most * buckets > skew * total:
             continue
         name = f"{source}_by_{on[0]}"

@@ -113,3 +113,17 @@ def test_sides_are_written_with_the_columns_of_the_join(spark, sf_small):
     for t in ("holdings", "market"):
         kept = spark.read.parquet(f"{root}/silver/{t}").columns
         assert "processing_timestamp" not in kept and {"asset_name_clean", "sector", "region"} <= set(kept)
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    names = F.concat(F.lit("n"), (F.col("id") % 500).cast("string")).alias("client_name_clean")
+    cols = colocated._sides(colocated.join_specs(["risk_analytics"]))
+    given = {source: spark.range(3000).select(names, *[F.lit("x").alias(c) for c in read if c != "client_name_clean"])
+             for (source, _), read in cols.items()}
+    monkeypatch.setattr(colocated, "ROWS", 200)
+    stored = colocated.write(spark, given, fresh_path(spark, "test-buckets"), ["risk_analytics"])
+    try:
+        assert [one.buckets for one in stored] == [15, 15]
+        assert [spark.table(one.table).count() for one in stored] == [3000, 3000]
+    finally:
+        colocated.drop(spark, stored)

@@ -378,3 +378,25 @@ def test_rows_of_a_hot_group_are_not_dealt(spark):
     measures = [n("pairs"), cd("clients", "p.client"), cd("pids", "t.pid")]
     got = join_aggregate(hot, right, [("name", "name")], ["t.advisor", "p.tier"], measures, ("t", "p"))
     assert "Expand" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_partner_keys_are_joined_before_rows_are_copied(spark):
+    left, right = _many_groups(spark)
+    got = blocked_join_aggregate(left, right, [("name", "name")], ["p.tier"],
+                                 [n("pairs"), cd("pids", "t.pid"), cd("symbols", "t.symbol")], ("t", "p"),
+                                 split_shared={"t": False, "p": False})
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    below = [i for i, line in enumerate(plan) if "Generate explode" in line]
+    assert below and all(any("Join" in line for line in plan[i:]) for i in below)
+    want = direct_join_aggregate(left, right, [("name", "name")], ["p.tier"],
+                                 [n("pairs"), cd("pids", "t.pid"), cd("symbols", "t.symbol")], ("t", "p"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_join_stats_count_combinations_beside_join_columns(spark):
+    left = spark.createDataFrame([("A", "x", "1"), ("A", "x", None), ("A", "y", "1"), ("B", "x", "1"), (None, "x", "1")],
+                                 "name string, sector string, tier string")
+    st = join_stats(left, left, [("name", "name"), ("sector", "sector")], ["sector"], ["sector", "tier"])
+    assert st == {"pairs": 6, "left": 4, "right": 4, "left_combo": 6, "right_combo": 4}
+    same = join_stats(left, left, [("name", "name")], ["tier"], ["sector", "tier"])
+    assert same == {"pairs": 10, "left": 4, "right": 4, "left_combo": 10, "right_combo": 7}
