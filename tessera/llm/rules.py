@@ -64,9 +64,12 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with one double column per statistic."""
-    rest = [c for c in docs.columns if c != text and c not in STATISTICS]
+def with_statistics(docs: DataFrame, text: str = "text", keep: bool = False) -> DataFrame:
+    """``docs`` with one double column per statistic; without its text unless
+    ``keep``. A text is sent to Python once in either case."""
+    rest = [c for c in docs.columns if (keep or c != text) and c not in STATISTICS]
+    given = docs.select(*rest) if keep else docs.select(*rest, F.col(text).alias("_text"))
+    texts = text if keep else "_text"
     schema = docs.select(*rest).schema
     for s in STATISTICS:
         schema = schema.add(s, "double")
@@ -75,13 +78,13 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 4_000):
                 part = batch.slice(at, 4_000)
-                got = np.array([statistics(t) for t in part.column("_text").to_pylist()])
+                got = np.array([statistics(t) for t in part.column(texts).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in rest] + [pa.array(c) for c in got.T.copy()],
                     names=[f.name for f in schema],
                 )
 
-    return docs.select(*rest, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)
 
 
 # --- fitting on the driver, over the bounded sample -------------------------
@@ -222,7 +225,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     model = learn(docs, labels, max_rows)
     inner, back = apart(docs)
     text = inner.columns[docs.columns.index("text")]
-    scored = with_statistics(inner.withColumn("_copy", F.col(text)), "_copy")
+    scored = with_statistics(inner, text, keep=True)
     return back(scored.filter(model.column() >= threshold))
 
 

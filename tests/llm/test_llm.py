@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -768,3 +769,37 @@ def test_pipeline_on_empty_documents(spark, tmp_path):
         df = spark.read.parquet(f"{SF}/{t}.parquet")
         (df.limit(0) if t == "documents" else df).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages_send_small_batches(spark, monkeypatch):
+    """What a stage returns is computed in small batches too, by whoever writes it."""
+    def sizes(docs, *_, **__):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+        return docs.select("text").mapInArrow(run, "rows long, bytes long")
+
+    own = {setting: spark.conf.get(setting) for setting in corpus_pipeline.BATCH}
+    monkeypatch.setattr(rules, "keep_good", sizes)
+    monkeypatch.setattr(decontaminate, "clean", sizes)
+    try:
+        for step in (corpus_pipeline.good_quality, corpus_pipeline.decontaminated):
+            for setting, value in own.items():
+                spark.conf.set(setting, value)
+            docs = spark.range(0, 3000, 1, 1).select(F.lpad(F.col("id").cast("string"), 5000, "x").alias("text"))
+            got = step(spark, docs, SF).collect()
+            assert sum(r["rows"] for r in got) == 3000
+            assert max(r["rows"] for r in got) <= 1000 and max(r["bytes"] for r in got) <= 5_000_000
+    finally:
+        for setting, value in own.items():
+            spark.conf.set(setting, value)
+
+
+def test_keep_good_sends_a_text_once(spark):
+    rows = [(i, "word " * (i % 7) if i % 5 else None, "en", "a", i) for i in range(40)]
+    docs = frame(spark, rows)
+    kept = rules.keep_good(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")))
+    node = kept._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().head()
+    assert node.children().head().output().size() == len(docs.columns)
