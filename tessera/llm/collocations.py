@@ -16,12 +16,18 @@ no frequent phrase stands, packed and compressed. Two neighbours that are not 0
 are adjacent positions of one piece. The merge-join of sorted chunks is local;
 what is shuffled are the distinct phrases of a chunk with their counts, so a
 phrase that holds a third of all words is one entry per chunk, not per occurrence.
+A relation is stored by chunk, so the answers about its phrases come to it and it
+is not shuffled itself; once the next one is written, its files are deleted.
 
 Group-count and semi-join share one shuffle: a chunk's phrases go as packed
 blocks to buckets by a hash of the phrase, a bucket adds up and answers each chunk
 which of them are frequent. There are as many buckets as keep ``BUCKET`` words
 each, so a task's share does not grow with the corpus, and the hash spreads the
-phrases of a frequent word over all of them.
+phrases of a frequent word over all of them. Every chunk has a block for each
+bucket, so blocks grow with the square of the corpus: chunks and buckets are as
+large as a task's memory allows. A chunk's words are in order of their counts and
+the alphabet, which compresses both; an answer names a word by its place in the
+block, which the chunk makes once more.
 
 A phrase carries the counts of its first and last 1..k words along, from its two
 parts, which is all that the cuts' scores need. They are whole numbers of up to
@@ -36,7 +42,7 @@ ordered by phrase; an empty table has no phrases; other columns take no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -48,23 +54,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, rows_of, stage, table
+from tessera.llm.common import mix, passing, rows_of, stage, table
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK = 500_000    # words of one chunk, about
+CHUNK = 2_000_000  # words of one chunk, about; a task holds twice as many
+LETTERS = 16       # longer words on average: so many bytes count as a word
 WINDOW = 1 << 20   # bytes of a text that are split at a time, about
-BUCKET = 3_000_000  # words whose phrases are counted by one task, about
+BUCKET = 6_000_000  # words whose phrases are counted by one task, about
 SALTS = 64
 
 # pieces end at . , ; : ! ? and the line breaks 0A-0D; words at space and tab
 _STOP = b"."
 _SPLIT = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b".........\x20")
 
-CHUNKS = "chunk long, lang string, stream binary, words array<string>, counts array<long>"
-RELATION = "chunk long, stream binary, ids array<long>"
-WORD_BLOCKS = "bucket int, chunk long, lang string, codes binary, words array<string>, counts binary"
+CHUNKS = "chunk long, lang string, size long, n long, stream binary, words binary, counts binary"
+RELATION = "chunk long, stream binary, ids binary"
+WORD_BLOCKS = "bucket int, chunk long, lang string, words binary, counts binary"
 PAIR_BLOCKS = "bucket int, chunk long, heads binary, tails binary, counts binary"
 WORDS_FOUND = "bucket int, chunk long, names binary, ids binary, id long, f long, lang string, word string"
 PAIRS_FOUND = "bucket int, chunk long, names binary, ids binary, id long, f long, head long, tail long"
@@ -104,6 +111,16 @@ def _stream(data: bytes) -> np.ndarray:
     return _unpacked(data, "<u4").astype(np.int64)
 
 
+def _listed(words: list[bytes]) -> bytes:
+    """Words as compressed bytes; no word holds a line break."""
+    return zstandard.compress(b"\n".join(words), 3)
+
+
+def _from_listed(data: bytes) -> list[bytes]:
+    data = zstandard.decompress(data)
+    return data.split(b"\n") if data else []
+
+
 def _joined(codes: np.ndarray) -> np.ndarray:
     """Codes without repeated zeros."""
     keep = codes != 0
@@ -111,59 +128,72 @@ def _joined(codes: np.ndarray) -> np.ndarray:
     return codes[keep]
 
 
-def _words(text: str) -> Iterator[list[bytes]]:
-    """Words with A-Z lower-cased, a stop between pieces, part by part of a text."""
+def _words(text: str) -> Iterator[tuple[list[bytes], int]]:
+    """Words with A-Z lower-cased, a stop between pieces, and bytes, part by part of a text."""
     data = text.encode("utf-8", "surrogatepass").lower().translate(_SPLIT)
     start = 0
     while start < len(data):
         stop = data.find(_STOP, start + WINDOW)
         stop = len(data) if stop < 0 else stop
-        yield data[start:stop].replace(b".", b" . ").split()
+        yield data[start:stop].replace(b".", b" . ").split(), stop - start
         start = stop
 
 
-def _chunks(batches) -> Iterator[tuple[str, _Codes, np.ndarray]]:
-    """(lang, codes of the words, the words' codes) of about ``CHUNK`` words each,
-    cut between pieces."""
-    held: dict[str, tuple[_Codes, list[np.ndarray], list[int]]] = {}
+def _chunks(batches) -> Iterator[tuple[str, _Codes, np.ndarray, int]]:
+    """(lang, codes of the words, the words' codes, size) of about ``CHUNK`` words
+    or less each, cut between pieces; with many languages the largest is cut first."""
+    held: dict[str, tuple[_Codes, list[np.ndarray]]] = {}
+    sizes: dict[str, int] = {}
+    total = 0
     for langs, texts in rows_of(batches, ["lang", "text"]):
         for lang, text in zip(langs, texts):
-            for words in _words(text or ""):
-                codes, parts, size = held.setdefault(lang, (_Codes({_STOP: 0}), [], [0]))
+            for words, length in _words(text or ""):
+                codes, parts = held.setdefault(lang, (_Codes({_STOP: 0}), []))
                 part = np.zeros(len(words) + 1, np.int32)
                 part[1:] = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
                 parts.append(part)
-                size[0] += len(part)
-                if size[0] >= CHUNK:
-                    del held[lang]
-                    yield lang, codes, np.concatenate(parts)
-    for lang, (codes, parts, _) in held.items():
-        yield lang, codes, np.concatenate(parts)
+                size = max(len(part), length // LETTERS)
+                sizes[lang] = sizes.get(lang, 0) + size
+                total += size
+                if sizes[lang] >= CHUNK or total >= 2 * CHUNK:
+                    most = max(sizes, key=sizes.__getitem__)
+                    codes, parts = held.pop(most)
+                    size = sizes.pop(most)
+                    total -= size
+                    yield most, codes, np.concatenate(parts), size
+    for lang, (codes, parts) in held.items():
+        yield lang, codes, np.concatenate(parts), sizes[lang]
+
+
+def _by_count(codes: _Codes, stream: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words by falling count, then alphabet, their counts, and the stream in their numbers."""
+    counts = np.bincount(stream, minlength=len(codes))[1:]
+    words = list(codes)[1:]
+    order = np.fromiter(map(codes.__getitem__, sorted(words)), np.int64, len(words)) - 1
+    order = order[np.argsort(-counts[order], kind="stable")]
+    rank = np.zeros(len(codes), np.int64)
+    rank[order + 1] = np.arange(1, len(codes))
+    return [words[i] for i in order], counts[order], rank[stream]
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """R_1 with each chunk's distinct words and their counts."""
+    """R_1 with each chunk's size and number of words, its distinct words and their counts."""
     given = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
 
     def run(batches):
         base = TaskContext.get().partitionId() << 32
-        for i, (lang, codes, stream) in enumerate(_chunks(batches)):
-            counts = np.bincount(stream, minlength=len(codes))[1:]
-            names = pa.array(list(codes)[1:], pa.binary()).cast(pa.string())
+        for i, (lang, codes, stream, size) in enumerate(_chunks(batches)):
+            words, counts, stream = _by_count(codes, stream)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + i]), pa.array([lang]), pa.array([_packed(_joined(stream).astype("<u4"))], pa.binary()),
-                 _list(names), _list(pa.array(counts.astype(np.int64)))],
-                names=["chunk", "lang", "stream", "words", "counts"],
+                [pa.array([base + i]), pa.array([lang]), pa.array([size]), pa.array([int(counts.sum())]),
+                 pa.array([_packed(_joined(stream).astype("<u4"))], pa.binary()),
+                 pa.array([_listed(words)], pa.binary()), pa.array([_packed(counts.astype("<i8"))], pa.binary())],
+                names=["chunk", "lang", "size", "n", "stream", "words", "counts"],
             )
 
     return given.mapInArrow(run, CHUNKS)
 
 
-def _list(values: pa.Array) -> pa.Array:
-    """One row that holds ``values`` as a list."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
 def _relation(chunk: int, stream: np.ndarray, names: np.ndarray, ids: np.ndarray) -> pa.RecordBatch | None:
     """The semi-join: of ``stream``, only the codes listed in ``names`` stay."""
     order = np.argsort(names)
@@ -171,7 +201,8 @@ def _relation(chunk: int, stream: np.ndarray, names: np.ndarray, ids: np.ndarray
     at = np.minimum(np.searchsorted(names, stream), len(names) - 1)
     kept = _joined(np.where(names[at] == stream, at + 1, 0))
     return pa.RecordBatch.from_arrays(
-        [pa.array([chunk]), pa.array([_packed(kept.astype("<u4"))], pa.binary()), _list(pa.array(ids))],
+        [pa.array([chunk]), pa.array([_packed(kept.astype("<u4"))], pa.binary()),
+         pa.array([_packed(ids)], pa.binary())],
         names=["chunk", "stream", "ids"],
     )
 
@@ -202,17 +233,21 @@ def _blocks(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[order[start]]), order[start:stop]
 
 
+def _word_buckets(words: list[bytes], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return _blocks((hashes % np.uint64(buckets)).astype(np.int64))
+
+
 def _word_blocks(buckets: int):
     def run(batches):
         for chunk, lang, words, counts in _each(batches, "chunk", "lang", "words", "counts"):
-            names, counts = words.values, counts.values.to_numpy(zero_copy_only=False)
-            hashes = [xxhash.xxh3_64_intdigest(w) for w in names.cast(pa.binary()).to_pylist()]
-            for b, at in _blocks((np.array(hashes, np.uint64) % np.uint64(buckets)).astype(np.int64)):
+            words, counts = _from_listed(words.as_py()), _unpacked(counts.as_py(), "<i8")
+            for b, at in _word_buckets(words, buckets):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), pa.array([chunk.as_py()]), pa.array([lang.as_py()]),
-                     pa.array([_steps(at)], pa.binary()), _list(names.take(pa.array(at))),
+                     pa.array([_listed([words[i] for i in at])], pa.binary()),
                      pa.array([_packed(counts[at])], pa.binary())],
-                    names=["bucket", "chunk", "lang", "codes", "words", "counts"])
+                    names=["bucket", "chunk", "lang", "words", "counts"])
 
     return run
 
@@ -236,8 +271,8 @@ def _found(schema: pa.Schema, bucket: int, answers: list[tuple], phrases: dict[s
 def _count_words(least: int, schema: pa.Schema):
     def run(rows: pa.Table) -> pa.Table:
         bucket = rows.column("bucket")[0].as_py()
-        r = rows.select(["chunk", "lang", "codes", "counts"]).to_pylist()
-        words = [w.values for w in rows.column("words")]
+        r = rows.select(["chunk", "lang", "counts"]).to_pylist()
+        words = [pa.array(_from_listed(w.as_py()), pa.binary()).cast(pa.string()) for w in rows.column("words")]
         sizes = [len(w) for w in words]
         table = pa.table({
             "lang": pa.array([x["lang"] for x in r]).dictionary_encode().take(pa.array(np.repeat(np.arange(len(r)), sizes))),
@@ -255,7 +290,7 @@ def _count_words(least: int, schema: pa.Schema):
             place = pc.index_in(w, value_set=value_set).to_numpy(zero_copy_only=False)
             hit = np.flatnonzero(~np.isnan(place)) if place.dtype.kind == "f" else np.arange(len(place))
             if len(hit) and len(at):
-                answers.append((x["chunk"], _from_steps(x["codes"])[hit], ids[at[place[hit].astype(np.int64)]]))
+                answers.append((x["chunk"], hit, ids[at[place[hit].astype(np.int64)]]))
         return _found(schema, bucket, answers, {
             "id": pa.array(ids), "f": _whole(sums["n_sum"]), "lang": pa.array(langs, pa.string()),
             "word": _whole(sums["word"])})
@@ -267,11 +302,15 @@ def _whole(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
-def _first(batches):
+def _first(buckets: int):
     """R_1 with the words of a chunk that are frequent (``known``)."""
-    for chunk, stream, known in _each(batches, "chunk", "stream", "known"):
-        _, names, ids = zip(*_known(known))
-        yield _relation(chunk.as_py(), _stream(stream.as_py()), np.concatenate(names) + 1, np.concatenate(ids))
+    def run(batches):
+        for chunk, stream, words, known in _each(batches, "chunk", "stream", "words", "known"):
+            blocks = dict(_word_buckets(_from_listed(words.as_py()), buckets))
+            names, ids = zip(*((blocks[b][at], ids) for b, at, ids in _known(known)))
+            yield _relation(chunk.as_py(), _stream(stream.as_py()), np.concatenate(names) + 1, np.concatenate(ids))
+
+    return run
 
 
 def _pairs(stream: np.ndarray, ids: np.ndarray, buckets: int):
@@ -291,7 +330,7 @@ def _pairs(stream: np.ndarray, ids: np.ndarray, buckets: int):
 def _pair_blocks(buckets: int):
     def run(batches):
         for chunk, stream, ids in _each(batches, "chunk", "stream", "ids"):
-            ids = ids.values.to_numpy(zero_copy_only=False)
+            ids = _unpacked(ids.as_py(), "<i8")
             _, _, head, tail, counts, bucket = _pairs(_stream(stream.as_py()), ids, buckets)
             for b, at in _blocks(bucket):
                 yield pa.RecordBatch.from_arrays(
@@ -338,7 +377,7 @@ def _next(buckets: int):
     """R_k+1 from R_k and the frequent ones among a chunk's longer phrases."""
     def run(batches):
         for chunk, stream, ids, known in _each(batches, "chunk", "stream", "ids", "known"):
-            ids = ids.values.to_numpy(zero_copy_only=False)
+            ids = _unpacked(ids.as_py(), "<i8")
             near, kinds, _, _, _, bucket = _pairs(_stream(stream.as_py()), ids, buckets)
             blocks = dict(_blocks(bucket))
             names, new = zip(*((kinds[blocks[b][at]], ids) for b, at, ids in _known(known)))
@@ -350,34 +389,39 @@ def _next(buckets: int):
 _TYPES = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
-def _counted(blocks: DataFrame, count, least: int, ddl: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """Frequent phrases with their ids, and per chunk which of its own they are."""
+def _counted(
+    blocks: DataFrame, count, least: int, ddl: str, label: str
+) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+    """Frequent phrases with their ids, per chunk which of its own they are, and a
+    function that deletes both."""
     schema = pa.schema([(f.split()[0], _TYPES[f.split()[1]]) for f in ddl.split(", ")])
-    found = stage(blocks.groupBy("bucket").applyInArrow(count(least, schema), ddl), label)
+    found, answered = passing(blocks.groupBy("bucket").applyInArrow(count(least, schema), ddl), label)
     known = found.filter("chunk IS NOT NULL").groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "names", "ids")).alias("known"))
-    return found.filter("id IS NOT NULL").drop("bucket", "chunk", "names", "ids"), known
+    return found.filter("id IS NOT NULL").drop("bucket", "chunk", "names", "ids"), known, answered
 
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases by length, from 1 (id, lang, phrase, last, heads, tails, and
     head and tail: the ids of all but the last and all but the first word), where
     heads and tails count the first and last 1..k words; and (lang, n)."""
-    words = stage(occurrences(docs), "occurrences")
-    totals = words.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("_n")) \
-        .groupBy("lang").agg(F.sum("_n").alias("n"))
-    totals = stage(totals, "lang-words")
-    buckets = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET
-    blocks = words.select("chunk", "lang", "words", "counts").mapInArrow(_word_blocks(buckets), WORD_BLOCKS)
-    found, known = _counted(blocks, _count_words, least, WORDS_FOUND, "words")
-    levels = [found.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
-                           F.array("f").alias("heads"), F.array("f").alias("tails"))]
-    relation = stage(words.select("chunk", "stream").join(known, "chunk").mapInArrow(_first, RELATION), "phrases-1")
+    relation, read = passing(occurrences(docs), "occurrences", "chunk")
+    totals = stage(relation.groupBy("lang").agg(F.sum("n").alias("n")), "lang-words")
+    buckets = 1 + (relation.agg(F.sum("size")).first()[0] or 0) // BUCKET
+    blocks = relation.select("chunk", "lang", "words", "counts").mapInArrow(_word_blocks(buckets), WORD_BLOCKS)
+    found, known, answered = _counted(blocks, _count_words, least, WORDS_FOUND, "words")
+    levels = [stage(found.select(
+        "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
+        F.array("f").alias("heads"), F.array("f").alias("tails")), "level-1")]
+    extended = relation.select("chunk", "stream", "words").join(known, "chunk").mapInArrow(_first(buckets), RELATION)
     for k in range(2, longest + 1):
+        relation, read_next = passing(extended, f"phrases-{k - 1}", "chunk")
+        read()
+        answered()
+        read = read_next
         blocks = relation.mapInArrow(_pair_blocks(buckets), PAIR_BLOCKS)
-        found, known = _counted(blocks, _count_pairs, least, PAIRS_FOUND, f"pairs-{k}")
-        if k < longest:
-            relation = stage(relation.join(known, "chunk").mapInArrow(_next(buckets), RELATION), f"phrases-{k}")
+        found, known, answered = _counted(blocks, _count_pairs, least, PAIRS_FOUND, f"pairs-{k}")
+        extended = relation.join(known, "chunk").mapInArrow(_next(buckets), RELATION)
         short = levels[-1].select("id", "lang", "phrase", "last", "heads", "tails")
         head, tail = short.alias("h"), short.alias("t")
         own = F.array("f")
@@ -386,6 +430,8 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
             found["id"], F.col("h.lang").alias("lang"), F.concat("h.phrase", F.lit(" "), "t.last").alias("phrase"),
             F.col("t.last").alias("last"), F.concat("h.heads", own).alias("heads"),
             F.concat("t.tails", own).alias("tails"), "head", "tail"), f"level-{k}"))
+    read()
+    answered()
     return levels, totals
 
 

@@ -35,6 +35,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def passing(df: DataFrame, label: str, by: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
+    """``stage``, and a function that deletes the table when nothing will read it again.
+
+    With ``by`` the table is bucketed by this column, in as many buckets as a shuffle
+    has partitions, so a join on it shuffles the other side only.
+    """
+    spark = df.sparkSession
+    name = f"llm-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}"
+    entry = "tessera_" + name.replace("-", "_")
+    if by is None:
+        df.write.parquet(path)
+        table = spark.read.schema(df.schema).parquet(path)
+    else:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(entry)
+        table = spark.table(entry)
+
+    def delete() -> None:
+        if by is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {entry}")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    return table, delete
+
+
 def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """``docs`` with its columns but ``used`` under names that clash with no
     operator's, and a function that gives them their names back; columns named

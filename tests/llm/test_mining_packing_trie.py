@@ -6,17 +6,20 @@ import collections
 import functools
 import hashlib
 import itertools
+import pathlib
 import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import collocations, packing, prefixtrie
+from tessera.llm import collocations, common, packing, prefixtrie
+from tessera.session import scratch_root
 
 DOCS = "doc_id long, text string, lang string, id string, chunk string, rank string, length string, _id string"
 CONVERSATIONS = "conv_id long, turn long, role string, text string, keys string, sizes string, at string, depth string"
@@ -93,6 +96,51 @@ def test_no_documents_have_no_collocations(spark):
     assert collocations.collocations(frame(spark, [], DOCS)).collect() == []
 
 
+def test_relations_go_once_the_next_is_written(spark, prose):
+    made = lambda: {p.name for p in pathlib.Path(scratch_root(spark).removeprefix("file:")).glob("llm-*")}
+    before = made()
+    result = collocations.collocations(frame(spark, prose, DOCS), 8, 5, 3)
+    left = {x.removeprefix("llm-").rpartition("-")[0] for x in made() - before}
+    assert left == {"lang-words", *(f"level-{k}" for k in range(1, 6))}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_llm_")]
+    assert result.count()
+
+
+def test_a_relation_stays_where_it_lies(spark, monkeypatch):
+    seen = []
+
+    def passing(df, label, by=None):
+        if label.startswith("phrases-"):
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.passing(df, label, by)
+
+    monkeypatch.setattr(collocations, "passing", passing)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        collocations.collocations(frame(spark, [(i, "new york city of the sea", "en") for i in range(9)], DOCS), 8)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert len(seen) == 4
+    for plan in seen:
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning(chunk") == 1, plan
+
+
+def test_chunks_are_bounded_and_numbered_by_count(monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK", 100)
+    langs = [f"l{i % 40}" for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"lang": langs, "text": ["b a. c a " * 2] * len(langs)})
+    chunks = [(lang, collocations._by_count(codes, stream), size) for lang, codes, stream, size
+              in collocations._chunks([batch])]
+    assert sum(int(counts.sum()) for _, (_, counts, _), _ in chunks) == 8 * len(langs)
+    assert max(size for *_, size in chunks) <= 111 and len(chunks) > 200  # 40 languages of 550 words never wait together
+    for _, (words, counts, stream), _ in chunks:
+        assert words == [b"a", b"b", b"c"] and counts[0] == 2 * counts[1] == 2 * counts[2]
+        assert list(counts) == list(np.bincount(stream)[1:])
+    long = pa.RecordBatch.from_pydict({"lang": ["en"] * 9, "text": ["z" * 900] * 9})
+    assert len([*collocations._chunks([long])]) == 5  # long words count by their bytes
+
+
 # --- packing ---
 
 def fewest(items, capacity):
